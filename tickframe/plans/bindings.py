@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickframe.functions.instants import lookback_cutoff_ns
-from tickframe.session import use_utc
+from tickframe.session import spread_thin, use_utc
 
 AS_OF = dt.date(2024, 1, 31)
 
@@ -42,6 +42,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Text columns of a table for costly per-row work."""
+    return spread_thin(table(spark, sf_dir, name).select(*columns))
+
+
 def trades(
     spark: SparkSession, sf_dir: str, ticker: str = "event_type", as_of: dt.date | None = None, days: int = 0
 ) -> DataFrame:

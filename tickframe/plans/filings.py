@@ -111,13 +111,13 @@ def _line_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("accession_number", "ticker", F.get("_codes", F.col("_i")).alias("section_code"), "text")
 
 
-def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = fil.filing_sections(fil.base_records(bd.filings(spark, sf_dir), _now()))
     return fil.section_records(wanted, _line_texts(spark, sf_dir))
 
 
 def section_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _records(spark, sf_dir).select(
+    return records(spark, sf_dir).select(
         "accession_number", "ticker", "form_type", "section_id", "text", "filing_timestamp_utc", "sic_code"
     )
 
@@ -133,7 +133,9 @@ def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def normalize_ws(spark: SparkSession, sf_dir: str) -> DataFrame:
     noisy = F.replace(F.replace("text", F.lit(" "), F.lit("  \t")), F.lit("\n"), F.lit("\n \n\t\n"))
-    docs = bd.table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit(" \n"), noisy, F.lit("\t")).alias("text"))
+    docs = bd.texts(spark, sf_dir, "documents", "doc_id", "text").select(
+        "doc_id", F.concat(F.lit(" \n"), noisy, F.lit("\t")).alias("text")
+    )
     kept = docs.filter(tx.long_enough(F.col("text"), fixed.MIN_SECTION_CHARS))
     return kept.select("doc_id", tx.normalize_whitespace(F.col("text")).alias("text"))
 
@@ -143,24 +145,27 @@ def deep_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     noisy = F.concat(
         F.lit("Table of Contents\nRisk Factors ........ 12\n"),
         F.replace("text", F.lit(" the "), F.lit(" &amp; ")),
-        F.lit("\nform_10k.htm\n- 12 -\nF-3\n 17 \n\n\n"),
+        F.lit("\nEnd\nform_10k.htm\n- 12 -\nF-3\n 17 \n\n\n"),
         F.col("text"),
     )
-    return bd.table(spark, sf_dir, "documents").select("doc_id", tx.deep_clean(noisy).alias("text"))
+    docs = bd.texts(spark, sf_dir, "documents", "doc_id", "text")
+    return docs.select("doc_id", tx.deep_clean(noisy).alias("text"))
 
 
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bd.table(spark, sf_dir, "pages").select("page_id", html_to_text("html").alias("text"))
+    return bd.texts(spark, sf_dir, "pages", "page_id", "html").select("page_id", html_to_text("html").alias("text"))
 
 
 def html_readable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bd.table(spark, sf_dir, "pages").select("page_id", html_to_blocks("html").alias("text"))
+    return bd.texts(spark, sf_dir, "pages", "page_id", "html").select("page_id", html_to_blocks("html").alias("text"))
 
 
 def doc_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document after a contents line and again after the heading the contents points to."""
     text = F.concat(F.lit("PART I\n"), "text", F.lit("\nItem 1\n"), "text")
-    docs = bd.table(spark, sf_dir, "documents").select("doc_id", F.expr(bd.FORM).alias("form"), text.alias("text"))
+    docs = bd.texts(spark, sf_dir, "documents", "doc_id", "text").select(
+        "doc_id", F.expr(bd.FORM).alias("form"), text.alias("text")
+    )
     body = seg.with_body(docs, "text", "form")
     return body.select(
         "doc_id",
@@ -178,7 +183,7 @@ def _headed(spark: SparkSession, sf_dir: str) -> DataFrame:
             family == "8-K", F.concat(F.lit("Item "), i % 8 + 1, F.lit(".0"), i % 2 + 1, F.lit(" "), line)
         ).otherwise(F.concat(F.lit("ITEM "), i % 30 + 2, F.lit(". "), line)),
     )
-    return bd.table(spark, sf_dir, "documents").select(
+    return bd.texts(spark, sf_dir, "documents", "doc_id", "text").select(
         "doc_id",
         F.expr(bd.FORM).alias("form_type"),
         F.concat(F.array_join(body, "\n"), F.lit("\n\nSIGNATURES\n\nSigned by the company.")).alias("text"),
@@ -222,12 +227,12 @@ def queries() -> dict:
 
 
 _FILED = "(TIMESTAMP '2023-06-01' + to_hours(CAST(doc_id % 50000 AS INTEGER)))"
-_UTC = f"({_FILED} + INTERVAL 5 HOUR)"
+FILED_UTC = f"({_FILED} + INTERVAL 5 HOUR)"
 _RAW_FILED = f"concat(strftime({_FILED}, '%Y-%m-%dT%H:%M:%S'), '-05:00')"
 _URL = f"coalesce(nullif({bd.DETAILS_LINK}, ''), nullif({bd.HTML_LINK}, ''))"
 _FAMILY = "CASE doc_id % 6 WHEN 0 THEN '10-K' WHEN 1 THEN '10-Q' WHEN 2 THEN '8-K' WHEN 3 THEN '10-K' WHEN 4 THEN '10-Q' END"
 _SUFFIX = "CASE doc_id % 6 WHEN 3 THEN '_A' WHEN 4 THEN '_NT' ELSE '' END"
-_ISO_UTC = f"strftime({_UTC}, '%Y-%m-%dT%H:%M:%SZ')"
+_ISO_UTC = f"strftime({FILED_UTC}, '%Y-%m-%dT%H:%M:%SZ')"
 _SIC = (
     "CASE WHEN doc_id % 9 = 0 THEN NULL WHEN doc_id % 96 = doc_id % 97 THEN concat('A', doc_id % 13) "
     "ELSE concat('B', doc_id % 13) END"
@@ -257,6 +262,14 @@ wanted AS (
 _KEPT_TEXT = "regexp_replace({0}, '^\\s+|\\s+$', '', 'g')"
 
 
+_SECTION_TEXT = _KEPT_TEXT.format("list_extract(string_split(text, chr(10)), place + 1)")
+
+
+def records_sql(columns: str) -> str:
+    """Section records with the given columns."""
+    return f"WITH {_WANTED} SELECT {columns} FROM wanted WHERE length({_SECTION_TEXT}) > 50"
+
+
 def _segment_sql() -> str:
     line = "regexp_replace(line, '^[\\s.:\\-–—]+', '')"
     return f"""WITH d AS (SELECT doc_id, {_FAMILY} AS family, {bd.FORM} AS form, string_split(text, chr(10)) AS lines FROM documents),
@@ -349,7 +362,7 @@ def oracle_sql() -> dict[str, str]:
         "filing_flags": f"""SELECT {bd.ACCESSION} AS accession, {_FAMILY} AS family, doc_id % 6 = 3 AS is_amendment, {_SUFFIX} AS suffix,
   strftime({_FILED}, '%Y-%m-%d') AS filing_date, {_URL} AS source_url FROM documents""",
         "filings_in_scope": f"""SELECT {bd.ACCESSION} AS accession, {bd.FORM} AS formType FROM documents WHERE doc_id % 6 IN (0, 1, 2, 3)
-  AND CAST({_UTC} AS DATE) BETWEEN DATE '2023-07-01' AND DATE '2033-07-01'""",
+  AND CAST({FILED_UTC} AS DATE) BETWEEN DATE '2023-07-01' AND DATE '2033-07-01'""",
         "filed_at_utc": f"SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 5 = 0 THEN strftime({_FILED}, '%Y-%m-%dT%H:%M:%SZ') ELSE {_ISO_UTC} END AS filed_at_utc FROM documents",
         "sic_lookup": f"SELECT doc_id, {_SIC} AS sic_code FROM documents",
         "base_records": f"""SELECT {bd.ACCESSION} AS accession_number, {_ISO_UTC} AS filing_timestamp_utc, {_PERIOD.format('doc_id')} AS period_end_date,
@@ -365,14 +378,15 @@ FROM documents JOIN supplier ON doc_id % 97 = s_suppkey % 50""",
 SELECT ticker, form_type, base_form, suffix, filing_date, filing_timestamp, download_url,
   concat(ticker, '_', base_form, '/', ticker, '_', base_form, suffix, '_', filing_date, '.txt') AS target_path
 FROM c WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.ticker = c.ticker AND s.base_form = c.base_form AND s.suffix = c.suffix AND s.filing_date = c.filing_date)""",
-        "section_records": f"""WITH {_WANTED} SELECT accession_number, source AS ticker, upper({bd.FORM}) AS form_type, section_id,
-  {_KEPT_TEXT.format('list_extract(string_split(text, chr(10)), place + 1)')} AS text, {_ISO_UTC} AS filing_timestamp_utc, {_SIC} AS sic_code
-FROM wanted WHERE length({_KEPT_TEXT.format('list_extract(string_split(text, chr(10)), place + 1)')}) > 50""",
-        "ingest_counts": f"""SELECT CASE WHEN doc_id % 7 > 0 THEN strftime({_UTC}, '%Y') ELSE 'none' END AS year, CAST(count(*) AS BIGINT) AS n
+        "section_records": records_sql(
+            f"accession_number, source AS ticker, upper({bd.FORM}) AS form_type, section_id, {_SECTION_TEXT} AS text, "
+            f"{_ISO_UTC} AS filing_timestamp_utc, {_SIC} AS sic_code"
+        ),
+        "ingest_counts": f"""SELECT CASE WHEN doc_id % 7 > 0 THEN strftime({FILED_UTC}, '%Y') ELSE 'none' END AS year, CAST(count(*) AS BIGINT) AS n
 FROM documents WHERE {_URL} IS NOT NULL GROUP BY 1""",
         "normalize_ws": f"""SELECT doc_id, {_KEPT_TEXT.format(f"regexp_replace({ws}, '(\\n\\s*)(\\n\\s*)(\\n\\s*)+', concat(chr(10), chr(10)), 'g')")} AS text
 FROM documents WHERE length({_KEPT_TEXT.format("replace(replace(text, ' ', concat('  ', chr(9))), chr(10), concat(chr(10), ' ', chr(10), chr(9), chr(10)))")}) > 50""",
-        "deep_clean": f"""SELECT doc_id, {_KEPT_TEXT.format("concat(replace(replace(text, ' the ', ' & '), chr(10), ' '), chr(10), chr(10), replace(text, chr(10), ' '))")} AS text FROM documents""",
+        "deep_clean": f"""SELECT doc_id, {_KEPT_TEXT.format("concat(replace(replace(text, ' the ', ' & '), chr(10), ' '), ' End', chr(10), chr(10), replace(text, chr(10), ' '))")} AS text FROM documents""",
         "doc_start": f"""SELECT doc_id, CAST(CASE WHEN {_FAMILY} IN ('10-K', '10-Q') AND 8 + length(text) < 5000 THEN 8 + length(text) ELSE 0 END AS INTEGER) AS body_offset,
   CAST(15 + 2 * length(text) - CASE WHEN {_FAMILY} IN ('10-K', '10-Q') AND 8 + length(text) < 5000 THEN 8 + length(text) ELSE 0 END AS INTEGER) AS body_chars FROM documents""",
         "segment_filing": _segment_sql()

@@ -4,53 +4,89 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+_LONG, _DOUBLE, _TEXT, _FLAG = T.LongType(), T.DoubleType(), T.StringType(), T.BooleanType()
 
-def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+
+def _struct(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+
+
+def _texts(*names: str) -> T.StructType:
+    return _struct(**{name: _TEXT for name in names})
 
 
 TRADES = _struct(
-    "sip_timestamp bigint, participant_timestamp bigint, trf_timestamp bigint, id string, "
-    "sequence_number bigint, exchange bigint, price double, size bigint, conditions array<bigint>, "
-    "tape bigint, trf_id bigint"
+    sip_timestamp=_LONG,
+    participant_timestamp=_LONG,
+    trf_timestamp=_LONG,
+    id=_TEXT,
+    sequence_number=_LONG,
+    exchange=_LONG,
+    price=_DOUBLE,
+    size=_LONG,
+    conditions=T.ArrayType(_LONG),
+    tape=_LONG,
+    trf_id=_LONG,
 )
 
-BARS = _struct("ticker string, t bigint, o double, h double, l double, c double, v double, vw double, n bigint")
+BARS = _struct(
+    ticker=_TEXT, t=_LONG, o=_DOUBLE, h=_DOUBLE, l=_DOUBLE, c=_DOUBLE, v=_DOUBLE, vw=_DOUBLE, n=_LONG
+)
 
-INDICATOR_VALUES = _struct("timestamp bigint, value double, signal double, histogram double")
+INDICATOR_VALUES = _struct(timestamp=_LONG, value=_DOUBLE, signal=_DOUBLE, histogram=_DOUBLE)
 
-TARGETS = _struct("ticker string, ticker_fidelity string, ticker_duration_months string")
+TARGETS = _texts("ticker", "ticker_fidelity", "ticker_duration_months")
 
-CIK_TARGETS = _struct("ticker string, CIK string")
+CIK_TARGETS = _texts("ticker", "CIK")
 
-ADDRESS = _struct("address1 string, city string, state string, postal_code string")
+ADDRESS = _texts("address1", "city", "state", "postal_code")
 
-RELATED = _struct("ticker string")
+RELATED = _texts("ticker")
 
-FILING_META = _struct(
-    "formType string, linkToFilingDetails string, linkToHtml string, linkToTxt string, accessionNo string, "
-    "filedAt string, periodOfReport string, companyName string, items array<string>, "
-    "entities array<struct<cik:string,sic:string>>"
+FILING_META = T.StructType(
+    _texts(
+        "formType",
+        "linkToFilingDetails",
+        "linkToHtml",
+        "linkToTxt",
+        "accessionNo",
+        "filedAt",
+        "periodOfReport",
+        "companyName",
+    ).fields
+    + _struct(items=T.ArrayType(_TEXT), entities=T.ArrayType(_texts("cik", "sic"))).fields
 )
 
 FILING_SECTIONS = _struct(
-    "accession_number string, filing_timestamp_utc string, period_end_date string, cik string, ticker string, "
-    "company_name string, form_type string, is_amendment boolean, sic_code string, items_reported array<string>, "
-    "source_url string, extraction_method string, processing_timestamp_utc string, section_id string, text string"
+    accession_number=_TEXT,
+    filing_timestamp_utc=_TEXT,
+    period_end_date=_TEXT,
+    cik=_TEXT,
+    ticker=_TEXT,
+    company_name=_TEXT,
+    form_type=_TEXT,
+    is_amendment=_FLAG,
+    sic_code=_TEXT,
+    items_reported=T.ArrayType(_TEXT),
+    source_url=_TEXT,
+    extraction_method=_TEXT,
+    processing_timestamp_utc=_TEXT,
+    section_id=_TEXT,
+    text=_TEXT,
 )
 
-SEGMENTS = _struct(
-    "ticker string, form_type string, filing_date string, filing_timestamp string, section string, text string"
-)
+SEGMENTS = _texts("ticker", "form_type", "filing_date", "filing_timestamp", "section", "text")
 
-DOWNLOAD_LIST = _struct(
-    "ticker string, form_type string, filing_date string, filing_timestamp string, "
-    "download_url string, target_path string"
-)
+DOWNLOAD_LIST = _texts("ticker", "form_type", "filing_date", "filing_timestamp", "download_url", "target_path")
 
-ERROR_LOG = _struct(
-    "log_timestamp_utc string, script_name string, ticker string, fidelity string, "
-    "failed_chunk_start string, failed_chunk_end string, reason string"
+ERROR_LOG = _texts(
+    "log_timestamp_utc",
+    "script_name",
+    "ticker",
+    "fidelity",
+    "failed_chunk_start",
+    "failed_chunk_end",
+    "reason",
 )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _local_scratch: str | None = None
@@ -52,3 +52,13 @@ def scratch_root(spark: SparkSession) -> str:
 def new_scratch(spark: SparkSession, name: str) -> str:
     """A fresh path under the scratch root; nothing is created there yet."""
     return f"{scratch_root(spark)}/tickframe/{name}-{uuid.uuid4().hex}"
+
+
+def spread_thin(df: DataFrame) -> DataFrame:
+    """Deal rows round-robin when a scan has fewer splits than there are cores, else leave them alone.
+
+    For per-row work that costs far more than moving the row, such as text cleaning, over a few files that cannot
+    be split. A scan of many files already has enough splits and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -33,7 +33,9 @@ def _save(
 ) -> int:
     """Write once, counting rows on the way; a fresh path that received none is removed. Gives the row count."""
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt).option("header", True)
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt)
+    if fmt == "csv":
+        writer = writer.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.save(path)
