@@ -133,7 +133,8 @@ def texts_from_segments(segments: DataFrame) -> DataFrame:
 def section_records(wanted: DataFrame, texts: DataFrame) -> DataFrame:
     """Section records with normalised text; sections of 50 characters or fewer are dropped.
 
-    ``texts`` has (accession_number, ticker, section_code, text). Short texts go before the join.
+    ``texts`` has (accession_number, ticker, section_code, text) once each, and ``wanted`` comes from filings
+    that went through :func:`dedupe_filings`, so a row meets at most one other. Short texts go before the join.
     """
     kept = texts.filter(long_enough(F.col("text"), fixed.MIN_SECTION_CHARS)).withColumn(
         "text", normalize_whitespace(F.col("text"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tickframe.functions.instants import NS_PER_SECOND, floor_div
 
 BUCKET = "_bucket"
-DEFAULT_BUCKET_SECONDS = 60
+DEFAULT_BUCKET_SECONDS = 10
 
 
 def gap_counts(
@@ -24,45 +24,57 @@ def gap_counts(
     ts: str,
     sums: Mapping[str, Column] | None = None,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    combine_copies: bool = True,
 ) -> DataFrame:
     """Gaps to the previous row of the same ``keys``, in whole seconds, as counted values.
 
     ``ts`` is a bigint of nanoseconds. One row per (keys, bucket, gap) with ``gap_sec`` (null for the first row
     of a group), ``n`` rows, ``first_ts``, ``last_ts`` and every column of ``sums`` added up. A day has at most
-    86,400 such rows however many trades it holds, so later per-day steps are bounded.
+    some 170,000 such rows however many trades it holds, so later per-day steps are bounded.
+
+    Rows of one instant cannot be told apart by time, so copies are counted before the first shuffle.
+    ``combine_copies=False`` saves that shuffle where instants are known to repeat rarely; the result is the same.
     """
     sums = dict(sums or {})
-    inner = Window.partitionBy(*keys, BUCKET).orderBy(ts)
+    second = F.lit(NS_PER_SECOND).cast("bigint")
     rows = df.filter(F.col(ts).isNotNull()).select(
         *keys,
         F.col(ts),
         floor_div(F.col(ts), bucket_seconds * NS_PER_SECOND).alias(BUCKET),
         *[value.alias(name) for name, value in sums.items()],
     )
-    step = F.call_function("div", F.col(ts) - F.lag(ts).over(inner), F.lit(NS_PER_SECOND).cast("bigint"))
+    if combine_copies:
+        rows = rows.groupBy(*keys, BUCKET, ts).agg(
+            F.count(F.lit(1)).alias("_copies"), *[F.sum(name).alias(name) for name in sums]
+        )
+    else:
+        rows = rows.withColumn("_copies", F.lit(1).cast("bigint"))
+    inner = Window.partitionBy(*keys, BUCKET).orderBy(ts)
     counted = (
-        rows.withColumn("_gap", step)
+        rows.withColumn("_gap", F.call_function("div", F.col(ts) - F.lag(ts).over(inner), second))
         .groupBy(*keys, BUCKET, "_gap")
         .agg(
-            F.count(F.lit(1)).alias("n"),
+            F.count(F.lit(1)).alias("_instants"),
+            F.sum("_copies").alias("_rows"),
             F.min(ts).alias("first_ts"),
             F.max(ts).alias("last_ts"),
             *[F.sum(name).alias(name) for name in sums],
         )
     )
     outer = Window.partitionBy(*keys).orderBy(BUCKET).rangeBetween(Window.unboundedPreceding, -1)
-    bridge = F.call_function(
-        "div", F.col("first_ts") - F.max("last_ts").over(outer), F.lit(NS_PER_SECOND).cast("bigint")
-    )
-    return counted.withColumn("_bridge", bridge).select(
+    bridge = F.call_function("div", F.col("first_ts") - F.max("last_ts").over(outer), second)
+    carried = ["first_ts", "last_ts", *sums]
+    counted = counted.withColumn("_bridge", bridge).select(
         *keys,
         BUCKET,
-        F.coalesce("_gap", "_bridge").alias("gap_sec"),
-        "n",
-        "first_ts",
-        "last_ts",
-        *sums,
+        F.struct(F.coalesce("_gap", "_bridge").alias("gap_sec"), F.col("_instants").alias("n"), *carried).alias("_step"),
+        (F.col("_rows") - F.col("_instants")).alias("_repeats"),
     )
+    # Every further row of an instant follows the one before it after 0 seconds.
+    nothing = [F.lit(None).alias(name) for name in carried]
+    repeat = F.struct(F.lit(0).cast("bigint").alias("gap_sec"), F.col("_repeats").alias("n"), *nothing)
+    both = F.when(F.col("_repeats") > 0, F.array("_step", repeat)).otherwise(F.array("_step"))
+    return counted.select(*keys, BUCKET, F.explode(both).alias("_step")).select(*keys, BUCKET, "_step.*")
 
 
 def lag_over_buckets(

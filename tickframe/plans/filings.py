@@ -78,7 +78,7 @@ def dedupe_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def attached_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Filings with the supplier tickers that follow their company."""
     targets = bd.table(spark, sf_dir, "supplier").select(
-        F.concat(F.lit("S"), "s_suppkey").alias("ticker"), F.expr("lpad(CAST(s_suppkey % 50 AS STRING), 10, '0')").alias("cik")
+        F.concat(F.lit("S"), "s_suppkey").alias("ticker"), F.expr("lpad(CAST(s_suppkey AS STRING), 10, '0')").alias("cik")
     )
     found = fil.attach_targets(bd.filings(spark, sf_dir).drop("ticker"), targets)
     return found.select("accessionNo", "ticker", "cik")
@@ -112,7 +112,8 @@ def _line_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wanted = fil.filing_sections(fil.base_records(bd.filings(spark, sf_dir), _now()))
+    once = fil.dedupe_filings(bd.filings(spark, sf_dir), ["linkToTxt"])
+    wanted = fil.filing_sections(fil.base_records(once, _now()))
     return fil.section_records(wanted, _line_texts(spark, sf_dir))
 
 
@@ -346,8 +347,9 @@ def _html_sql() -> str:
   {{kind}} AS kind, CAST(-1 AS BIGINT) AS ordinal, '{{block}}' AS block FROM (SELECT DISTINCT ticker FROM r)"""
     return f"""WITH {_ASSEMBLED}
 {ends.format(part=0, kind=0, block=head)} UNION ALL {ends.format(part=2, kind=3, block='</body></html>')}
+UNION ALL SELECT ticker, 1, period_place, first_ordinal, accession, 0, -1, '<div class="filing-divider"></div>' FROM o WHERE prev IS NOT NULL
 UNION ALL SELECT ticker, 1, period_place, first_ordinal, accession, 1, -1,
-  concat(CASE WHEN prev IS NOT NULL THEN '<div class="filing-divider"></div>' ELSE '' END, '<h2>COMPANY: ', company, ' (', ticker, ')</h2><h3>FORM TYPE: ', form,
+  concat('<h2>COMPANY: ', company, ' (', ticker, ')</h2><h3>FORM TYPE: ', form,
     ' | PERIOD END DATE: ', coalesce(period, 'None'), '</h3><p><b>Accession Number:</b> ', accession, '</p><hr>') FROM o
 UNION ALL SELECT {_PLACED}, concat('<h1>Section: ', section_id, '</h1>', {_NL}, text, {_NL})
 FROM r JOIN o ON r.ticker = o.ticker AND r.accession = o.accession"""
@@ -373,7 +375,7 @@ def oracle_sql() -> dict[str, str]:
         "dedupe_filings": f"""SELECT {bd.ACCESSION} AS accessionNo, source AS ticker, concat('Company ', source) AS companyName, {_RAW_FILED} AS filedAt FROM documents
 UNION ALL SELECT {bd.ACCESSION}, 'OTHER', 'other', {_RAW_FILED} FROM documents""",
         "attached_targets": f"""SELECT {bd.ACCESSION} AS accessionNo, concat('S', s_suppkey) AS ticker, {bd.CIK} AS cik
-FROM documents JOIN supplier ON doc_id % 97 = s_suppkey % 50""",
+FROM documents JOIN supplier ON doc_id % 97 = s_suppkey""",
         "missing_filings": f"""WITH {candidates}, stored AS (SELECT DISTINCT ticker, base_form, suffix, filing_date FROM c WHERE doc_id IN (SELECT doc_id FROM labels))
 SELECT ticker, form_type, base_form, suffix, filing_date, filing_timestamp, download_url,
   concat(ticker, '_', base_form, '/', ticker, '_', base_form, suffix, '_', filing_date, '.txt') AS target_path
