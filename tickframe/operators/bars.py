@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickframe.functions.instants import NS_PER_SECOND, floor_div, utc_timestamp
+from tickframe.functions.money import micro_dollars, total_dollars
 
 # Seconds per timespan; longer spans follow the calendar.
 FIXED_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400}
@@ -39,7 +40,7 @@ def bars(
     bar and task.
     """
     order = F.struct(ts, sequence) if sequence else F.col(ts)
-    dollars = (F.col(price) * F.col(size)).cast("decimal(22,6)")
+    dollars = total_dollars(micro_dollars(F.col(price), F.col(size)))
     volume = F.sum(size).cast("double")
     return (
         trades.filter(F.col(ts).isNotNull() & F.col(price).isNotNull())
@@ -50,7 +51,7 @@ def bars(
             F.min(price).alias("l"),
             F.max_by(price, order).alias("c"),
             volume.alias("v"),
-            (F.sum(dollars).cast("double") / F.nullif(volume, F.lit(0.0))).alias("vw"),
+            (dollars / F.nullif(volume, F.lit(0.0))).alias("vw"),
             F.count(F.lit(1)).alias("n"),
         )
     )

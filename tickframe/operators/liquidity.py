@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 from tickframe import fixed
 from tickframe.functions.conform import numeric_or
 from tickframe.functions.instants import lookback_cutoff_ns, utc_date
+from tickframe.functions.money import micro_dollars, total_dollars
 from tickframe.operators.gaps import DEFAULT_BUCKET_SECONDS, gap_counts
 
-MONEY = "decimal(22,6)"
-
 
 def within_lookback(
     trades: DataFrame, as_of: dt.date, days: int = fixed.LOOKBACK_DAYS, ts: str = "sip_timestamp"
@@ -33,7 +32,7 @@ def daily_liquidity(
 ) -> DataFrame:
     """Trades, dollar volume and median gap in seconds per (ticker, UTC day).
 
-    Money is added as decimals, so a recomputed task cannot change the last digit. The median is exact: it runs
+    Money is added in integers, so a recomputed task cannot change the last digit. The median is exact: it runs
     over counted gap values, of which a day has a bounded number.
     """
     rows = trades.select(F.col(ticker).alias("ticker"), ts, utc_date(F.col(ts)).alias("date"), price, size)
@@ -41,19 +40,19 @@ def daily_liquidity(
         rows,
         ["ticker", "date"],
         ts,
-        {"dollars": (F.col(price) * F.col(size)).cast(MONEY)},
+        {"micros": micro_dollars(F.col(price), F.col(size))},
         bucket_seconds,
     )
     return counts.groupBy("ticker", "date").agg(
         F.sum("n").alias("daily_trades"),
-        F.coalesce(F.sum("dollars").cast("double"), F.lit(0.0)).alias("daily_dollar_volume"),
+        F.coalesce(total_dollars(F.col("micros")), F.lit(0.0)).alias("daily_dollar_volume"),
         F.percentile("gap_sec", 0.5, F.col("n")).alias("daily_mtbt_sec"),
     )
 
 
 def liquidity_metrics(daily: DataFrame) -> DataFrame:
     """ADDV, ADNT and the median of the daily medians per ticker; a group is at most the days of the lookback."""
-    dollars = F.sum(F.col("daily_dollar_volume").cast(MONEY)).cast("double")
+    dollars = F.sum(F.col("daily_dollar_volume").cast("decimal(28,6)")).cast("double")
     return daily.groupBy("ticker").agg(
         (dollars / F.count(F.lit(1))).alias("ADDV"),
         F.avg("daily_trades").alias("ADNT"),
