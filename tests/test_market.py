@@ -241,3 +241,30 @@ def test_split_adjustment(spark):
         ("A", day(20)): (8.0, 10.0, 1),
         ("B", day(9)): (1.0, 1.0, 1),
     }
+
+
+def test_target_bars_keep_targets_apart(spark):
+    t = at("2024-01-10T00:00:00")
+    df = spark.createDataFrame([("A", t + i * 30 * NS, float(i), 1) for i in range(4)] + [("A", t + DAY, 9.0, 1), ("B", t, 1.0, 1)], SCHEMA)
+    jobs = spark.createDataFrame(
+        [("A", 1, "minute", "2024-01-10", "2024-01-10"), ("A", 1, "day", "2024-01-10", "2024-01-11"), ("A", 1, "day", "2024-01-11", "2024-01-11"),
+         ("A", 1, "day", "2024-01-11", "2024-01-11"), ("A", 1, "foo", "2024-01-10", "2024-01-11"), ("A", 2, "week", "2024-01-10", "2024-01-11")],
+        "ticker string, multiplier bigint, timespan string, s string, e string",
+    ).select("ticker", "multiplier", "timespan", F.to_date("s").alias("start_date"), F.to_date("e").alias("end_date"))
+    got = [(r.timespan, str(r.start_date), r.o, r.c, r.n) for r in br.target_bars(df, jobs).orderBy("timespan", "start_date", "t").collect()]
+    assert got == [
+        ("day", "2024-01-10", 0.0, 3.0, 4),
+        ("day", "2024-01-10", 9.0, 9.0, 1),
+        ("day", "2024-01-11", 9.0, 9.0, 1),
+        ("minute", "2024-01-10", 0.0, 1.0, 2),
+        ("minute", "2024-01-10", 2.0, 3.0, 2),
+    ]
+
+
+def test_large_money_sums_are_exact(spark):
+    from tickframe.functions.money import micro_dollars, total_dollars
+
+    rows = [("A", 1.1, 4_000_000_000_000)] * 8 + [("B", -2.25, 3), ("B", 0.25, 1), ("C", None, 1)]
+    df = spark.createDataFrame(rows, "k string, price double, size bigint")
+    got = dict(df.groupBy("k").agg(total_dollars(micro_dollars(F.col("price"), F.col("size")))).collect())
+    assert got == {"A": 35_200_000_000_000.0, "B": -6.5, "C": None}

@@ -10,7 +10,9 @@ from tickframe.functions.money import micro_dollars, total_dollars
 
 # Seconds per timespan; longer spans follow the calendar.
 FIXED_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400}
-CALENDAR_SPANS = {"week", "month"}
+CALENDAR_SPANS = ("week", "month")
+NS_PER_MS = 1_000_000
+DAY_NS = 86_400 * NS_PER_SECOND
 
 
 def bar_start_ms(ns: Column, multiplier: int, timespan: str) -> Column:
@@ -23,6 +25,26 @@ def bar_start_ms(ns: Column, multiplier: int, timespan: str) -> Column:
     return F.unix_millis(F.date_trunc(timespan, utc_timestamp(ns)))
 
 
+def _fixed_width_ns(multiplier: Column, timespan: Column) -> Column:
+    seconds = F.create_map(*[F.lit(part) for pair in FIXED_SECONDS.items() for part in pair])
+    return multiplier * F.try_element_at(seconds, timespan).cast("bigint") * NS_PER_SECOND
+
+
+def _aggregates(ts: str, price: str, size: str, sequence: str | None) -> list[Column]:
+    order = F.struct(ts, sequence) if sequence else F.col(ts)
+    dollars = total_dollars(micro_dollars(F.col(price), F.col(size)))
+    volume = F.sum(size).cast("double")
+    return [
+        F.min_by(price, order).alias("o"),
+        F.max(price).alias("h"),
+        F.min(price).alias("l"),
+        F.max_by(price, order).alias("c"),
+        volume.alias("v"),
+        (dollars / F.nullif(volume, F.lit(0.0))).alias("vw"),
+        F.count(F.lit(1)).alias("n"),
+    ]
+
+
 def bars(
     trades: DataFrame,
     multiplier: int,
@@ -39,21 +61,51 @@ def bars(
     ``sequence`` when it is named. Every aggregate combines before the shuffle, so a hot ticker costs one row per
     bar and task.
     """
-    order = F.struct(ts, sequence) if sequence else F.col(ts)
-    dollars = total_dollars(micro_dollars(F.col(price), F.col(size)))
-    volume = F.sum(size).cast("double")
     return (
         trades.filter(F.col(ts).isNotNull() & F.col(price).isNotNull())
         .groupBy(F.col(ticker).alias("ticker"), bar_start_ms(F.col(ts), multiplier, timespan).alias("t"))
-        .agg(
-            F.min_by(price, order).alias("o"),
-            F.max(price).alias("h"),
-            F.min(price).alias("l"),
-            F.max_by(price, order).alias("c"),
-            volume.alias("v"),
-            (dollars / F.nullif(volume, F.lit(0.0))).alias("vw"),
-            F.count(F.lit(1)).alias("n"),
-        )
+        .agg(*_aggregates(ts, price, size, sequence))
+    )
+
+
+def target_bars(
+    trades: DataFrame,
+    targets: DataFrame,
+    ts: str = "sip_timestamp",
+    price: str = "price",
+    size: str = "size",
+    sequence: str | None = None,
+) -> DataFrame:
+    """Bars of every target at its own fidelity and date range, all in one job.
+
+    ``targets`` has (ticker, multiplier, timespan, start_date, end_date); both days are included whole, and targets
+    that differ in any of these keep bars of their own. Spans of
+    other than second, minute, hour, day, week and month, and multiples of the last two, give no bars.
+    """
+    calendar = F.col("timespan").isin(*CALENDAR_SPANS) & (F.col("multiplier") == 1)
+    columns = ["ticker", "multiplier", "timespan", "start_date", "end_date"]
+    jobs = targets.select(*columns).distinct().filter(F.col("timespan").isin(*FIXED_SECONDS) | calendar).select(
+        F.col("ticker").alias("_ticker"),
+        "multiplier",
+        "timespan",
+        "start_date",
+        "end_date",
+        _fixed_width_ns(F.col("multiplier"), F.col("timespan")).alias("_width"),
+        (F.unix_date("start_date").cast("bigint") * DAY_NS).alias("_from"),
+        ((F.unix_date("end_date").cast("bigint") + 1) * DAY_NS).alias("_until"),
+    )
+    inside = (F.col("ticker") == F.col("_ticker")) & (F.col(ts) >= F.col("_from")) & (F.col(ts) < F.col("_until"))
+    instant = F.col(ts)
+    start = (
+        F.when(F.col("timespan") == "week", bar_start_ms(instant, 1, "week"))
+        .when(F.col("timespan") == "month", bar_start_ms(instant, 1, "month"))
+        .otherwise(F.call_function("div", instant - F.pmod(instant, F.col("_width")), F.lit(NS_PER_MS).cast("bigint")))
+    )
+    return (
+        trades.filter(F.col(price).isNotNull())
+        .join(jobs, inside)
+        .groupBy("ticker", "multiplier", "timespan", "start_date", "end_date", start.alias("t"))
+        .agg(*_aggregates(ts, price, size, sequence))
     )
 
 

@@ -123,6 +123,17 @@ def section_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def segmented_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Section records of annual and current reports whose texts come from the segmenter."""
+    documents = _headed(spark, sf_dir).join(
+        bd.filings(spark, sf_dir, "doc_id").select("doc_id", F.col("accessionNo").alias("accession_number"), "ticker"), "doc_id"
+    )
+    texts = fil.texts_from_segments(seg.segment_filings(documents))
+    once = fil.dedupe_filings(bd.filings(spark, sf_dir), ["linkToTxt"])
+    found = fil.section_records(fil.filing_sections(fil.base_records(once, _now())), texts)
+    return found.select("accession_number", "section_id", "text")
+
+
 def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records that can be stored per year, and the number that cannot; every seventh filing has no readable time."""
     found = bd.filings(spark, sf_dir, "doc_id")
@@ -220,7 +231,7 @@ def html_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     names = (
         filing_flags, filings_in_scope, filed_at_utc, sic_lookup, base_records, filing_sections, dedupe_filings,
-        attached_targets, missing_filings, section_records, ingest_counts, normalize_ws, deep_clean, html_text,
+        attached_targets, missing_filings, section_records, segmented_records, ingest_counts, normalize_ws, deep_clean, html_text,
         html_readable, doc_start, segment_filing, segment_fallback, consolidated_doc, merged_doc, formatted_doc,
         html_doc,
     )
@@ -328,7 +339,7 @@ _MERGED_SQL = f"""WITH {_R} SELECT ticker, ordinal, concat({_NL}, {_NL}, '--- FI
 _ASSEMBLED = f"""{_R},
 g AS (
   SELECT ticker, accession, min(ordinal) AS first_ordinal, arg_min(company, ordinal) AS company, arg_min(form, ordinal) AS form,
-    max(period) AS period, coalesce(-date_diff('day', DATE '1970-01-01', CAST(max(period) AS DATE)), 2147483647) AS period_place
+    max(period) AS period, CAST(coalesce(-date_diff('day', DATE '1970-01-01', CAST(max(period) AS DATE)), 2147483647) AS INTEGER) AS period_place
   FROM r GROUP BY ticker, accession),
 o AS (SELECT *, lag(accession) OVER (PARTITION BY ticker ORDER BY period_place, first_ordinal, accession) AS prev FROM g)"""
 _PLACED = "r.ticker, 1 AS part, period_place, first_ordinal, r.accession AS accession_number, 2 AS kind, ordinal"
@@ -341,6 +352,19 @@ UNION ALL SELECT {_PLACED}, concat('Section: ', section_id, {_NL}, {_NL}, {_KEPT
 FROM r JOIN o ON r.ticker = o.ticker AND r.accession = o.accession"""
 
 
+def _page_sql(inline: str, between: str) -> str:
+    """Text between tags outside the head; ``inline`` tags do not part a text."""
+    cut = "regexp_replace(html, '(?is)<head>.*?</head>|<script>.*?</script>|<!--.*?-->', chr(1), 'g')"
+    if inline:
+        cut = f"regexp_replace({cut}, '(?i)</?({inline})( [^>]*)?>', '', 'g')"
+    text = f"regexp_replace({cut}, '<[^>]*>', chr(1), 'g')"
+    for entity, sign in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"')):
+        text = f"replace({text}, '{entity}', '{sign}')"
+    text = f"regexp_replace({text}, '&amp;?', '&', 'g')"
+    pieces = f"list_filter(list_transform(string_split({text}, chr(1)), lambda x: {_KEPT_TEXT.format('x')}), lambda x: x <> '')"
+    return f"SELECT page_id, array_to_string({pieces}, {between}) AS text FROM pages"
+
+
 def _html_sql() -> str:
     head = con._head().replace("'", "''")
     ends = f"""SELECT ticker, {{part}} AS part, 0 AS period_place, CAST(-1 AS BIGINT) AS first_ordinal, '' AS accession_number,
@@ -384,11 +408,15 @@ FROM c WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.ticker = c.ticker AND s.
             f"accession_number, source AS ticker, upper({bd.FORM}) AS form_type, section_id, {_SECTION_TEXT} AS text, "
             f"{_ISO_UTC} AS filing_timestamp_utc, {_SIC} AS sic_code"
         ),
+        "segmented_records": f"{_segment_sql()}, {_WANTED} SELECT accession_number, section_id, s.text FROM wanted w JOIN s ON s.doc_id = w.doc_id "
+        "AND s.section = concat('Item_', replace(w.section_code, '-', '.')) WHERE w.family <> '10-Q'",
         "ingest_counts": f"""SELECT CASE WHEN doc_id % 7 > 0 THEN strftime({FILED_UTC}, '%Y') ELSE 'none' END AS year, CAST(count(*) AS BIGINT) AS n
 FROM documents WHERE {_URL} IS NOT NULL GROUP BY 1""",
         "normalize_ws": f"""SELECT doc_id, {_KEPT_TEXT.format(f"regexp_replace({ws}, '(\\n\\s*)(\\n\\s*)(\\n\\s*)+', concat(chr(10), chr(10)), 'g')")} AS text
 FROM documents WHERE length({_KEPT_TEXT.format("replace(replace(text, ' ', concat('  ', chr(9))), chr(10), concat(chr(10), ' ', chr(10), chr(9), chr(10)))")}) > 50""",
         "deep_clean": f"""SELECT doc_id, {_KEPT_TEXT.format("concat(replace(replace(text, ' the ', ' & '), chr(10), ' '), ' End', chr(10), chr(10), replace(text, chr(10), ' '))")} AS text FROM documents""",
+        "html_text": _page_sql("", "chr(10)"),
+        "html_readable": _page_sql("a|b", "concat(chr(10), chr(10))"),
         "doc_start": f"""SELECT doc_id, CAST(CASE WHEN {_FAMILY} IN ('10-K', '10-Q') AND 8 + length(text) < 5000 THEN 8 + length(text) ELSE 0 END AS INTEGER) AS body_offset,
   CAST(15 + 2 * length(text) - CASE WHEN {_FAMILY} IN ('10-K', '10-Q') AND 8 + length(text) < 5000 THEN 8 + length(text) ELSE 0 END AS INTEGER) AS body_chars FROM documents""",
         "segment_filing": _segment_sql()

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickframe.functions import fidelity as fid
 from tickframe.operators import bars as br
 from tickframe.operators import indicators as ind
 from tickframe.operators import integrity as itg
@@ -167,6 +168,34 @@ def bars_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bars(spark, sf_dir, 1, "week").withColumn("vw", F.round("vw", 6))
 
 
+def target_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each ticker at four fidelities with ranges of one to four weeks, one fidelity unknown."""
+    trades = bd.trades(spark, sf_dir)
+    wanted = F.expr(
+        "array(named_struct('text', '15 minute', 'days', 6), named_struct('text', '2 hour', 'days', 13), "
+        "named_struct('text', 'day', 'days', 20), named_struct('text', 'week', 'days', 27), named_struct('text', '3 foo', 'days', 27))"
+    )
+    targets = trades.select("ticker").distinct().withColumn("_w", F.explode(wanted)).select(
+        "ticker",
+        F.when(F.col("_w.text") == "week", fid.technical(F.col("_w.text"))).otherwise(fid.historical(F.col("_w.text"))).alias("_p"),
+        F.lit(dt.date(2024, 1, 2)).alias("start_date"),
+        F.date_add(F.lit(dt.date(2024, 1, 2)), F.col("_w.days")).alias("end_date"),
+    ).select("ticker", "_p.*", "start_date", "end_date")
+    return br.target_bars(trades, targets).withColumn("vw", F.round("vw", 6)).drop("start_date", "end_date")
+
+
+def _target_bars_sql() -> str:
+    jobs = [(15, "minute", 6, "ns // 900000000000 * 900000"), (2, "hour", 13, "ns // 7200000000000 * 7200000"),
+            (1, "day", 20, _DAY_MS), (1, "week", 27, "epoch_ms(date_trunc('week', ts))")]
+    parts = []
+    for multiplier, timespan, days, start in jobs:
+        bar = _bars_sql(start).replace("bar AS (", "(", 1).replace(
+            "FROM trades", f"FROM trades WHERE ts >= TIMESTAMP '2024-01-02' AND ts < TIMESTAMP '2024-01-03' + INTERVAL {days} DAY"
+        )
+        parts.append(f"SELECT CAST({multiplier} AS BIGINT) AS multiplier, '{timespan}' AS timespan, b.* FROM {bar} b")
+    return f"WITH {_TRADES} " + " UNION ALL ".join(parts)
+
+
 def _bars_sql(start_ms: str, round_vw: bool = True) -> str:
     vw = "CAST(sum(CAST(price * size AS DECIMAL(22, 6))) AS DOUBLE) / nullif(CAST(sum(size) AS DOUBLE), 0)"
     vw = f"round({vw}, 6)" if round_vw else vw
@@ -274,6 +303,7 @@ def queries() -> dict:
         "bars_15m": bars_15m,
         "bars_1d": bars_1d,
         "bars_week": bars_week,
+        "target_bars": target_bars,
         "sma": sma,
         "ema": ema,
         "macd": macd,
@@ -310,6 +340,7 @@ silent AS (
         "bars_15m": f"WITH {_TRADES}, {_bars_sql('ns // 900000000000 * 900000')} SELECT * FROM bar",
         "bars_1d": f"WITH {_TRADES}, {_bars_sql(_DAY_MS)} SELECT * FROM bar",
         "bars_week": f"WITH {_TRADES}, {_bars_sql('epoch_ms(date_trunc(' + chr(39) + 'week' + chr(39) + ', ts))')} SELECT * FROM bar",
+        "target_bars": _target_bars_sql(),
         "sma": f"WITH {_TRADES}, {_ORDERED} SELECT ticker, t, CASE WHEN i >= 50 THEN round(avg(c) OVER "
         "(PARTITION BY ticker ORDER BY t ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 6) END AS sma FROM b",
         "ema": _EMA_SQL,

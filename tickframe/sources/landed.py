@@ -105,10 +105,14 @@ def history_inventory(spark: SparkSession, root: str) -> DataFrame:
     return parse_inventory(files.select("path", "length"))
 
 
+def tick_files(inventory: DataFrame) -> DataFrame:
+    """Tick files of every ticker, one row per file."""
+    return inventory.filter((F.col("fidelity") == "tick") & (F.col("extension") == "parquet"))
+
+
 def tick_universe(inventory: DataFrame) -> DataFrame:
     """Tickers that have tick files, with the number and size of those files."""
-    ticks = inventory.filter((F.col("fidelity") == "tick") & (F.col("extension") == "parquet"))
-    return ticks.groupBy("ticker").agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))
+    return tick_files(inventory).groupBy("ticker").agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))
 
 
 def history_universe(inventory: DataFrame) -> DataFrame:
