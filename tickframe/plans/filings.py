@@ -102,7 +102,7 @@ def _line_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = F.lit(None).cast("array<string>")
     for name, names in codes.items():
         listed = F.when(family == name, F.array(*[F.lit(code) for code in names])).otherwise(listed)
-    lines = bd.table(spark, sf_dir, "documents").select(
+    lines = bd.texts(spark, sf_dir, "documents", "doc_id", "source", "text").select(
         F.expr(bd.ACCESSION).alias("accession_number"),
         F.col("source").alias("ticker"),
         listed.alias("_codes"),
