@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from tickframe import fixed
 from tickframe.functions import filing as fx
+from tickframe.functions.conform import conform
 from tickframe.functions.instants import date_part, iso_utc
 from tickframe.functions.text import long_enough, normalize_whitespace
 from tickframe.operators.refdata import has_value
+from tickframe.schemas import FILING_SECTIONS
 
 EXTRACTION_METHOD = "local_segmenter_v1"
 
@@ -139,7 +141,7 @@ def section_records(wanted: DataFrame, texts: DataFrame) -> DataFrame:
     kept = texts.filter(long_enough(F.col("text"), fixed.MIN_SECTION_CHARS)).withColumn(
         "text", normalize_whitespace(F.col("text"))
     )
-    return wanted.join(kept, ["accession_number", "ticker", "section_code"])
+    return conform(wanted.join(kept, ["accession_number", "ticker", "section_code"]), FILING_SECTIONS)
 
 
 def storable(records: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -15,12 +15,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 4096
-_INDEX = "_index"
 _BLOCK = "_block"
 
 
@@ -28,36 +27,37 @@ def _by_time(ticker: str, t: str):
     return Window.partitionBy(ticker).orderBy(t)
 
 
-def _prefix_maps(columns: Sequence[tuple[str, str]]):
+def _prefix_maps(index: str, pairs: Sequence[tuple[str, str]]):
     """Per block and row the map y -> scale * y + shift made of all rows so far in the block."""
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(_INDEX, kind="stable")
-        for keep, add in columns:
-            kept, added = frame[keep].to_numpy(), frame[add].to_numpy()
-            scale, shift = np.empty(len(frame)), np.empty(len(frame))
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by(index)
+        for keep, add in pairs:
+            kept, added = table[keep].to_numpy(), table[add].to_numpy()
+            scale, shift = np.empty(len(kept)), np.empty(len(kept))
             a, b = 1.0, 0.0
-            for i in range(len(frame)):
+            for i in range(len(kept)):
                 a, b = a * kept[i], b * kept[i] + added[i]
                 scale[i], shift[i] = a, b
-            frame[keep], frame[add] = scale, shift
-        return frame
+            for name, values in ((keep, scale), (add, shift)):
+                table = table.set_column(table.schema.get_field_index(name), name, pa.array(values))
+        return table
 
     return run
 
 
-def _chain(columns: Sequence[tuple[str, str]]):
+def _chain(pairs: Sequence[tuple[str, str]]):
     """Value before each block of a ticker, from the maps of the earlier blocks."""
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(_BLOCK, kind="stable")
-        for keep, add in columns:
-            before, value = np.empty(len(frame)), 0.0
-            for i, (a, b) in enumerate(zip(frame[keep].to_numpy(), frame[add].to_numpy())):
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by(_BLOCK)
+        for keep, add in pairs:
+            before, value = np.empty(table.num_rows), 0.0
+            for i, (a, b) in enumerate(zip(table[keep].to_numpy(), table[add].to_numpy())):
                 before[i] = value
                 value = a * value + b
-            frame[keep] = before
-        return frame.drop(columns=[add for _, add in columns])
+            table = table.set_column(table.schema.get_field_index(keep), keep, pa.array(before))
+        return table
 
     return run
 
@@ -68,36 +68,25 @@ def linear_recurrence(
     """Add for each name of ``terms`` the recurrence y[i] = keep[i] * y[i-1] + add[i] with y before the start 0.
 
     ``index`` counts the rows of a key from 1. No task holds more than ``block_rows`` rows of a key, or one row
-    per block of it.
+    per block of it. Other columns travel along as Arrow columns, so nothing has to be joined back.
     """
     pairs = [(f"_keep_{name}", f"_add_{name}") for name in terms]
-    inputs = df.select(
-        key,
-        F.col(index).alias(_INDEX),
-        F.floor((F.col(index) - 1) / block_rows).cast("bigint").alias(_BLOCK),
-        *[column.cast("double").alias(label) for name, pair in zip(terms, pairs) for column, label in
-          zip(terms[name], pair)],
+    labels = [label for pair in pairs for label in pair]
+    rows = df.withColumn(_BLOCK, F.floor((F.col(index) - 1) / block_rows).cast("bigint")).withColumns(
+        {label: column.cast("double") for name, pair in zip(terms, pairs) for column, label in zip(terms[name], pair)}
     )
-    key_type = df.schema[key].dataType.simpleString()
-    numbers = ", ".join(f"{label} double" for pair in pairs for label in pair)
-    maps = inputs.groupBy(key, _BLOCK).applyInPandas(
-        _prefix_maps(pairs), f"{key} {key_type}, {_INDEX} bigint, {_BLOCK} bigint, {numbers}"
+    maps = rows.groupBy(key, _BLOCK).applyInArrow(_prefix_maps(index, pairs), rows.schema)
+    ends = maps.groupBy(key, _BLOCK).agg(*[F.max_by(label, index).alias(label) for label in labels])
+    carried = ends.groupBy(key).applyInArrow(_chain(pairs), ends.schema).select(
+        key, _BLOCK, *[F.col(keep).alias(f"_before{keep}") for keep, _ in pairs]
     )
-    ends = maps.groupBy(key, _BLOCK).agg(
-        *[F.max_by(label, _INDEX).alias(label) for pair in pairs for label in pair]
-    )
-    befores = ", ".join(f"{keep} double" for keep, _ in pairs)
-    carried = ends.groupBy(key).applyInPandas(_chain(pairs), f"{key} {key_type}, {_BLOCK} bigint, {befores}")
-    carried = carried.withColumnsRenamed({keep: f"_before{keep}" for keep, _ in pairs})
-    values = maps.join(carried, [key, _BLOCK]).select(
-        key,
-        F.col(_INDEX).alias(index),
+    return maps.join(carried, [key, _BLOCK]).select(
+        *df.columns,
         *[
             (F.col(keep) * F.col(f"_before{keep}") + F.col(add)).alias(name)
             for name, (keep, add) in zip(terms, pairs)
         ],
     )
-    return df.join(values, [key, index])
 
 
 def numbered(bars: DataFrame, ticker: str = "ticker", t: str = "t", out: str = "bar_no") -> DataFrame:

@@ -7,8 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickframe.functions.instants import day_start_ns
+from tickframe.sources.landed import read_pages
 
 
 @dataclass(frozen=True)
@@ -95,7 +97,14 @@ def range_scan(
     ticker: str | None = None,
     start: dt.date | None = None,
     end: dt.date | None = None,
+    ordered: bool = False,
 ) -> DataFrame:
-    """Stored dataset ``name`` under ``root``, restricted to a ticker and days."""
+    """Stored dataset ``name`` under ``root``, restricted to a ticker and days; sorted only when asked for."""
     dataset = DATASETS[name]
-    return scan(spark.read.parquet(f"{root}/{dataset.folder}"), dataset, ticker, start, end)
+    found = scan(spark.read.parquet(f"{root}/{dataset.folder}"), dataset, ticker, start, end)
+    return found.orderBy(dataset.order) if ordered and dataset.order else found
+
+
+def landed_pages(spark: SparkSession, path: str, name: str, row: T.StructType) -> DataFrame:
+    """Landed API pages of dataset ``name`` as rows, taken from where its answers hold them."""
+    return read_pages(spark, path, row, *DATASETS[name].nested)
