@@ -32,29 +32,34 @@ MEASURES = (
 ).split()
 
 
+#: Rules in the order of their bits; new rules go to the end, so stored bits keep their meaning.
+RULES = (
+    "few_words repeated_words symbol_words symbols shouting upper_case duplicate_lines long_words blocked_words"
+).split()
+
+
 def _per_word(share: float, measure: str) -> Column:
     return F.col(measure) > share * F.col("n_words")
 
 
-def rules() -> list[tuple[str, Column]]:
-    """Rules in the order of their bits; new rules go to the end, so stored bits keep their meaning."""
+def failures() -> list[Column]:
+    """When a document fails, for each of ``RULES``."""
     return [
-        ("few_words", F.col("n_words") < 20),
-        ("repeated_words", 100 * F.col("n_repeat_words") > 30 * F.col("n_words")),
-        ("symbol_words", _per_word(0.3, "n_symbol_words")),
-        ("symbols", _per_word(0.3, "n_symbols")),
-        ("shouting", (F.col("n_words") > 0) & _per_word(0.4, "n_shouted")),
-        ("upper_case", (F.col("n_letters") > 0) & (F.col("n_upper") > 0.5 * F.col("n_letters"))),
-        ("duplicate_lines", F.col("n_dup_lines") > 0.5 * F.col("n_lines")),
-        ("long_words", (F.col("n_words") > 0) & (F.col("word_chars") > 25 * F.col("n_words"))),
-        ("blocked_words", (F.col("n_blocked") >= 2) & (500 * F.col("n_blocked") >= F.col("n_words"))),
+        F.col("n_words") < 20,
+        100 * F.col("n_repeat_words") > 30 * F.col("n_words"),
+        _per_word(0.3, "n_symbol_words"),
+        _per_word(0.3, "n_symbols"),
+        (F.col("n_words") > 0) & _per_word(0.4, "n_shouted"),
+        (F.col("n_letters") > 0) & (F.col("n_upper") > 0.5 * F.col("n_letters")),
+        F.col("n_dup_lines") > 0.5 * F.col("n_lines"),
+        (F.col("n_words") > 0) & (F.col("word_chars") > 25 * F.col("n_words")),
+        (F.col("n_blocked") >= 2) & (500 * F.col("n_blocked") >= F.col("n_words")),
     ]
 
 
 def mask(*names: str) -> int:
     """The bits of the named rules, of all rules if none is named."""
-    order = [name for name, _ in rules()]
-    return sum(1 << order.index(name) for name in (names or order))
+    return sum(1 << RULES.index(name) for name in (names or RULES))
 
 
 #: The base: what every policy rejects.
@@ -171,7 +176,7 @@ def measure(docs: DataFrame, text: str = "text", blocked_words: list[str] | None
 def with_bits(measured: DataFrame) -> DataFrame:
     """The ledger: ``fail_bits`` (bit i is set where rule i fails) and ``n_failed`` beside the measurements."""
     bits = F.lit(0).cast("long")
-    for i, (_, fails) in enumerate(rules()):
+    for i, fails in enumerate(failures()):
         bits = bits.bitwiseOR(F.when(fails, F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
     return measured.withColumn("fail_bits", bits).withColumn("n_failed", F.bit_count("fail_bits").cast("long"))
 
@@ -199,7 +204,7 @@ def ablation(entries: DataFrame, policy: int | str = CURRENT) -> DataFrame:
     counts = entries.groupBy(F.col("fail_bits").bitwiseAND(F.lit(bits)).alias("b")).agg(F.count("*").alias("n"))
     each = [
         F.struct(F.lit(name).alias("rule"), F.lit(1 << i).cast("long").alias("bit"))
-        for i, (name, _) in enumerate(rules())
+        for i, name in enumerate(RULES)
         if bits >> i & 1
     ]
     rest = F.col("b").bitwiseAND(F.bitwise_not(F.col("r.bit")))

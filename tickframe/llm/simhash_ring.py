@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import Words, settled, signed, slices
+from tickframe.llm.common import Words, document_keys, settled, signed, slices
 from tickframe.llm.components import components
 
 BITS, SEGMENTS, DISTANCE = 64, 8, 3
@@ -198,11 +198,40 @@ def links(vertices: DataFrame, hot: int = HOT) -> DataFrame:
     return found.where("hot < 0").select("u", "v").unionByName(_hot_links(found.where("hot >= 0")))
 
 
+def _labelled(prints: DataFrame, hot: int) -> DataFrame:
+    """``fp``, ``rep`` (least id that has it) and ``label`` (one of the fingerprints of its component)."""
+    vertices = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"))
+    labels = components(links(vertices.select("fp"), hot)).select(F.col("vertex").alias("fp"), "label")
+    return vertices.join(labels, "fp", "left").select("fp", F.coalesce("label", "fp").alias("label"), "rep")
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 3, hot: int = HOT) -> DataFrame:
     """Every row's ``doc_id``, ``fp`` and ``component_id``."""
     prints = settled(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), width=width), "prints")
-    vertices = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    labels = components(links(vertices.select("fp"), hot)).select(F.col("vertex").alias("fp"), "label")
-    reps = vertices.join(labels, "fp", "left").select("fp", F.coalesce("label", "fp").alias("label"), "rep")
+    reps = _labelled(prints, hot)
     least = reps.groupBy("label").agg(F.min("rep").alias("component_id"))
     return prints.join(reps.select("fp", "label").join(least, "label"), "fp").select("doc_id", "fp", "component_id")
+
+
+def first_of_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = 3, hot: int = HOT) -> DataFrame:
+    """One row of each group of near duplicates: that of the least ``k1``, ``k2`` (see ``document_keys``), whole.
+
+    A group without any id keeps one row too. Rows that repeat id and text count as one document; of them one stays.
+    """
+    keyed = docs.select("*", *document_keys(doc_id, text))
+    prints = settled(
+        fingerprints(keyed.select("k1", "k2", F.col(text).alias("text")), width=width).withColumnRenamed("k1", "doc_id"), "prints"
+    )
+    reps = _labelled(prints, hot)
+    per_print = prints.groupBy("fp").agg(F.min(F.struct("doc_id", "k2")).alias("least"))
+    firsts = (
+        per_print.join(reps.select("fp", "label"), "fp")
+        .groupBy("label")
+        .agg(F.min("least").alias("least"))
+        .select(F.col("least.doc_id").alias("k1"), F.col("least.k2").alias("k2"))
+    )
+    kept = keyed.join(firsts, ["k1", "k2"], "left_semi")
+    repeated = prints.groupBy(F.col("doc_id").alias("k1"), "k2").count().where("count > 1").select("k1", "k2")
+    twice = kept.join(repeated, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+    once = kept.join(repeated, ["k1", "k2"], "left_anti")
+    return once.unionByName(twice).select(*docs.columns)
