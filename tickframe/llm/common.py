@@ -118,6 +118,33 @@ class Words:
         return made.indices.to_numpy(zero_copy_only=False).astype(np.int64), made.dictionary
 
 
+_NEWLINE = ord("\n")
+
+
+def worded_lines(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of each line (between line feeds) that holds a word."""
+    data, offsets = words.data, words.offsets
+    breaks = data == _NEWLINE
+    at = np.flatnonzero(breaks)
+    # The line that a feed opens belongs to the feed's text, even at the very end of it.
+    starts = np.sort(np.concatenate((offsets[:-1], at + 1)), kind="stable")
+    ends = np.sort(np.concatenate((offsets[1:], at)), kind="stable")
+    of = np.repeat(np.arange(len(offsets) - 1), 1 + row_sums(breaks, offsets))
+    filled = np.concatenate(([0], np.cumsum(words.inside)))
+    worded = filled[ends] > filled[starts]
+    return starts[worded], ends[worded], of[worded]
+
+
+def cut_out(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The byte ranges as a binary array."""
+    lengths = ends - starts
+    bounds = np.concatenate(([0], np.cumsum(lengths))).astype(np.int64)
+    take = np.repeat(starts - bounds[:-1], lengths) + np.arange(bounds[-1])
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data[take]))]
+    )
+
+
 def digests(values: pa.Array) -> np.ndarray:
     """64-bit hashes of a binary array."""
     _, offsets, data = values.buffers()

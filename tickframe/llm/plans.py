@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import rule_ledger, simhash_ring
+from tickframe.llm import decontam, line_suffix, pfair, rule_ledger, simhash_ring
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -19,6 +19,21 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pfair.mix(documents(spark, sf_dir).select("doc_id", "source"))
+
+
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_suffix.without_repeated_runs(documents(spark, sf_dir).select("doc_id", "text"))
+    return cut.select(
+        "doc_id", "n_lines", "n_removed_lines", "n_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = rule_ledger.ledger(documents(spark, sf_dir).select("doc_id", "text"))
     return entries.select(
@@ -70,9 +85,34 @@ FROM b
 """.replace("{blocked}", "|".join(rule_ledger.BLOCKED_WORDS))
 
 
+_OP5_SQL = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+a AS (SELECT doc_id, i, ls[i] AS line, len(regexp_extract_all(ls[i], '[^\x20\x09-\x0D]+')) AS n
+      FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM d)),
+l AS (SELECT *, row_number() OVER w AS pos, sum(n) OVER w AS upto FROM a WHERE n > 0 WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+s AS (SELECT x.doc_id, x.pos, min(y.pos) AS last FROM l x JOIN l y ON x.doc_id = y.doc_id AND y.pos >= x.pos
+      AND y.upto - x.upto + x.n >= 50 GROUP BY ALL),
+r AS (SELECT s.doc_id, s.pos, s.last, string_agg(line, chr(10) ORDER BY l.pos) AS run
+      FROM s JOIN l ON l.doc_id = s.doc_id AND l.pos BETWEEN s.pos AND s.last GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS nth FROM r),
+g AS (SELECT DISTINCT l.doc_id, l.pos FROM k JOIN l ON l.doc_id = k.doc_id AND l.pos BETWEEN k.pos AND k.last WHERE nth > 1),
+m AS (SELECT l.*, g.pos IS NOT NULL AS gone, lag(g.pos) OVER (PARTITION BY l.doc_id ORDER BY l.pos) IS NULL AS opens
+      FROM l LEFT JOIN g ON g.doc_id = l.doc_id AND g.pos = l.pos),
+c AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed_lines,
+      count(*) FILTER (WHERE gone AND opens) AS n_runs FROM m GROUP BY doc_id),
+b AS (SELECT a.doc_id, a.i, a.line, max(m.gone) FILTER (WHERE m.i = a.i) AS own,
+      arg_max(m.gone, m.i) FILTER (WHERE m.i < a.i) AS before
+      FROM a LEFT JOIN m ON m.doc_id = a.doc_id AND m.i <= a.i GROUP BY ALL),
+t AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT coalesce(own, before, false)) AS kept FROM b GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed_lines, 0) AS n_removed_lines, coalesce(n_runs, 0) AS n_runs,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+
 def queries() -> dict:
-    return {"op2_simhash": op2_simhash, "op9_rules": op9_rules}
+    return {"op2_simhash": op2_simhash, "op3_mixing": op3_mixing, "op5_lines": op5_lines, "op6_decontamination": op6_decontamination, "op9_rules": op9_rules}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_rules": _OP9_SQL}
+    return {"op5_lines": _OP5_SQL, "op9_rules": _OP9_SQL}

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import Words, mixed, row_sums, slices, window_hashes
+from tickframe.llm.common import Words, cut_out, mixed, row_sums, slices, window_hashes, worded_lines
 
 WINDOW_WORDS = 8
 
@@ -79,29 +79,15 @@ _UPPER = np.zeros(256, dtype=bool)
 _UPPER[ord("A") : ord("Z") + 1] = True
 _LETTER = _UPPER.copy()
 _LETTER[ord("a") : ord("z") + 1] = True
-_NEWLINE = ord("\n")
 _LOUD = np.zeros(256, dtype=bool)
 _LOUD[ord("!")] = True
 
 
-def _line_measures(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _line_measures(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Lines with a word, and those of them that equal an earlier line of their text."""
-    n = len(offsets) - 1
-    breaks = np.flatnonzero(data == _NEWLINE)
-    starts = np.sort(np.concatenate((offsets[:-1], breaks + 1)), kind="stable")
-    ends = np.sort(np.concatenate((offsets[1:], breaks)), kind="stable")
-    # A break before a text's end opens a line that belongs to that text, even an empty one at the very end.
-    counts = 1 + row_sums(data == _NEWLINE, offsets)
-    of = np.repeat(np.arange(n), counts)
-    filled = np.concatenate(([0], np.cumsum(inside)))
-    worded = filled[ends] > filled[starts]
-    starts, ends, of = starts[worded], ends[worded], of[worded]
-    lengths = ends - starts
-    bounds = np.concatenate(([0], np.cumsum(lengths)))
-    take = np.repeat(starts - bounds[:-1], lengths) + np.arange(bounds[-1])
-    lines = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(starts), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data[take]))]
-    )
+    n = len(words.offsets) - 1
+    starts, ends, of = worded_lines(words)
+    lines = cut_out(words.data, starts, ends)
     codes = lines.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
     first = np.unique(of * (int(codes.max(initial=0)) + 1) + codes, return_index=True)[1]
     total = np.bincount(of, minlength=n)
@@ -138,7 +124,7 @@ def _measured(batch: pa.RecordBatch, text: str, blocked: pa.Array) -> dict[str,
     loud = (upper > 0) & (upper == letters) & (row_sums(_LOUD[body], ends) > 0)
     trimmed = pc.ascii_trim(pc.ascii_lower(values.cast(pa.large_string())), characters=".,;:!?\"'()[]#*$%&|<>")
     is_blocked = pc.is_in(trimmed, value_set=blocked).to_numpy(zero_copy_only=False)
-    n_lines, n_dup = _line_measures(data, offsets, words.inside)
+    n_lines, n_dup = _line_measures(words)
     return {
         "n_words": np.diff(words.bounds),
         "word_chars": row_sums(words.inside & ((data & 0xC0) != 0x80), offsets),

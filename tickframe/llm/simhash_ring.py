@@ -230,8 +230,7 @@ def first_of_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         .agg(F.min("least").alias("least"))
         .select(F.col("least.doc_id").alias("k1"), F.col("least.k2").alias("k2"))
     )
-    kept = keyed.join(firsts, ["k1", "k2"], "left_semi")
-    repeated = prints.groupBy(F.col("doc_id").alias("k1"), "k2").count().where("count > 1").select("k1", "k2")
-    twice = kept.join(repeated, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
-    once = kept.join(repeated, ["k1", "k2"], "left_anti")
-    return once.unionByName(twice).select(*docs.columns)
+    copies = prints.groupBy(F.col("doc_id").alias("k1"), "k2").agg(F.count("*").alias("n_copies"))
+    kept = keyed.join(firsts.join(copies, ["k1", "k2"]), ["k1", "k2"])
+    once = kept.where("n_copies = 1")
+    return once.unionByName(kept.where("n_copies > 1").dropDuplicates(["k1", "k2"])).select(*docs.columns)
