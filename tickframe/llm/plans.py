@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import decontam, line_suffix, pfair, rule_ledger, simhash_ring
+from tickframe.llm import decontam, line_suffix, pfair, pii, rule_ledger, simhash_ring
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -23,6 +23,17 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfair.mix(documents(spark, sf_dir).select("doc_id", "source"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+    count = lambda kind: F.size(F.filter("pii", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *map(count, pii.BASE_KINDS),
+        F.sha2(pii.joined(F.col("pii"), pii.BASE_KINDS), 256).alias("base_sha256"),
+        pii.joined(F.col("pii")).alias("spans"),
+    )
+
+
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = line_suffix.without_repeated_runs(documents(spark, sf_dir).select("doc_id", "text"))
     return cut.select(
@@ -111,7 +122,7 @@ FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
 
 
 def queries() -> dict:
-    return {"op2_simhash": op2_simhash, "op3_mixing": op3_mixing, "op5_lines": op5_lines, "op6_decontamination": op6_decontamination, "op9_rules": op9_rules}
+    return {"op2_simhash": op2_simhash, "op3_mixing": op3_mixing, "op4_pii": op4_pii, "op5_lines": op5_lines, "op6_decontamination": op6_decontamination, "op9_rules": op9_rules}
 
 
 def oracle_sql() -> dict[str, str]:
