@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import decontam, line_suffix, pfair, pii, rule_ledger, simhash_ring
+from tickframe.llm import decontam, line_suffix, pfair, phrase_dedup, pii, rule_ledger, simhash_ring
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -45,6 +45,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = phrase_dedup.without_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = rule_ledger.ledger(documents(spark, sf_dir).select("doc_id", "text"))
     return entries.select(
@@ -122,7 +127,7 @@ FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
 
 
 def queries() -> dict:
-    return {"op2_simhash": op2_simhash, "op3_mixing": op3_mixing, "op4_pii": op4_pii, "op5_lines": op5_lines, "op6_decontamination": op6_decontamination, "op9_rules": op9_rules}
+    return {"op2_simhash": op2_simhash, "op3_mixing": op3_mixing, "op4_pii": op4_pii, "op5_lines": op5_lines, "op6_decontamination": op6_decontamination, "op7_suffixes": op7_suffixes, "op9_rules": op9_rules}
 
 
 def oracle_sql() -> dict[str, str]:
