@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import decontam, line_suffix, pfair, phrase_dedup, pii, rule_ledger, simhash_ring
+from tickframe.llm import decontam, kneser_ney, line_suffix, pfair, phrase_dedup, pii, rule_ledger, simhash_ring
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -65,6 +65,23 @@ def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    held_out = kneser_ney.part() == 2
+    model = kneser_ney.train(docs.where(~held_out))
+    scored = kneser_ney.score(docs.withColumn("held_out", held_out), model)
+    return scored.select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        "n_known",
+        F.lit(model.n_tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+        F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
+    )
+
+
 _OP9_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
@@ -127,7 +144,7 @@ FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
 
 
 def queries() -> dict:
-    return {"op2_simhash": op2_simhash, "op3_mixing": op3_mixing, "op4_pii": op4_pii, "op5_lines": op5_lines, "op6_decontamination": op6_decontamination, "op7_suffixes": op7_suffixes, "op9_rules": op9_rules}
+    return {"op2_simhash": op2_simhash, "op3_mixing": op3_mixing, "op4_pii": op4_pii, "op5_lines": op5_lines, "op6_decontamination": op6_decontamination, "op7_suffixes": op7_suffixes, "op9_rules": op9_rules, "op10_kneser_ney": op10_kneser_ney}
 
 
 def oracle_sql() -> dict[str, str]:
