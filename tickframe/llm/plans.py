@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import decontam, kneser_ney, line_suffix, pfair, phrase_dedup, pii, rule_ledger, simhash_ring
+from tickframe.llm import chat_hmm, decontam, importance, kneser_ney, line_suffix, pfair, phrase_dedup, pii, rule_ledger, simhash_ring
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -14,6 +14,27 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def transcripts(conversations: DataFrame) -> DataFrame:
+    """Conversations as transcripts are found: roles only as markers of several styles, and on a third of the turns none."""
+    styles = {
+        "user": ["User: ", "### Human: ", "[user] ", "**Q:** ", "> user: ", "human> "],
+        "assistant": ["Assistant: ", "### AI: ", "[assistant] ", "**A:** ", "> bot: ", "model> "],
+        "system": ["System: ", "### Instruction: ", "[system] ", "**System:** ", "> system: ", "sys> "],
+    }
+    pick = F.pmod(F.xxhash64("conv_id", "turn", "text"), F.lit(9)).cast("int")
+    marker = F.lit("")
+    for role, own in styles.items():
+        marker = F.when(F.col("role") == role, F.coalesce(F.get(F.array(*map(F.lit, own)), pick), F.lit(""))).otherwise(marker)
+    return conversations.withColumn("text", F.concat(marker, F.coalesce("text", F.lit(""))))
+
+
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = transcripts(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    model = chat_hmm.fit(shown.where(F.pmod(F.xxhash64("conv_id"), F.lit(5)) != 0))
+    turns = chat_hmm.rendered(chat_hmm.roles(chat_hmm.lines(shown.drop("role")), model))
+    return turns.withColumnRenamed("conv", "conv_id")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_ring.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -50,6 +71,11 @@ def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return importance.resample(documents(spark, sf_dir).select("doc_id", "text"), labels)
+
+
 def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = rule_ledger.ledger(documents(spark, sf_dir).select("doc_id", "text"))
     return entries.select(
@@ -144,7 +170,7 @@ FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
 
 
 def queries() -> dict:
-    return {"op2_simhash": op2_simhash, "op3_mixing": op3_mixing, "op4_pii": op4_pii, "op5_lines": op5_lines, "op6_decontamination": op6_decontamination, "op7_suffixes": op7_suffixes, "op9_rules": op9_rules, "op10_kneser_ney": op10_kneser_ney}
+    return {"op1_chat": op1_chat, "op2_simhash": op2_simhash, "op3_mixing": op3_mixing, "op4_pii": op4_pii, "op5_lines": op5_lines, "op6_decontamination": op6_decontamination, "op7_suffixes": op7_suffixes, "op8_importance": op8_importance, "op9_rules": op9_rules, "op10_kneser_ney": op10_kneser_ney}
 
 
 def oracle_sql() -> dict[str, str]:
