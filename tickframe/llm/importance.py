@@ -1,6 +1,6 @@
 """Quality by importance resampling.
 
-Words and pairs of neighbouring words are hashed into ``BUCKETS`` features. Two bag models are counted over them: of the
+Words, pairs of neighbouring words and the first ``STEM`` characters of words are hashed into ``BUCKETS`` features. Two bag models are counted over them: of the
 raw text, over all documents, and of the target, over documents that labels call good. A document's log weight is the log
 ratio of its probability under both, summed over its features; each feature's ratio is shrunk by ``SHRINK`` expected
 occurrences, so what the raw text rarely holds says little. Gumbel noise from the document's own hash makes the top k of
@@ -18,12 +18,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.llm.common import Words, digests, document_keys, mixed, settled, slices
 
 BUCKETS = 1 << 18
+STEM = 5
 SHRINK = 16.0
 MOST_LABELS = 100_000
 SEED = 17
@@ -31,16 +33,18 @@ _CHUNK = 4096
 
 
 def _features(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and row of every word and every pair of neighbours."""
+    """Bucket and row of every word, every pair of neighbours and every word's beginning."""
     codes, values = words.encoded()
     of = np.repeat(np.arange(len(words.bounds) - 1), np.diff(words.bounds))
     if not len(codes):
         return codes, of
     hashes = digests(values)[codes]
+    begun = pc.utf8_slice_codeunits(values.cast(pa.large_string()), 0, STEM).dictionary_encode()
+    stems = mixed(digests(begun.dictionary.cast(pa.large_binary())))[begun.indices.to_numpy(zero_copy_only=False)][codes]
     whole = of[:-1] == of[1:]
     pairs = mixed(hashes[:-1] ^ mixed(hashes[1:]))[whole]
     bits = np.uint64(BUCKETS - 1)
-    return (np.concatenate((hashes, pairs)) & bits).astype(np.int64), np.concatenate((of, of[:-1][whole]))
+    return (np.concatenate((hashes, pairs, stems)) & bits).astype(np.int64), np.concatenate((of, of[:-1][whole], of))
 
 
 def _counts(docs: DataFrame, good: np.ndarray, doc_id: str, text: str) -> tuple[np.ndarray, np.ndarray]:

@@ -77,7 +77,9 @@ def op8_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = rule_ledger.ledger(documents(spark, sf_dir).select("doc_id", "text"))
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    stems = rule_ledger.learned_stems(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    entries = rule_ledger.ledger(docs, blocked_stems=stems)
     return entries.select(
         "doc_id",
         "n_words",
@@ -111,6 +113,13 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 _OP9_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
+p AS (SELECT w.r, doc_id, unnest(list_transform(ws, lambda x: translate(trim(x, '{outer}'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'))) AS word FROM w),
+h AS (SELECT substr(word, 1, 5) AS stem FROM p JOIN labels USING (doc_id) WHERE quality = 1 AND length(word) >= 4 AND toxic IS NOT NULL
+      GROUP BY 1 HAVING count(DISTINCT r) FILTER (WHERE toxic = 1) >= 5
+      AND 50 * count(DISTINCT r) FILTER (WHERE toxic <> 1) <= count(DISTINCT r) FILTER (WHERE toxic = 1)),
+x AS (SELECT r, count(*) AS n_blocked FROM p WHERE word IN ({blocked})
+      OR length(word) >= 4 AND substr(word, 1, 5) IN (SELECT stem FROM h) GROUP BY r),
 l AS (
   SELECT r, count(*) FILTER (WHERE worded) AS n_lines, count(*) FILTER (WHERE worded) - count(DISTINCT line) FILTER (WHERE worded)
     AS n_dup_lines
@@ -128,20 +137,22 @@ m AS (
     length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS n_letters,
     len(list_filter(ws, lambda x: regexp_matches(x, '[#*$%&|<>]'))) AS n_symbol_words,
     len(list_filter(ws, lambda x: contains(x, '!') AND regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]'))) AS n_shouted,
-    len(list_filter(ws, lambda x: regexp_matches(trim(x, '.,;:!?"''()[]#*$%&|<>'), '^(?i:{blocked})$'))) AS n_blocked
-  FROM w JOIN l USING (r) LEFT JOIN c USING (r)),
+    coalesce(n_blocked, 0) AS n_blocked,
+    len(list_filter(range(1, len(ws)), lambda i: ws[i] = ws[i + 1])) AS n_stutter
+  FROM w JOIN l USING (r) LEFT JOIN c USING (r) LEFT JOIN x USING (r)),
 b AS (
   SELECT *, (n_words < 20)::INT AS b0, (100 * n_repeat_words > 30 * n_words)::INT AS b1,
     (n_symbol_words > 0.3 * n_words)::INT AS b2, (n_symbols > 0.3 * n_words)::INT AS b3,
     (n_words > 0 AND n_shouted > 0.4 * n_words)::INT AS b4, (n_letters > 0 AND n_upper > 0.5 * n_letters)::INT AS b5,
     (n_dup_lines > 0.5 * n_lines)::INT AS b6, (n_words > 0 AND word_chars > 25 * n_words)::INT AS b7,
-    (n_blocked >= 2 AND 500 * n_blocked >= n_words)::INT AS b8
+    (n_blocked >= 2 AND 500 * n_blocked >= n_words)::INT AS b8, (n_words > 0 AND n_stutter > 0.3 * n_words)::INT AS b9
   FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, b0 + b1 > 0 AS base_failed,
-  b0 + b1 + b2 + b3 + b4 + b5 + b6 + b7 + b8 = 0 AS kept,
-  (b0 + 2 * b1 + 4 * b2 + 8 * b3 + 16 * b4 + 32 * b5 + 64 * b6 + 128 * b7 + 256 * b8)::BIGINT AS fail_bits
+  b0 + b1 + b2 + b3 + b4 + b5 + b6 + b7 + b8 + b9 = 0 AS kept,
+  (b0 + 2 * b1 + 4 * b2 + 8 * b3 + 16 * b4 + 32 * b5 + 64 * b6 + 128 * b7 + 256 * b8 + 512 * b9)::BIGINT AS fail_bits
 FROM b
-""".replace("{blocked}", "|".join(rule_ledger.BLOCKED_WORDS))
+"""
+_OP9_SQL = _OP9_SQL.replace("{blocked}", ", ".join(f"'{w}'" for w in rule_ledger.BLOCKED_WORDS)).replace("{outer}", ".,;:!?\"''()[]#*$%&|<>")
 
 
 _OP5_SQL = r"""

@@ -4,6 +4,10 @@ Every rule is evaluated once per document: the ledger keeps the measurements and
 versioned mask of rejecting bits, applied later by one bitwise test, so policies can change without reading texts
 again; ablations aggregate the bits.
 
+Words of insult come from a list and, where labels are given, from the texts that labels call toxic: word beginnings that
+at least ``MIN_TOXIC`` toxic texts hold, and that are ``TOXIC_ODDS`` times rarer in clean ones. They are learned from up to
+``MOST_LABELS`` labelled rows (those of the least hash), the documented bound of what is sent to the workers.
+
 Measuring is a map over Arrow batches without a shuffle. A null or empty text has no words and fails ``few_words``;
 repeated rows are measured each for itself; an empty table gives an empty ledger. Further input columns are carried
 along unless they bear the name of a ledger column, in which case they are dropped.
@@ -27,14 +31,20 @@ BLOCKED_WORDS = (
     "retard scum scumbag stupid trash ugly vermin worthless"
 ).split()
 
+#: Code points of a word's beginning that may be blocked, and of the shortest word that counts.
+STEM, SHORTEST = 5, 4
+MIN_TOXIC, TOXIC_ODDS, MOST_LABELS, MOST_STEMS = 5, 50, 100_000, 100_000
+
 MEASURES = (
-    "n_words word_chars n_symbols n_lines n_dup_lines n_repeat_words n_upper n_letters n_symbol_words n_shouted n_blocked"
+    "n_words word_chars n_symbols n_lines n_dup_lines n_repeat_words n_upper n_letters n_symbol_words n_shouted n_blocked "
+    "n_stutter"
 ).split()
 
 
 #: Rules in the order of their bits; new rules go to the end, so stored bits keep their meaning.
 RULES = (
-    "few_words repeated_words symbol_words symbols shouting upper_case duplicate_lines long_words blocked_words"
+    "few_words repeated_words symbol_words symbols shouting upper_case duplicate_lines long_words blocked_words "
+    "stutter"
 ).split()
 
 
@@ -54,6 +64,7 @@ def failures() -> list[Column]:
         F.col("n_dup_lines") > 0.5 * F.col("n_lines"),
         (F.col("n_words") > 0) & (F.col("word_chars") > 25 * F.col("n_words")),
         (F.col("n_blocked") >= 2) & (500 * F.col("n_blocked") >= F.col("n_words")),
+        (F.col("n_words") > 0) & _per_word(0.3, "n_stutter"),
     ]
 
 
@@ -114,7 +125,56 @@ def _repeated(codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return row_sums(np.cumsum(edges[:-1]) > 0, bounds)
 
 
-def _measured(batch: pa.RecordBatch, text: str, blocked: pa.Array) -> dict[str, np.ndarray]:
+def _stems(values: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Words without case (A-Z) and outer punctuation, and their beginnings, null for short words."""
+    plain = pc.ascii_trim(pc.ascii_lower(values.cast(pa.large_string())), characters=".,;:!?\"'()[]#*$%&|<>")
+    stems = pc.utf8_slice_codeunits(plain, 0, STEM)
+    return plain, pc.if_else(pc.greater_equal(pc.utf8_length(plain), SHORTEST), stems, pa.scalar(None, pa.large_string()))
+
+
+def learned_stems(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> list[str]:
+    """Word beginnings that mark toxic texts: counted over texts of quality 1, toxic against clean."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (F.col("quality") == 1))
+    sample = known.select(F.col("doc_id").cast("long").alias("_id"), (F.col("toxic") == 1).alias("_toxic"))
+    sample = sample.orderBy(F.xxhash64("_id"), "_id", "_toxic").limit(MOST_LABELS)
+    chosen = docs.select(F.col(doc_id).alias("_id"), text).join(F.broadcast(sample), "_id").select(text, "_toxic")
+
+    def count(batches):
+        total: dict[str, list[int]] = {}
+        for batch in slices(batches, text):
+            words = Words(batch.column(text))
+            codes, values = words.encoded()
+            made = _stems(values)[1].dictionary_encode()
+            stem = made.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)[codes] if len(codes) else codes
+            row = np.repeat(np.arange(batch.num_rows), np.diff(words.bounds))
+            n = len(made.dictionary)
+            pairs = np.unique(row[stem >= 0] * n + stem[stem >= 0])
+            toxic = batch.column("_toxic").to_numpy(zero_copy_only=False).astype(bool)[pairs // max(1, n)]
+            found = np.stack((np.bincount(pairs[toxic] % max(1, n), minlength=n), np.bincount(pairs[~toxic] % max(1, n), minlength=n)))
+            for name, a, b in zip(made.dictionary.to_pylist(), *found.tolist()):
+                own = total.setdefault(name, [0, 0])
+                own[0] += a
+                own[1] += b
+            if len(total) > 1_000_000:
+                yield _stem_rows(total)
+                total = {}
+        yield _stem_rows(total)
+
+    counts = chosen.mapInArrow(count, "stem string, toxic long, clean long").groupBy("stem").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
+    marked = counts.where((F.col("t") >= MIN_TOXIC) & (TOXIC_ODDS * F.col("c") <= F.col("t"))).select("stem").limit(MOST_STEMS + 1).collect()
+    if len(marked) > MOST_STEMS:
+        raise ValueError("too many toxic word beginnings; raise MIN_TOXIC")
+    return sorted(r.stem for r in marked)
+
+
+def _stem_rows(total: dict[str, list[int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(total), pa.string()), *(pa.array([x[i] for x in total.values()], pa.int64()) for i in range(2))],
+        names=["stem", "toxic", "clean"],
+    )
+
+
+def _measured(batch: pa.RecordBatch, text: str, blocked: pa.Array, stems: pa.Array) -> dict[str, np.ndarray]:
     words = Words(batch.column(text))
     data, offsets = words.data, words.offsets
     codes, values = words.encoded()
@@ -122,8 +182,11 @@ def _measured(batch: pa.RecordBatch, text: str, blocked: pa.Array) -> dict[str,
     upper, letters = row_sums(_UPPER[body], ends), row_sums(_LETTER[body], ends)
     symbol = row_sums(_SYMBOL[body], ends) > 0
     loud = (upper > 0) & (upper == letters) & (row_sums(_LOUD[body], ends) > 0)
-    trimmed = pc.ascii_trim(pc.ascii_lower(values.cast(pa.large_string())), characters=".,;:!?\"'()[]#*$%&|<>")
-    is_blocked = pc.is_in(trimmed, value_set=blocked).to_numpy(zero_copy_only=False)
+    plain, begun = _stems(values)
+    is_blocked = pc.or_(pc.is_in(plain, value_set=blocked), pc.is_in(begun, value_set=stems)).to_numpy(zero_copy_only=False)
+    again = np.zeros(len(codes), bool)
+    again[1:] = codes[1:] == codes[:-1]
+    again[words.bounds[:-1][words.bounds[:-1] < len(codes)]] = False
     n_lines, n_dup = _line_measures(words)
     return {
         "n_words": np.diff(words.bounds),
@@ -137,10 +200,11 @@ def _measured(batch: pa.RecordBatch, text: str, blocked: pa.Array) -> dict[str,
         "n_symbol_words": row_sums(symbol, words.bounds),
         "n_shouted": row_sums(loud, words.bounds),
         "n_blocked": row_sums(is_blocked[codes], words.bounds) if len(codes) else np.zeros(batch.num_rows, np.int64),
+        "n_stutter": row_sums(again, words.bounds),
     }
 
 
-def measure(docs: DataFrame, text: str = "text", blocked_words: list[str] | None = None) -> DataFrame:
+def measure(docs: DataFrame, text: str = "text", blocked_words: list[str] | None = None, blocked_stems: list[str] = ()) -> DataFrame:
     """``docs`` with the columns of ``MEASURES`` (long), each taken over the whole text."""
     kept = [c for c in docs.columns if c not in {*MEASURES, "fail_bits", "n_failed"}]
     fields = docs.select(*kept).schema
@@ -149,9 +213,9 @@ def measure(docs: DataFrame, text: str = "text", blocked_words: list[str] | None
     terms = BLOCKED_WORDS if blocked_words is None else blocked_words
 
     def run(batches):
-        blocked = pa.array(terms, pa.large_string())
+        blocked, stems = (pa.array(x, pa.large_string()) for x in (terms, blocked_stems))
         for batch in slices(batches, text):
-            found = _measured(batch, text, blocked)
+            found = _measured(batch, text, blocked, stems)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *(pa.array(found[m], pa.int64()) for m in MEASURES)], names=[*batch.schema.names, *MEASURES]
             )
@@ -167,8 +231,8 @@ def with_bits(measured: DataFrame) -> DataFrame:
     return measured.withColumn("fail_bits", bits).withColumn("n_failed", F.bit_count("fail_bits").cast("long"))
 
 
-def ledger(docs: DataFrame, text: str = "text", blocked_words: list[str] | None = None) -> DataFrame:
-    return with_bits(measure(docs, text, blocked_words))
+def ledger(docs: DataFrame, text: str = "text", blocked_words: list[str] | None = None, blocked_stems: list[str] = ()) -> DataFrame:
+    return with_bits(measure(docs, text, blocked_words, blocked_stems))
 
 
 def rejected(policy: int | str = CURRENT) -> Column:
