@@ -1,17 +1,20 @@
 """Quality by importance resampling.
 
-Words, pairs of neighbouring words and the first ``STEM`` characters of words are hashed into ``BUCKETS`` features. Two bag models are counted over them: of the
-raw text, over all documents, and of the target, over documents that labels call good. A document's log weight is the log
-ratio of its probability under both, summed over its features; each feature's ratio is shrunk by ``SHRINK`` expected
-occurrences, so what the raw text rarely holds says little. Gumbel noise from the document's own hash makes the top k of
-weight plus noise a sample without replacement in proportion to the weights.
+Words, pairs of neighbouring words and the first ``STEM`` characters of words are hashed into ``BUCKETS`` features. Two bag
+models are counted over them: of the raw text, over all documents, and of the target, over documents that labels call
+good. Their log ratio, summed over a document's features, is L; each feature's ratio is shrunk by ``SHRINK`` expected
+occurrences, so what the raw text rarely holds says little. Toxic text hides in the raw mean, hence it gets a model of its
+own from the labels: T is the log ratio of target and toxic text over word beginnings that are decisive
+(``DECISIVE``). The raw text as a mixture of the target (its share g of the labels), toxic text (share t) and the rest
+gives the weight -log(g + (1 - g - t) exp(-L) + t exp(-T)). Gumbel noise from the document's own hash makes the top k
+of weight plus noise a sample without replacement in proportion to the weights.
 
 Labels are used up to ``MOST_LABELS`` rows, those of the least hash: a documented bound on what is sent to the workers.
 All counts cover all documents whole. Each task adds up its own counts; what is shuffled and what reaches the driver has a
 fixed size per task and in total. The k-th key is found exactly by counting 16 bits of the keys at a time.
 
-A null or wordless text has weight 0. Rows that repeat id and text get the same noise; keys equal to the k-th are all kept.
-Null labels and ids without a document are passed over; without any good label all weights are 0.
+A null or wordless text has L = T = 0. Rows that repeat id and text get the same noise; keys equal to the k-th are all
+kept. Null labels and ids without a document are passed over; without any good label all weights are equal.
 """
 
 from __future__ import annotations
@@ -28,37 +31,44 @@ BUCKETS = 1 << 18
 STEM = 5
 SHRINK = 16.0
 MOST_LABELS = 100_000
+TOXIC_SHRINK, DECISIVE = 2.0, -1.5
+#: What the sample takes beyond the share of good labels.
+TOLERANCE = 0.02
+#: Columns of counts: raw, target, target's and toxic text's word beginnings.
+_COLUMNS = 4
 SEED = 17
 _CHUNK = 4096
 
 
-def _features(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and row of every word, every pair of neighbours and every word's beginning."""
+def _features(words: Words) -> tuple[np.ndarray, np.ndarray, int]:
+    """Bucket and row of every word's beginning, every word and every pair of neighbours; how many are beginnings."""
     codes, values = words.encoded()
     of = np.repeat(np.arange(len(words.bounds) - 1), np.diff(words.bounds))
     if not len(codes):
-        return codes, of
+        return codes, of, 0
     hashes = digests(values)[codes]
     begun = pc.utf8_slice_codeunits(values.cast(pa.large_string()), 0, STEM).dictionary_encode()
     stems = mixed(digests(begun.dictionary.cast(pa.large_binary())))[begun.indices.to_numpy(zero_copy_only=False)][codes]
     whole = of[:-1] == of[1:]
     pairs = mixed(hashes[:-1] ^ mixed(hashes[1:]))[whole]
-    bits = np.uint64(BUCKETS - 1)
-    return (np.concatenate((hashes, pairs, stems)) & bits).astype(np.int64), np.concatenate((of, of[:-1][whole], of))
+    found = np.concatenate((stems, hashes, pairs)) & np.uint64(BUCKETS - 1)
+    return found.astype(np.int64), np.concatenate((of, of, of[:-1][whole])), len(codes)
 
 
-def _counts(docs: DataFrame, good: np.ndarray, doc_id: str, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Feature counts of the raw text and of the target."""
+def _counts(docs: DataFrame, good: np.ndarray, toxic: np.ndarray, doc_id: str, text: str) -> np.ndarray:
+    """Feature counts in the columns of ``_COLUMNS``."""
 
     def count(batches):
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        total = np.zeros((BUCKETS, _COLUMNS), np.int64)
         for batch in slices(batches, text):
-            features, of = _features(Words(batch.column(text), lower=True))
-            raw += np.bincount(features, minlength=BUCKETS)
+            features, of, begun = _features(Words(batch.column(text), lower=True))
             ids = batch.column(doc_id)
-            chosen = np.isin(ids.fill_null(0).to_numpy(zero_copy_only=False), good) & ids.is_valid().to_numpy(zero_copy_only=False)
-            target += np.bincount(features[chosen[of]], minlength=BUCKETS)
-        parts = np.stack((raw, target), axis=1).reshape(-1, 2 * _CHUNK)
+            valid, ids = ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy(zero_copy_only=False)
+            is_good, is_toxic = (np.isin(ids, x) & valid for x in (good, toxic))
+            stems, of_stems = features[:begun], of[:begun]
+            for i, x in enumerate((features, features[is_good[of]], stems[is_good[of_stems]], stems[is_toxic[of_stems]])):
+                total[:, i] += np.bincount(x, minlength=BUCKETS)
+        parts = total.reshape(-1, _CHUNK * _COLUMNS)
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(len(parts)), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())], names=["chunk", "counts"]
         )
@@ -74,39 +84,55 @@ def _counts(docs: DataFrame, good: np.ndarray, doc_id: str, text: str) -> tuple[
 
     schema = "chunk int, counts binary"
     chunks = BUCKETS // _CHUNK
-    summed = docs.select(doc_id, text).mapInArrow(count, schema).repartition(chunks, "chunk").mapInArrow(add, schema)
-    out = np.zeros((BUCKETS, 2), np.int64)
-    for row in summed.collect():  # 64 rows of a fixed size
-        out[row.chunk * _CHUNK : (row.chunk + 1) * _CHUNK] = np.frombuffer(row.counts, np.int64).reshape(-1, 2)
-    return out[:, 0], out[:, 1]
+    summed = docs.select(F.col(doc_id).cast("long").alias(doc_id), text).mapInArrow(count, schema)
+    out = np.zeros((BUCKETS, _COLUMNS), np.int64)
+    for row in summed.repartition(chunks, "chunk").mapInArrow(add, schema).collect():  # 64 rows of a fixed size
+        out[row.chunk * _CHUNK : (row.chunk + 1) * _CHUNK] = np.frombuffer(row.counts, np.int64).reshape(-1, _COLUMNS)
+    return out
 
 
-def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Log ratio of every feature, shrunk towards 0."""
-    expected = raw * (target.sum() / max(1, raw.sum()))
-    return np.log((target + SHRINK) / (expected + SHRINK)) if target.any() else np.zeros(len(raw))
+def log_ratios(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of every feature the shrunk log ratios of target and raw text, and of target and toxic text where decisive."""
+    raw, target, good, toxic = (counts[:, i] for i in range(_COLUMNS))
+    if not target.any():
+        return np.zeros(len(raw)), np.zeros(len(raw))
+    against_raw = np.log((target + SHRINK) / (raw * (target.sum() / raw.sum()) + SHRINK))
+    against_toxic = np.log((good * (toxic.sum() / max(1, good.sum())) + TOXIC_SHRINK) / (toxic + TOXIC_SHRINK))
+    return against_raw, np.where(against_toxic < DECISIVE, against_toxic, 0.0)
 
 
-def good_labels(labels: DataFrame, doc_id: str = "doc_id", good: Column | None = None, most: int = MOST_LABELS) -> np.ndarray:
-    """Ids that a bounded sample of the labels calls good: quality 1 and not toxic."""
-    good = (F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0) if good is None else good
-    rows = labels.where(F.col(doc_id).isNotNull() & good.isNotNull()).select(F.col(doc_id).cast("long").alias("id"), good.alias("good"))
-    chosen = rows.orderBy(F.xxhash64("id"), "id").limit(most).where("good").collect()
-    return np.unique(np.array([r.id for r in chosen], np.int64))
+def known_labels(labels: DataFrame, doc_id: str = "doc_id", most: int = MOST_LABELS) -> tuple[np.ndarray, np.ndarray, float, float]:
+    """From a bounded sample of the labels: ids of good (quality 1, not toxic) and of toxic texts of quality 1.
 
-
-def weigh(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = MOST_LABELS) -> DataFrame:
-    """``docs`` without the text, with ``log_weight`` and ``key`` (weight plus Gumbel noise)."""
-    good = good_labels(labels, most=most)
-    ratios = log_ratios(*_counts(docs, good, doc_id, text))
-    names = [c for c in docs.columns if c not in (text, "log_weight", "key")]
+    And the shares of good and toxic among all labels.
+    """
+    known = labels.where(F.col(doc_id).isNotNull() & F.col("quality").isNotNull())
+    toxic = F.coalesce(F.col("toxic"), F.lit(0)) == 1
+    rows = known.select(
+        F.col(doc_id).cast("long").alias("id"), (toxic & (F.col("quality") == 1)).alias("toxic"), (~toxic & (F.col("quality") == 1)).alias("good")
+    )
+    shares = rows.agg(*(F.coalesce(F.avg(F.col(c).cast("double")), F.lit(0.0)) for c in ("good", "toxic"))).first()
+    chosen = rows.orderBy(F.xxhash64("id"), "id", "toxic", "good").limit(most).where("good or toxic").collect()
+    ids = lambda kind: np.unique(np.array([r.id for r in chosen if r[kind]], np.int64))
+    return ids("good"), ids("toxic"), *shares
+
+
+def weigh(docs: DataFrame, known: tuple, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without the text, with ``log_weight`` and ``key`` (weight plus Gumbel noise); ``known`` of ``known_labels``."""
+    good, toxic, share, toxic_share = known
+    against_raw, against_toxic = log_ratios(_counts(docs, good, toxic, doc_id, text))
+    mix = np.log(np.maximum([share, 1 - share - toxic_share, toxic_share], 1e-9))
+    names = [c for c in docs.columns if c not in (text, "log_weight", "key", "_h")]
     keyed = docs.select(*names, text, F.xxhash64(*document_keys(doc_id, text), F.lit(SEED)).alias("_h"))
     schema = docs.select(*names).schema.add("log_weight", "double").add("key", "double")
 
     def run(batches):
         for batch in slices(batches, text):
-            features, of = _features(Words(batch.column(text), lower=True))
-            weight = np.bincount(of, weights=ratios[features], minlength=batch.num_rows).astype(np.float64)
+            features, of, begun = _features(Words(batch.column(text), lower=True))
+            n = batch.num_rows
+            l = np.bincount(of, weights=against_raw[features], minlength=n).astype(np.float64)  # noqa: E741
+            t = np.bincount(of[:begun], weights=against_toxic[features[:begun]], minlength=n).astype(np.float64)
+            weight = -np.logaddexp(mix[0], np.logaddexp(mix[1] - l, mix[2] - t))
             uniform = ((batch.column("_h").to_numpy().view(np.uint64) >> np.uint64(11)) + 0.5) / float(1 << 53)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in names), pa.array(weight), pa.array(weight - np.log(-np.log(uniform)))],
@@ -144,12 +170,13 @@ def resample(
 ) -> DataFrame:
     """``docs`` without the text, with ``log_weight``, ``key`` and ``kept``: whether the row is in the sample.
 
-    The sample holds ``share`` of the rows; by default the share of labels with quality 1.
+    The sample holds ``share`` of the rows; by default the share of good labels and ``TOLERANCE`` more.
     """
-    weighed = settled(weigh(docs, labels, doc_id, text, most), "weights")
+    known = known_labels(labels, most=most)
+    weighed = settled(weigh(docs, known, doc_id, text), "weights")
     if share is None:
-        share = labels.agg(F.avg(F.when(F.col("quality") == 1, 1.0).when(F.col("quality").isNotNull(), 0.0))).first()[0]
-    k = round(weighed.count() * (1.0 if share is None else share))
+        share = min(1.0, known[2] + TOLERANCE) if len(known[0]) else 1.0
+    k = round(weighed.count() * share)
     ordered = weighed.withColumn("_o", _ordered("key"))
     least = kth_largest(ordered, k, "_o")
     kept = F.lit(k > 0) if least is None else F.col("_o") >= least
