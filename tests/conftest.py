@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "6g",
             "spark.sql.maxMetadataStringLength": "2000",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )

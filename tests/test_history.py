@@ -124,7 +124,7 @@ def test_catalogue_scan_is_half_open_and_pushed(spark, tmp_path):
     assert found.count() == 2
     plan = found._jdf.queryExecution().toString()
     assert "LessThan(sip_timestamp,86400000000000)" in plan and "EqualTo(ticker,A)" in plan
-    assert len(DATASETS) == 27
+    assert len(DATASETS) == 29
 
 
 def test_overviews_and_related(spark):
@@ -156,3 +156,15 @@ def test_latest_snapshot(spark):
     newest = refdata.latest_snapshot(df, "snap")
     assert sorted(r.ticker for r in refdata.unique_tickers(newest).collect()) == ["B", "C"]
     assert refdata.latest_snapshot(df.limit(0), "snap").count() == 0
+
+
+def test_range_scan_gives_a_row_once(spark):
+    jobs = spark.createDataFrame(
+        [("A", "2024-01-01", "2024-01-31"), ("A", "2024-01-01", "2024-01-31"), ("A", "2024-01-20", "2024-02-02"), ("A", "2024-03-01", "2024-03-02")],
+        "ticker string, start_date string, end_date string",
+    )
+    data = spark.createDataFrame([("A", "2024-01-25"), ("A", "2024-02-02"), ("A", "2024-02-10"), ("A", "2024-03-01")], "ticker string, date string")
+    got = sorted((r.date, r.start_date, r.end_date) for r in targets.range_scan(data, jobs, "date").collect())
+    assert got == [
+        ("2024-01-25", "2024-01-01", "2024-02-02"), ("2024-02-02", "2024-01-01", "2024-02-02"), ("2024-03-01", "2024-03-01", "2024-03-02"),
+    ]

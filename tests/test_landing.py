@@ -140,10 +140,14 @@ def test_scratch_follows_the_session_setting(spark):
     assert root and not root.endswith("/")
 
 
-def test_spread_thin(spark):
-    assert session.spread_thin(spark.range(10).coalesce(1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(100).repartition(20)
-    assert session.spread_thin(wide) is wide
+def test_scratch(spark):
+    path = session.new_scratch(spark, "once")
+    spark.range(3).write.parquet(path)
+    session.drop_scratch(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError, match="no scratch path"):
+        session.drop_scratch(spark, "/elsewhere")
 
 
 @pytest.mark.parametrize("name", ["api_pages", "tolerant_jsonl"])
@@ -151,3 +155,52 @@ def test_rows_survive_a_small_fixture(name):
     import __spark_entry__ as entry
 
     assert name in entry.queries()
+
+
+def test_json_lines_keep_folder_columns(spark, tmp_path):
+    land(tmp_path / "j" / "ticker=A" / "year=2024", "a.jsonl", {"accession_number": "1"}, {"accession_number": "2"})
+    land(tmp_path / "j" / "ticker=B" / "year=2024", "b.jsonl", {"accession_number": "1"})
+    kind = T.StructType([T.StructField("accession_number", T.StringType()), T.StructField("ticker", T.StringType())])
+    good, _ = landed.read_json_lines(spark, str(tmp_path / "j"), kind)
+    assert sorted((r.accession_number, r.ticker, r.year) for r in good.collect()) == [("1", "A", 2024), ("1", "B", 2024), ("2", "A", 2024)]
+
+
+def test_newest_files_are_read_alone(spark, tmp_path):
+    import os
+
+    for i, text in enumerate(("name,ticker\nApple,A\n", "ticker,name\nA,Apple\n")):
+        (tmp_path / f"{i}.csv").write_text(text)
+        os.utime(tmp_path / f"{i}.csv", (1_700_000_000 + i,) * 2)
+    assert [(r.ticker, r.name) for r in landed.latest_file(spark, str(tmp_path / "*.csv")).collect()] == [("A", "Apple")]
+    day = dt.date(2024, 1, 2)
+    tables.write_run(spark.createDataFrame([("Apple", "A")], "name string, ticker string"), str(tmp_path / "l/asset_class=stocks"), day)
+    tables.write_run(spark.createDataFrame([("O", 1)], "ticker string, n int"), str(tmp_path / "l/asset_class=options"), day)
+    assert [r.ticker for r in landed.latest_ticker_list(spark, str(tmp_path / "l"), "stocks").collect()] == ["A"]
+
+
+def test_targets_by_name_with_further_columns(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("note,ticker_fidelity,ticker\nx,day,A\n")
+    got = landed.read_targets(spark, str(tmp_path / "t.csv")).collect()
+    assert [(r.ticker, r.ticker_fidelity, r.ticker_duration_months) for r in got] == [("A", "day", None)]
+
+
+def test_answers_of_every_shape(spark, tmp_path):
+    row = T.StructType([T.StructField("a", T.LongType())])
+    land(tmp_path / "o" / "ticker=X", "1.json", {"results": {"a": 1, "b": 2}}, "{broken", {"status": "none"})
+    rows, rejects = landed.read_answers(spark, str(tmp_path / "o"), row, "object")
+    assert [(r.ticker, r.a) for r in rows.collect()] == [("X", 1)] and rejects.count() == 2
+    land(tmp_path / "r", "1.json", '[{"a": 1}, {"a": 2}]', "nonsense")
+    rows, rejects = landed.read_answers(spark, str(tmp_path / "r"), row, "root_array")
+    assert sorted(r.a for r in rows.collect()) == [1, 2] and rejects.count() == 1
+    land(tmp_path / "n", "1.json", {"results": {"values": [{"a": 5}, None]}})
+    rows, rejects = landed.read_answers(spark, str(tmp_path / "n"), row, "array", ("results", "values"))
+    assert [r.a for r in rows.collect()] == [5] and rejects.count() == 0
+
+
+def test_a_job_whose_reload_is_empty_leaves_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([("A", 1, 10), ("A", 2, 20), ("B", 1, 30)], "ticker string, month int, v int")
+    tables.replace_partitions(df, path, ["ticker", "month"])
+    again = spark.createDataFrame([("A", 1, 11)], "ticker string, month int, v int")
+    tables.replace_job(again, df.filter("ticker = 'A'"), path, ["ticker", "month"])
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [11, 30]

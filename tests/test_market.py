@@ -268,3 +268,20 @@ def test_large_money_sums_are_exact(spark):
     df = spark.createDataFrame(rows, "k string, price double, size bigint")
     got = dict(df.groupBy("k").agg(total_dollars(micro_dollars(F.col("price"), F.col("size")))).collect())
     assert got == {"A": 35_200_000_000_000.0, "B": -6.5, "C": None}
+
+
+def test_series_of_one_ticker_stay_apart(spark):
+    rows = [("A", f, i * 60_000 * step, c) for f, step, c in (("hour", 60, 10.0), ("15 minute", 15, 100.0)) for i in range(60)]
+    df = spark.createDataFrame(rows, "ticker string, fidelity string, t bigint, c double")
+    keys = ["ticker", "fidelity"]
+    for name, made in (("sma", indicators.sma(df, 5, keys, block_rows=7)), ("ema", indicators.ema(df, 5, keys, block_rows=7))):
+        assert {(r.fidelity, round(r[name], 9)) for r in made.collect() if r[name] is not None} == {("hour", 10.0), ("15 minute", 100.0)}
+
+
+def test_targets_without_bars_come_back(spark):
+    jobs = spark.createDataFrame(
+        [("A", 1, "day", "d"), ("A", 2, "week", "d"), ("A", 3, "foo", "d"), ("A", None, None, "d"), (None, 1, "day", "d"), ("A", 0, "day", "d")],
+        "ticker string, multiplier bigint, timespan string, start_date string",
+    ).withColumn("end_date", F.col("start_date"))
+    got = sorted(r.reject_reason for r in br.rejected_bar_targets(jobs).collect())
+    assert got == ["missing ticker", "multiple below one", "multiple of a calendar span", "unknown span", "unreadable fidelity"]

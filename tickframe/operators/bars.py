@@ -68,6 +68,24 @@ def bars(
     )
 
 
+def _bar_reject() -> Column:
+    """Why a target gives no bars; null if it does."""
+    fixed_span, calendar = F.col("timespan").isin(*FIXED_SECONDS), F.col("timespan").isin(*CALENDAR_SPANS)
+    return (
+        F.when(F.col("ticker").isNull(), "missing ticker")
+        .when(F.col("timespan").isNull() | F.col("multiplier").isNull(), "unreadable fidelity")
+        .when(F.col("start_date").isNull() | F.col("end_date").isNull(), "missing date range")
+        .when(~fixed_span & ~calendar, "unknown span")
+        .when(F.col("multiplier") < 1, "multiple below one")
+        .when(calendar & (F.col("multiplier") != 1), "multiple of a calendar span")
+    )
+
+
+def rejected_bar_targets(targets: DataFrame) -> DataFrame:
+    """Targets that give no bars, with ``reject_reason``."""
+    return targets.withColumn("reject_reason", _bar_reject()).filter(F.col("reject_reason").isNotNull())
+
+
 def target_bars(
     trades: DataFrame,
     targets: DataFrame,
@@ -79,12 +97,11 @@ def target_bars(
     """Bars of every target at its own fidelity and date range, all in one job.
 
     ``targets`` has (ticker, multiplier, timespan, start_date, end_date); both days are included whole, and targets
-    that differ in any of these keep bars of their own. Spans of
-    other than second, minute, hour, day, week and month, and multiples of the last two, give no bars.
+    that differ in any of these keep bars of their own. Targets of other spans come back from
+    :func:`rejected_bar_targets`.
     """
-    calendar = F.col("timespan").isin(*CALENDAR_SPANS) & (F.col("multiplier") == 1)
     columns = ["ticker", "multiplier", "timespan", "start_date", "end_date"]
-    jobs = targets.select(*columns).distinct().filter(F.col("timespan").isin(*FIXED_SECONDS) | calendar).select(
+    jobs = targets.select(*columns).distinct().filter(_bar_reject().isNull()).select(
         F.col("ticker").alias("_ticker"),
         "multiplier",
         "timespan",

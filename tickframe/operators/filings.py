@@ -118,15 +118,17 @@ def filing_sections(base: DataFrame, leading_code: bool = False) -> DataFrame:
 
 
 def texts_from_segments(segments: DataFrame) -> DataFrame:
-    """Segmented sections of annual and current reports as (accession_number, ticker, section_code, text).
+    """Segmented sections as (accession_number, ticker, section_code, text).
 
-    The segmenter's key holds the item number; quarterly codes also need the part, which it does not hold, so
-    quarterly texts must come with their codes.
+    The segmenter's key holds the item number; quarterly codes also need ``part``, as :func:`segment.with_parts` gives it.
     """
     number = F.regexp_extract("section", r"^Item_(.+)$", 1)
     code = F.when(fx.form_family(F.col("form_type")) == "8-K", F.replace(number, F.lit("."), F.lit("-"))).when(
         fx.form_family(F.col("form_type")) == "10-K", number
     )
+    if "part" in segments.columns:
+        quarterly = F.concat(F.lit("part"), F.col("part"), F.lit("item"), F.lower(number))
+        code = F.when(F.col("part").isNotNull() & (number != ""), quarterly).otherwise(code)
     return segments.select("accession_number", "ticker", code.alias("section_code"), "text").filter(
         has_value(F.col("section_code"))
     )

@@ -4,10 +4,10 @@ Definitions: SMA(w) is the mean of the last w closes. EMA(w) has weight 2/(w+1)
 MACD is EMA(12) - EMA(26) with an EMA(9) signal. RSI(n) uses Wilder's smoothing: the mean of the first n gains and
 losses, then weight 1/n.
 
-Bars of one ticker are bounded by calendar and bar width, but second bars over years are still many, so the
-recurrences do not hold a ticker in memory: bars are cut into blocks, each block is reduced to the linear map it
-applies to the value before it, the maps are chained per ticker (one row per block), and the blocks are finished
-independently.
+``keys`` name what a series is: the ticker, and the fidelity where a table holds several. No series is sorted whole.
+Bars are numbered within days and shifted by the counts of the days before. Blocks of numbered bars then do the rest:
+windows over a block take its last predecessors along as a halo, and a recurrence reduces each block to the linear map
+it applies to the value before it, chains the maps (one row per block) and finishes the blocks independently.
 """
 
 from __future__ import annotations
@@ -20,54 +20,68 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 4096
-_BLOCK = "_block"
+_BLOCK, _DAY = "_block", "_day"
+_DAY_MS = 86_400_000
 
 
-def _by_time(ticker: str, t: str):
-    return Window.partitionBy(ticker).orderBy(t)
+def _composed(keep: np.ndarray, add: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row the map y -> scale * y + shift made of all rows so far, by doubling the reach."""
+    scale, shift, reach = keep.copy(), add.copy(), 1
+    while reach < len(scale):
+        shift[reach:] = scale[reach:] * shift[:-reach] + shift[reach:]
+        scale[reach:] = scale[reach:] * scale[:-reach]
+        reach *= 2
+    return scale, shift
 
 
-def _prefix_maps(index: str, pairs: Sequence[tuple[str, str]]):
-    """Per block and row the map y -> scale * y + shift made of all rows so far in the block."""
+def _block_maps(index: str, pairs: Sequence[tuple[str, str]], keys: Sequence[str]):
+    """One row per block: the map it applies."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by(index)
-        for keep, add in pairs:
-            kept, added = table[keep].to_numpy(), table[add].to_numpy()
-            scale, shift = np.empty(len(kept)), np.empty(len(kept))
-            a, b = 1.0, 0.0
-            for i in range(len(kept)):
-                a, b = a * kept[i], b * kept[i] + added[i]
-                scale[i], shift[i] = a, b
-            for name, values in ((keep, scale), (add, shift)):
-                table = table.set_column(table.schema.get_field_index(name), name, pa.array(values))
-        return table
+        ends = [_composed(table[k].to_numpy(), table[a].to_numpy()) for k, a in pairs]
+        columns = {name: table[name].slice(0, 1) for name in (*keys, _BLOCK)}
+        for (keep, add), (scale, shift) in zip(pairs, ends):
+            columns[keep], columns[add] = pa.array([scale[-1]]), pa.array([shift[-1]])
+        return pa.table(columns)
 
     return run
 
 
 def _chain(pairs: Sequence[tuple[str, str]]):
-    """Value before each block of a ticker, from the maps of the earlier blocks."""
+    """Value before each block of a series, from the maps of the earlier blocks."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by(_BLOCK)
         for keep, add in pairs:
-            before, value = np.empty(table.num_rows), 0.0
-            for i, (a, b) in enumerate(zip(table[keep].to_numpy(), table[add].to_numpy())):
-                before[i] = value
-                value = a * value + b
+            _, after = _composed(table[keep].to_numpy(), table[add].to_numpy())
+            before = np.concatenate(([0.0], after[:-1]))
             table = table.set_column(table.schema.get_field_index(keep), keep, pa.array(before))
         return table
 
     return run
 
 
+def _finish(index: str, pairs: Sequence[tuple[str, str]]):
+    """Values of a block's rows from the value before it."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by(index)
+        for keep, add in pairs:
+            scale, shift = _composed(table[keep].to_numpy(), table[add].to_numpy())
+            value = scale * table[f"_before{keep}"].to_numpy() + shift
+            table = table.set_column(table.schema.get_field_index(keep), keep, pa.array(value))
+        return table
+
+    return run
+
+
 def linear_recurrence(
-    df: DataFrame, key: str, index: str, terms: dict[str, tuple[Column, Column]], block_rows: int = BLOCK_ROWS
+    df: DataFrame, keys: Sequence[str], index: str, terms: dict[str, tuple[Column, Column]], block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Add for each name of ``terms`` the recurrence y[i] = keep[i] * y[i-1] + add[i] with y before the start 0.
 
-    ``index`` counts the rows of a key from 1. No task holds more than ``block_rows`` rows of a key, or one row
+    ``index`` counts the rows of a series from 1. No task holds more than ``block_rows`` rows of a series, or one row
     per block of it. Other columns travel along as Arrow columns, so nothing has to be joined back.
     """
     pairs = [(f"_keep_{name}", f"_add_{name}") for name in terms]
@@ -75,31 +89,64 @@ def linear_recurrence(
     rows = df.withColumn(_BLOCK, F.floor((F.col(index) - 1) / block_rows).cast("bigint")).withColumns(
         {label: column.cast("double") for name, pair in zip(terms, pairs) for column, label in zip(terms[name], pair)}
     )
-    maps = rows.groupBy(key, _BLOCK).applyInArrow(_prefix_maps(index, pairs), rows.schema)
-    ends = maps.groupBy(key, _BLOCK).agg(*[F.max_by(label, index).alias(label) for label in labels])
-    carried = ends.groupBy(key).applyInArrow(_chain(pairs), ends.schema).select(
-        key, _BLOCK, *[F.col(keep).alias(f"_before{keep}") for keep, _ in pairs]
+    narrow = rows.select(*keys, _BLOCK, index, *labels)
+    ends_schema = narrow.select(*keys, _BLOCK, *labels).schema
+    ends = narrow.groupBy(*keys, _BLOCK).applyInArrow(_block_maps(index, pairs, keys), ends_schema)
+    carried = ends.groupBy(*keys).applyInArrow(_chain(pairs), ends_schema).select(
+        *keys, _BLOCK, *[F.col(keep).alias(f"_before{keep}") for keep, _ in pairs]
     )
-    return maps.join(carried, [key, _BLOCK]).select(
-        *df.columns,
-        *[
-            (F.col(keep) * F.col(f"_before{keep}") + F.col(add)).alias(name)
-            for name, (keep, add) in zip(terms, pairs)
-        ],
+    joined = rows.join(carried, [*keys, _BLOCK])
+    done = joined.groupBy(*keys, _BLOCK).applyInArrow(_finish(index, pairs), joined.schema)
+    return done.select(*df.columns, *[F.col(keep).alias(name) for name, (keep, _) in zip(terms, pairs)])
+
+
+def numbered(bars: DataFrame, keys: Sequence[str] = ("ticker",), t: str = "t", out: str = "bar_no") -> DataFrame:
+    """Number the bars of a series in time order from 1: within days, shifted by the days before."""
+    dated = bars.withColumn(_DAY, F.expr(f"`{t}` div {_DAY_MS}"))
+    ahead = Window.partitionBy(*keys).orderBy(_DAY).rowsBetween(Window.unboundedPreceding, -1)
+    days = dated.groupBy(*keys, _DAY).agg(F.count(F.lit(1)).alias("_n"))
+    days = days.select(*keys, _DAY, F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy(*keys, _DAY).orderBy(t))
+    return (
+        dated.withColumn(out, own).join(days, [*keys, _DAY]).withColumn(out, F.col("_before") + F.col(out)).select(*bars.columns, out)
     )
 
 
-def numbered(bars: DataFrame, ticker: str = "ticker", t: str = "t", out: str = "bar_no") -> DataFrame:
-    """Number the bars of a ticker in time order from 1."""
-    return bars.withColumn(out, F.row_number().over(_by_time(ticker, t)).cast("bigint"))
+def over_blocks(rows: DataFrame, keys: Sequence[str], halo: int, columns: dict, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Add ``columns``, each a function of a window over numbered rows that looks back at most ``halo`` rows.
+
+    Each block of at least ``halo`` rows takes the last ``halo`` rows of the block before along.
+    """
+    size = max(block_rows, halo)
+    own = F.floor((F.col("bar_no") - 1) / size).cast("bigint")
+    last = (F.col("bar_no") - 1) % size >= size - halo
+    blocks = F.when(last, F.array(own, own + 1)).otherwise(F.array(own))
+    spread = rows.withColumn("_own", own).withColumn(_BLOCK, F.explode(blocks))
+    window = Window.partitionBy(*keys, _BLOCK).orderBy("bar_no")
+    added = spread.withColumns({name: make(window) for name, make in columns.items()})
+    return added.filter(F.col(_BLOCK) == F.col("_own")).drop("_own", _BLOCK)
 
 
-def sma(bars: DataFrame, window: int = 50, ticker: str = "ticker", t: str = "t", value: str = "c") -> DataFrame:
+def _keys(ticker: str | Sequence[str]) -> list[str]:
+    return [ticker] if isinstance(ticker, str) else list(ticker)
+
+
+def sma(
+    bars: DataFrame,
+    window: int = 50,
+    ticker: str | Sequence[str] = "ticker",
+    t: str = "t",
+    value: str = "c",
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
     """Mean of the last ``window`` closes, null before there are so many."""
-    last = _by_time(ticker, t).rowsBetween(-(window - 1), 0)
-    return bars.withColumn(
-        "sma", F.when(F.count(value).over(last) == window, F.avg(value).over(last))
-    )
+    keys = _keys(ticker)
+
+    def mean(by: Window) -> Column:
+        last = by.rowsBetween(-(window - 1), 0)
+        return F.when(F.count(value).over(last) == window, F.avg(value).over(last))
+
+    return over_blocks(numbered(bars, keys, t), keys, window - 1, {"sma": mean}, block_rows).drop("bar_no")
 
 
 def _ema_terms(value: Column, window: int) -> tuple[Column, Column]:
@@ -114,17 +161,16 @@ def _ema_terms(value: Column, window: int) -> tuple[Column, Column]:
 def ema(
     bars: DataFrame,
     window: int = 50,
-    ticker: str = "ticker",
+    ticker: str | Sequence[str] = "ticker",
     t: str = "t",
     value: str = "c",
     out: str = "ema",
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Exponential average with weight 2/(window+1), seeded with the first close."""
-    rows = numbered(bars, ticker, t)
-    return linear_recurrence(rows, ticker, "bar_no", {out: _ema_terms(F.col(value), window)}, block_rows).drop(
-        "bar_no"
-    )
+    keys = _keys(ticker)
+    rows = numbered(bars, keys, t)
+    return linear_recurrence(rows, keys, "bar_no", {out: _ema_terms(F.col(value), window)}, block_rows).drop("bar_no")
 
 
 def macd(
@@ -132,43 +178,43 @@ def macd(
     short_window: int = 12,
     long_window: int = 26,
     signal_window: int = 9,
-    ticker: str = "ticker",
+    ticker: str | Sequence[str] = "ticker",
     t: str = "t",
     value: str = "c",
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """MACD line, its signal and their difference."""
-    rows = numbered(bars, ticker, t)
+    keys = _keys(ticker)
+    rows = numbered(bars, keys, t)
     averages = {
         "_short": _ema_terms(F.col(value), short_window),
         "_long": _ema_terms(F.col(value), long_window),
     }
-    lines = linear_recurrence(rows, ticker, "bar_no", averages, block_rows)
+    lines = linear_recurrence(rows, keys, "bar_no", averages, block_rows)
     lines = lines.withColumn("macd", F.col("_short") - F.col("_long")).drop("_short", "_long")
-    signal = linear_recurrence(
-        lines, ticker, "bar_no", {"signal": _ema_terms(F.col("macd"), signal_window)}, block_rows
-    )
+    signal = linear_recurrence(lines, keys, "bar_no", {"signal": _ema_terms(F.col("macd"), signal_window)}, block_rows)
     return signal.withColumn("histogram", F.col("macd") - F.col("signal")).drop("bar_no")
 
 
 def rsi(
     bars: DataFrame,
     window: int = 14,
-    ticker: str = "ticker",
+    ticker: str | Sequence[str] = "ticker",
     t: str = "t",
     value: str = "c",
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Wilder's relative strength, null until ``window`` changes are known; 100 when there was no loss."""
-    change = F.col(value) - F.lag(value).over(_by_time(ticker, t))
-    rows = numbered(bars, ticker, t).withColumn("_change", change)
+    keys = _keys(ticker)
+    change = {"_change": lambda by: F.col(value) - F.lag(value).over(by)}
+    rows = over_blocks(numbered(bars, keys, t), keys, 1, change, block_rows)
     # The k-th change has weight 1/k up to the window, which makes the running value their plain mean.
     weight = F.lit(1.0) / F.least(F.greatest(F.col("bar_no") - 1, F.lit(1)), F.lit(window))
     keep = F.when(F.col("bar_no") <= 2, 0.0).otherwise(1.0 - weight)
     gain = F.coalesce(F.greatest("_change", F.lit(0.0)), F.lit(0.0))
     loss = F.coalesce(F.greatest(-F.col("_change"), F.lit(0.0)), F.lit(0.0))
     averages = linear_recurrence(
-        rows, ticker, "bar_no", {"_gain": (keep, gain * weight), "_loss": (keep, loss * weight)}, block_rows
+        rows, keys, "bar_no", {"_gain": (keep, gain * weight), "_loss": (keep, loss * weight)}, block_rows
     )
     strength = F.when(F.col("_loss") == 0, 100.0).otherwise(
         100.0 - 100.0 / (1.0 + F.col("_gain") / F.nullif(F.col("_loss"), F.lit(0.0)))

@@ -27,6 +27,7 @@ ANNUAL_HEADING = (
 )
 CURRENT_HEADING = rf"(?Uimd)^{_B}{{0,15}}ITEM{_B}*(\d\.\d{{2}}){_SEPARATOR}*{_B}*"
 BODY_START = rf"(?Uimd)^{_B}*(?:PART{_B}+I|ITEM{_B}+1)\b"
+PART_TWO = rf"(?Uimd)^{_B}*PART{_B}+II\b"
 SIGNATURES = rf"(?Uid)\n{_B}*SIGNATURES{_B}*\n"
 
 
@@ -82,25 +83,47 @@ def _merged(keys: Column, kept: Column) -> Column:
     )
 
 
-def segment_filings(filings: DataFrame, text: str = "text", form: str = "form_type") -> DataFrame:
+def with_parts(filings: DataFrame, text: str = "text", form: str = "form_type") -> DataFrame:
+    """Quarterly reports in their two parts, one row each with ``part`` (1, 2); other filings one row, ``part`` null.
+
+    Part II starts at its first heading after the start of the body; item numbers begin anew there. A report
+    without that heading is all Part I. A part without an item heading gives no row of its own.
+    """
+    quarterly = F.coalesce(form_family(F.col(form)) == "10-Q", F.lit(False))
+    body = with_body(filings, text, form, "_body")
+    halves = F.split(F.regexp_replace("_body", PART_TWO, _MARK + "$0"), _MARK, 2)
+    first = F.struct(F.lit(1).alias("part"), F.get(halves, F.lit(0)).alias("text"))
+    second = F.struct(F.lit(2).alias("part"), F.replace(F.get(halves, F.lit(1)), F.lit(_MARK), F.lit("")).alias("text"))
+    whole = F.struct(F.lit(None).cast("int").alias("part"), F.col(text).alias("text"))
+    split = F.when(quarterly, F.filter(F.array(first, second), lambda p: p["text"].isNotNull())).otherwise(F.array(whole))
+    rows = body.withColumn("_part", F.explode(split)).withColumn(text, F.col("_part.text")).withColumn("part", F.col("_part.part"))
+    headed = F.col("part").isNull() | F.col(text).rlike(ANNUAL_HEADING)
+    return rows.filter(headed).drop("_part", "_body")
+
+
+def segment_filings(
+    filings: DataFrame, text: str = "text", form: str = "form_type", minimum: int | None = None
+) -> DataFrame:
     """One row per (filing, section) with ``position``, ``section``, ``text``; other columns are kept.
 
     A filing with fewer headings than its form needs, or of another form, gives its whole cleaned text up to the
     signature line as one section. Empty sections are dropped. Every step is a column of the same row; steps used
-    more than once are columns of their own, so that none is computed twice.
+    more than once are columns of their own, so that none is computed twice. ``minimum`` stands in for the form's own
+    number of headings, for parts of filings, whose text already starts with the body.
     """
     keep = [name for name in filings.columns if name != text]
     family = F.col("_family")
     needed = F.lit(None).cast("int")
-    for name, minimum in fixed.MIN_HEADINGS.items():
-        needed = F.when(family == name, minimum).otherwise(needed)
+    for name, own in fixed.MIN_HEADINGS.items():
+        needed = F.when(family == name, own if minimum is None else minimum).otherwise(needed)
     segmented = F.col("_segmented")
     none = F.array().cast("array<string>")
     # A found piece is the item number, the end mark and the text up to the next heading.
     number = F.transform("_found", lambda piece: F.substring_index(piece, _CODE_END, 1))
     tails = F.transform("_found", lambda piece: F.substring_index(piece, _CODE_END, -1))
+    named = filings.withColumn("_family", form_family(F.col(form)))
     cut = (
-        with_body(filings.withColumn("_family", form_family(F.col(form))), text, form, "_body")
+        (with_body(named, text, form, "_body") if minimum is None else named.withColumn("_body", _unmarked(F.col(text))))
         .withColumn("_split", F.split(_marked(F.col("_body"), family), _MARK))
         .withColumn("_found", F.coalesce(F.slice("_split", 2, F.size("_split")), none))
         .withColumn("_segmented", F.coalesce(F.size("_found") >= needed, F.lit(False)))

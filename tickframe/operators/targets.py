@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickframe.functions import fidelity as fid
@@ -73,13 +73,24 @@ def fan_out(targets: DataFrame, names: Sequence[str], out: str = "dataset") -> D
     return targets.withColumn(out, F.explode(F.array(*[F.lit(name) for name in names])))
 
 
+def merged_ranges(targets: DataFrame, key: str = "ticker") -> DataFrame:
+    """Targets of a key with overlapping date ranges as one range; repeats collapse before the shuffle."""
+    distinct = targets.select(key, "start_date", "end_date").distinct()
+    earlier = Window.partitionBy(key).orderBy("start_date", "end_date").rowsBetween(Window.unboundedPreceding, -1)
+    opens = F.coalesce(F.col("start_date") > F.max("end_date").over(earlier), F.lit(True))
+    island = F.sum(opens.cast("int")).over(Window.partitionBy(key).orderBy("start_date", "end_date").rowsBetween(Window.unboundedPreceding, 0))
+    marked = distinct.withColumn("_island", island)
+    return marked.groupBy(key, "_island").agg(F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date")).drop("_island")
+
+
 def range_scan(dataset: DataFrame, targets: DataFrame, date: str, key: str = "ticker") -> DataFrame:
-    """Rows of ``dataset`` inside the date range of a target with the same key, both ends included.
+    """Rows of ``dataset`` inside the date range of a target with the same key, both ends included, each once.
 
-    The equality carries the join; Spark broadcasts the targets when their size allows and otherwise sorts, where
-    adaptive execution splits a hot key.
+    Repeated and overlapping targets are merged first, so a row meets one range at most; it carries that range. The
+    equality carries the join; Spark broadcasts the ranges when their size allows and otherwise sorts, where adaptive
+    execution splits a hot key.
     """
-    window = targets.select(
+    window = merged_ranges(targets, key).select(
         F.col(key).alias("_key"), F.col("start_date").alias("_start"), F.col("end_date").alias("_end")
     )
     condition = (F.col(key) == F.col("_key")) & F.col(date).between(F.col("_start"), F.col("_end"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickframe.functions.instants import lookback_cutoff_ns
-from tickframe.session import spread_thin, use_utc
+from tickframe.session import use_utc
 
 AS_OF = dt.date(2024, 1, 31)
 
@@ -43,8 +43,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Text columns of a table for costly per-row work."""
-    return spread_thin(table(spark, sf_dir, name).select(*columns))
+    """Text columns of a table for costly per-row work, the key first.
+
+    Each test table is one file of one row group, which a scan can't split; dealing the rows by key is a matter of these
+    bindings, no operator does so.
+    """
+    return table(spark, sf_dir, name).select(*columns).repartition(columns[0])
 
 
 def trades(

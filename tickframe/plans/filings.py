@@ -92,7 +92,7 @@ def missing_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _line_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line i of a document as the text of the i-th section of its form."""
+    """All lines of a document, dealt in turn to the sections of its form: line i belongs to section i modulo their number."""
     codes = {
         "10-K": [code for code, _ in fixed.TEN_K_SECTIONS],
         "10-Q": [code for code, _ in fixed.TEN_Q_SECTIONS],
@@ -102,13 +102,20 @@ def _line_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = F.lit(None).cast("array<string>")
     for name, names in codes.items():
         listed = F.when(family == name, F.array(*[F.lit(code) for code in names])).otherwise(listed)
-    lines = bd.texts(spark, sf_dir, "documents", "doc_id", "source", "text").select(
+    docs = bd.texts(spark, sf_dir, "documents", "doc_id", "source", "text").select(
         F.expr(bd.ACCESSION).alias("accession_number"),
         F.col("source").alias("ticker"),
         listed.alias("_codes"),
-        F.posexplode(F.split("text", "\n")).alias("_i", "text"),
+        F.split("text", "\n").alias("_lines"),
     )
-    return lines.select("accession_number", "ticker", F.get("_codes", F.col("_i")).alias("section_code"), "text")
+    dealt = F.transform(
+        "_codes",
+        lambda code, k: F.struct(
+            code.alias("section_code"),
+            F.array_join(F.filter("_lines", lambda _, i: i % F.size("_codes") == k), "\n").alias("text"),
+        ),
+    )
+    return docs.select("accession_number", "ticker", F.explode(dealt).alias("_part")).select("accession_number", "ticker", "_part.*")
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,12 +130,28 @@ def section_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _parted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of :func:`_headed`; quarterly ones hold their lines once in each part, under the part's own numbers."""
+    lines = F.split("text", "\n")
+    one = F.transform(lines, lambda line, i: F.concat(F.lit("Item "), i % 4 + 1, F.lit(". "), line))
+    two = F.transform(lines, lambda line, i: F.concat(F.lit("Item 1"), F.get(F.array(F.lit(""), F.lit("A")), i % 2), F.lit(". "), line))
+    quarterly = F.concat(
+        F.lit("PART I\n"), F.array_join(one, "\n"), F.lit("\nPART II\n"), F.array_join(two, "\n"), F.lit("\n\nSIGNATURES\n\nSigned.")
+    )
+    plain = _headed(spark, sf_dir)
+    docs = bd.texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.expr(bd.FORM).alias("form_type"), quarterly.alias("text"))
+    is_quarterly = F.coalesce(fx.form_family(F.col("form_type")) == "10-Q", F.lit(False))
+    return plain.filter(~is_quarterly).unionByName(docs.filter(is_quarterly))
+
+
 def segmented_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Section records of annual and current reports whose texts come from the segmenter."""
-    documents = _headed(spark, sf_dir).join(
+    """Section records whose texts come from the segmenter, quarterly reports by their parts."""
+    documents = _parted(spark, sf_dir).join(
         bd.filings(spark, sf_dir, "doc_id").select("doc_id", F.col("accessionNo").alias("accession_number"), "ticker"), "doc_id"
     )
-    texts = fil.texts_from_segments(seg.segment_filings(documents))
+    parts = seg.with_parts(documents)
+    quarterly = seg.segment_filings(parts.filter("part IS NOT NULL"), minimum=1)
+    texts = fil.texts_from_segments(quarterly.unionByName(seg.segment_filings(parts.filter("part IS NULL"))))
     once = fil.dedupe_filings(bd.filings(spark, sf_dir), ["linkToTxt"])
     found = fil.section_records(fil.filing_sections(fil.base_records(once, _now())), texts)
     return found.select("accession_number", "section_id", "text")
@@ -225,7 +248,7 @@ def formatted_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def html_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return con.html_blocks(bd.section_texts(spark, sf_dir))
+    return con.html_blocks(bd.section_texts(spark, sf_dir), "h1 { color: navy }")
 
 
 def queries() -> dict:
@@ -274,7 +297,9 @@ wanted AS (
 _KEPT_TEXT = "regexp_replace({0}, '^\\s+|\\s+$', '', 'g')"
 
 
-_SECTION_TEXT = _KEPT_TEXT.format("list_extract(string_split(text, chr(10)), place + 1)")
+_SECTION_TEXT = _KEPT_TEXT.format(
+    "array_to_string(list_filter(string_split(text, chr(10)), lambda x, i: (i - 1) % CASE family WHEN '10-K' THEN 8 ELSE 6 END = place), chr(10))"
+)
 
 
 def records_sql(columns: str) -> str:
@@ -366,7 +391,7 @@ def _page_sql(inline: str, between: str) -> str:
 
 
 def _html_sql() -> str:
-    head = con._head().replace("'", "''")
+    head = "<html><head><style>h1 { color: navy }</style></head><body>"
     ends = f"""SELECT ticker, {{part}} AS part, 0 AS period_place, CAST(-1 AS BIGINT) AS first_ordinal, '' AS accession_number,
   {{kind}} AS kind, CAST(-1 AS BIGINT) AS ordinal, '{{block}}' AS block FROM (SELECT DISTINCT ticker FROM r)"""
     return f"""WITH {_ASSEMBLED}
@@ -409,7 +434,11 @@ FROM c WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.ticker = c.ticker AND s.
             f"{_ISO_UTC} AS filing_timestamp_utc, {_SIC} AS sic_code"
         ),
         "segmented_records": f"{_segment_sql()}, {_WANTED} SELECT accession_number, section_id, s.text FROM wanted w JOIN s ON s.doc_id = w.doc_id "
-        "AND s.section = concat('Item_', replace(w.section_code, '-', '.')) WHERE w.family <> '10-Q'",
+        "AND s.section = concat('Item_', replace(w.section_code, '-', '.')) WHERE w.family <> '10-Q'"
+        + f""" UNION ALL SELECT accession_number, section_id, string_agg(cleaned, concat(chr(10), chr(10), '[SECTION CONTINUED]', chr(10), chr(10)) ORDER BY i) AS text
+FROM (SELECT doc_id, i, {_KEPT_TEXT.format("line")} AS cleaned, unnest([concat('part1item', i % 4 + 1), CASE i % 2 WHEN 0 THEN 'part2item1' ELSE 'part2item1a' END]) AS code
+  FROM h WHERE family = '10-Q') q JOIN wanted w ON w.doc_id = q.doc_id AND w.section_code = q.code
+WHERE length(cleaned) > 50 GROUP BY accession_number, section_id""",
         "ingest_counts": f"""SELECT CASE WHEN doc_id % 7 > 0 THEN strftime({FILED_UTC}, '%Y') ELSE 'none' END AS year, CAST(count(*) AS BIGINT) AS n
 FROM documents WHERE {_URL} IS NOT NULL GROUP BY 1""",
         "normalize_ws": f"""SELECT doc_id, {_KEPT_TEXT.format(f"regexp_replace({ws}, '(\\n\\s*)(\\n\\s*)(\\n\\s*)+', concat(chr(10), chr(10)), 'g')")} AS text

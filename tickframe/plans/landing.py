@@ -18,6 +18,7 @@ from tickframe.plans import filings as fp
 from tickframe.session import new_scratch
 from tickframe.sinks import documents, tables
 from tickframe.sources import landed
+from tickframe.sources.catalogue import DATASETS, landed_pages, range_scan
 from tickframe.streaming import ingest
 
 _TRADE_FIELDS = ("ticker", "sip_timestamp", "id", "sequence_number", "price", "size")
@@ -93,25 +94,26 @@ def debug_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def append_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records appended by ticker and year, the whole run twice; a reader keeps one row per filing and section."""
+    """Records appended by ticker and year, the whole run twice; a reader keeps one row per filing, ticker and section."""
     path = new_scratch(spark, "sections")
     records, _ = fil.storable(fp.records(spark, sf_dir))
     for _ in range(2):
         tables.append_filing_sections(records, path)
     stored = spark.read.schema("accession_number string, section_id string, form_type string, text string, ticker string, year string").json(path)
-    once = fil.first_wins(stored, ["accession_number", "section_id"], ["text"])
+    once = fil.first_wins(stored, ["accession_number", "ticker", "section_id"], ["text"])
     return once.select("accession_number", "section_id", "ticker", "year", "form_type")
 
 
 def replace_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders by priority and year; the partitions of 1996 and 1997 are written again with doubled prices."""
+    """Orders by priority and year; 1996 and 1997 are reloaded with doubled prices, and 1998, whose reload is empty."""
     path = new_scratch(spark, "replace")
     orders = bd.table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_totalprice", F.left("o_orderpriority", F.lit(1)).alias("ticker"), F.year("o_orderdate").alias("year")
     )
     tables.spread_by(orders, ["ticker", "year"]).write.partitionBy("ticker", "year").parquet(path)
     again = orders.filter(F.col("year").isin(1996, 1997)).withColumn("o_totalprice", F.col("o_totalprice") * 2)
-    tables.replace_partitions(again, path, ["ticker", "year"])
+    job = orders.filter(F.col("year").isin(1996, 1997, 1998))
+    tables.replace_job(again, job, path, ["ticker", "year"])
     return spark.read.parquet(path).select("o_orderkey", "o_totalprice", F.col("year").cast("int").alias("year"))
 
 
@@ -122,14 +124,13 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dataset_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly bars written under the history layout and read back with partition pruning on the ticker."""
+    """Hourly bars written under the history layout and read back whole."""
     root = new_scratch(spark, "lake")
     bars = br.bars(bd.trades(spark, sf_dir), 1, "hour").withColumns(
         {"fidelity": F.lit("1-hour"), "month": F.date_format(F.timestamp_millis("t"), "yyyy-MM")}
     )
     tables.write_dataset(bars, root, "trading_history")
-    stored = landed.read_ticks(spark, f"{root}/trading_history", "ticker", "fidelity", "month", "t", "o", "c", "n")
-    return stored.filter(F.col("ticker").isin("view", "click"))
+    return landed.read_ticks(spark, f"{root}/trading_history", "ticker", "fidelity", "month", "t", "o", "c", "n")
 
 
 def macro_both(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,10 +185,93 @@ def stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(path).select("ticker", F.col("value").alias("line"))
 
 
+def _stored_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Section records stored as JSON by ticker and year, each filing also under a second ticker, read back tolerantly."""
+    path = new_scratch(spark, "records")
+    records = bd.section_texts(spark, sf_dir).drop("ordinal")
+    records = records.unionByName(records.withColumn("ticker", F.concat(F.lit("U"), "ticker")))
+    tables.append_filing_sections(records.withColumn("year", F.substring("filing_timestamp_utc", 1, 4)), path)
+    good, _ = landed.read_json_lines(spark, path, records.schema)
+    return good
+
+
+def stored_formatted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the readable documents as written per ticker, from stored records."""
+    path = new_scratch(spark, "formatted")
+    documents.write_documents(con.formatted_blocks(_stored_sections(spark, sf_dir)), con.ASSEMBLED_ORDER, path)
+    return spark.read.text(path).select("ticker", F.col("value").alias("line"))
+
+
+def stored_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merged and consolidated blocks of stored records, counted."""
+    stored = _stored_sections(spark, sf_dir)
+    merged = con.merged_blocks(stored).groupBy("ticker").agg(F.count(F.lit(1)).alias("merged"))
+    whole = con.consolidated_blocks(stored).groupBy("ticker").agg(F.count(F.lit(1)).alias("consolidated"))
+    return merged.join(whole, "ticker")
+
+
+def _customer_answers(spark: SparkSession, sf_dir: str, path: str, answer) -> None:
+    """One answer per customer under the folder of the nation that asked; every tenth is cut short."""
+    line = F.when(F.col("c_custkey") % 10 == 0, F.left(answer, F.lit(12))).otherwise(answer)
+    customers = bd.table(spark, sf_dir, "customer").select(F.concat(F.lit("N"), "c_nationkey").alias("ticker"), line.alias("value"))
+    tables.spread_by(customers, ["ticker"]).write.partitionBy("ticker").text(path)
+
+
+_CUSTOMER = T.StructType([T.StructField("name", T.StringType()), T.StructField("cik", T.LongType())])
+
+
+def overview_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overviews, whose answer is one object, with the key that was asked for; unreadable answers are counted."""
+    path = new_scratch(spark, "overviews")
+    record = F.struct(F.col("c_name").alias("name"), F.col("c_custkey").alias("cik"), F.lit("x").alias("unknown"))
+    _customer_answers(spark, sf_dir, path, F.to_json(F.struct(record.alias("results"), F.lit("OK").alias("status"))))
+    rows, rejects = landed_pages(spark, path, "stock_overviews", _CUSTOMER)
+    return rows.select("ticker", "name", "cik").unionByName(
+        rejects.groupBy().agg(F.count(F.lit(1)).alias("cik")).select(F.lit("rejects").alias("ticker"), F.lit(None).cast("string").alias("name"), "cik")
+    )
+
+
+def cik_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CIK answers, each a top-level array of two rows."""
+    path = new_scratch(spark, "ciks")
+    record = F.struct(F.col("c_name").alias("name"), F.col("c_custkey").alias("cik"))
+    _customer_answers(spark, sf_dir, path, F.to_json(F.array(record, record)))
+    rows, _ = landed_pages(spark, path, "cik_primary", _CUSTOMER)
+    return rows.select("ticker", "name", "cik")
+
+
+def latest_list_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest stock list beside an option list and an older stock list with other columns in another order."""
+    root = new_scratch(spark, "mixed-lists")
+    customers = bd.table(spark, sf_dir, "customer")
+    stocks = customers.select(F.col("c_mktsegment").alias("name"), F.col("c_name").alias("ticker"))
+    tables.write_run(stocks, f"{root}/asset_class=stocks", dt.date(2024, 1, 31))
+    tables.write_run(customers.select(F.lit("old").alias("ticker"), "c_custkey"), f"{root}/asset_class=stocks", dt.date(2024, 1, 30))
+    tables.write_run(customers.select("c_custkey", F.lit("option").alias("ticker")), f"{root}/asset_class=options", dt.date(2024, 2, 1))
+    return landed.latest_ticker_list(spark, root, "stocks")
+
+
+def targets_extra_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A target list with a column more and the others in another order."""
+    path = new_scratch(spark, "wide-targets")
+    wide = bd.targets(spark, sf_dir).select("ticker_duration_months", F.lit("n").alias("note"), "ticker", "ticker_fidelity")
+    tables.write_csv(wide, path)
+    return landed.read_targets(spark, path)
+
+
+def catalogue_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored dataset by catalogue name, ticker and days, in its order."""
+    root = new_scratch(spark, "catalogue")
+    tables.spread_by(bd.trades(spark, sf_dir), ["ticker"]).write.parquet(f"{root}/{DATASETS['trades'].folder}")
+    found = range_scan(spark, root, "trades", "view", dt.date(2024, 1, 3), dt.date(2024, 1, 7), ordered=True)
+    return found.select("ticker", "id", "sip_timestamp", "price")
+
+
 def queries() -> dict:
     names = (
         api_pages, indicator_pages, tolerant_jsonl, page_stream_ingest, debug_sample, append_by_year, replace_partitions,
-        csv_roundtrip, dataset_roundtrip, macro_both, report_runs, error_log, stored_documents,
+        csv_roundtrip, dataset_roundtrip, macro_both, report_runs, error_log, stored_documents, stored_formatted, stored_merged,
+        overview_pages, cik_pages, latest_list_mixed, targets_extra_columns, catalogue_scan,
     )
     return {function.__name__: function for function in names}
 
@@ -211,16 +295,29 @@ def oracle_sql() -> dict[str, str]:
         "append_by_year": fp.records_sql(
             f"accession_number, section_id, source AS ticker, strftime({fp.FILED_UTC}, '%Y') AS year, upper({bd.FORM}) AS form_type"
         ),
-        "replace_partitions": "SELECT o_orderkey, o_totalprice * CASE WHEN year(o_orderdate) IN (1996, 1997) THEN 2 ELSE 1 END AS o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders",
+        "replace_partitions": "SELECT o_orderkey, o_totalprice * CASE WHEN year(o_orderdate) IN (1996, 1997) THEN 2 ELSE 1 END AS o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders WHERE year(o_orderdate) <> 1998",
         "csv_roundtrip": target,
         "dataset_roundtrip": f"""WITH {_TRADES} SELECT ticker, '1-hour' AS fidelity, strftime(make_timestamp(t * 1000), '%Y-%m') AS month, t, o, c, n FROM (
   SELECT ticker, CAST({hourly} AS BIGINT) AS t, arg_min(price, ns) AS o, arg_max(price, ns) AS c, CAST(count(*) AS BIGINT) AS n
-  FROM trades WHERE ticker IN ('view', 'click') GROUP BY 1, 2)""",
+  FROM trades GROUP BY 1, 2)""",
         "macro_both": """WITH s AS (SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, CAST(count(*) AS BIGINT) AS value FROM orders GROUP BY 1)
 SELECT 'parquet' AS kind, concat(day, ' 00:00:00') AS at, value FROM s UNION ALL SELECT 'csv', day, value FROM s""",
         "report_runs": "SELECT c_name AS ticker FROM customer WHERE c_custkey > 9",
         "error_log": f"""WITH e AS (SELECT {reason} AS reason FROM customer)
 SELECT 'trading_history' AS source, reason, CAST(count(*) AS BIGINT) AS n FROM e WHERE reason IS NOT NULL GROUP BY 2
 UNION ALL SELECT 'filings', reason, CAST(count(*) AS BIGINT) FROM e WHERE reason = 'invalid duration' GROUP BY 2""",
+        "stored_formatted": f"""WITH x AS (SELECT ticker, block FROM ({fp.oracle_sql()['formatted_doc']})),
+b AS (SELECT ticker, block FROM x UNION ALL SELECT concat('U', ticker), replace(block, concat(' (', ticker, ')'), concat(' (U', ticker, ')')) FROM x)
+SELECT ticker, unnest(string_split(left(block, length(block) - 1), chr(10))) AS line FROM b""",
+        "stored_merged": f"""WITH m AS (SELECT ticker, count(*) AS merged FROM ({fp.oracle_sql()['merged_doc']}) GROUP BY 1),
+c AS (SELECT ticker, count(*) AS consolidated FROM ({fp.oracle_sql()['consolidated_doc']}) GROUP BY 1), j AS (SELECT * FROM m JOIN c USING (ticker))
+SELECT * FROM j UNION ALL SELECT concat('U', ticker), merged, consolidated FROM j""",
+        "overview_pages": """SELECT concat('N', c_nationkey) AS ticker, c_name AS name, c_custkey AS cik FROM customer WHERE c_custkey % 10 <> 0
+UNION ALL SELECT 'rejects', NULL, count(*) FROM customer WHERE c_custkey % 10 = 0""",
+        "cik_pages": """SELECT concat('N', c_nationkey) AS ticker, c_name AS name, c_custkey AS cik FROM customer, range(2) WHERE c_custkey % 10 <> 0""",
+        "latest_list_mixed": "SELECT c_name AS ticker FROM customer",
+        "targets_extra_columns": target,
+        "catalogue_scan": f"WITH {_TRADES} SELECT ticker, CAST(event_id AS VARCHAR) AS id, ns AS sip_timestamp, price FROM trades "
+        "WHERE ticker = 'view' AND ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-08'",
         "stored_documents": f"SELECT ticker, unnest(string_split(left(block, length(block) - 1), chr(10))) AS line FROM ({fp.oracle_sql()['consolidated_doc']})",
     }

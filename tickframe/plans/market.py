@@ -168,20 +168,51 @@ def bars_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bars(spark, sf_dir, 1, "week").withColumn("vw", F.round("vw", 6))
 
 
-def target_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _bar_targets(trades: DataFrame) -> DataFrame:
     """Each ticker at four fidelities with ranges of one to four weeks, one fidelity unknown."""
-    trades = bd.trades(spark, sf_dir)
     wanted = F.expr(
         "array(named_struct('text', '15 minute', 'days', 6), named_struct('text', '2 hour', 'days', 13), "
         "named_struct('text', 'day', 'days', 20), named_struct('text', 'week', 'days', 27), named_struct('text', '3 foo', 'days', 27))"
     )
-    targets = trades.select("ticker").distinct().withColumn("_w", F.explode(wanted)).select(
+    return trades.select("ticker").distinct().withColumn("_w", F.explode(wanted)).select(
         "ticker",
         F.when(F.col("_w.text") == "week", fid.technical(F.col("_w.text"))).otherwise(fid.historical(F.col("_w.text"))).alias("_p"),
         F.lit(dt.date(2024, 1, 2)).alias("start_date"),
         F.date_add(F.lit(dt.date(2024, 1, 2)), F.col("_w.days")).alias("end_date"),
     ).select("ticker", "_p.*", "start_date", "end_date")
-    return br.target_bars(trades, targets).withColumn("vw", F.round("vw", 6)).drop("start_date", "end_date")
+
+
+def target_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trades = bd.trades(spark, sf_dir)
+    return br.target_bars(trades, _bar_targets(trades)).withColumn("vw", F.round("vw", 6)).drop("start_date", "end_date")
+
+
+def rejected_bar_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets of :func:`target_bars` that give no bars, each ticker also with a double week."""
+    targets = _bar_targets(bd.trades(spark, sf_dir))
+    weeks = targets.filter("timespan = 'week'").withColumn("multiplier", F.lit(2).cast("bigint"))
+    return br.rejected_bar_targets(targets.unionByName(weeks)).select("ticker", "multiplier", "timespan", "reject_reason")
+
+
+def target_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Moving averages over bars of several fidelities per ticker, each fidelity a series of its own."""
+    trades = bd.trades(spark, sf_dir)
+    bars = br.target_bars(trades, _bar_targets(trades))
+    keys = ["ticker", "multiplier", "timespan"]
+    both = ind.ema(ind.sma(bars, 5, keys), 5, keys)
+    return both.select(*keys, "t", F.round("sma", 6).alias("sma"), F.round("ema", 6).alias("ema"))
+
+
+def _target_indicators_sql() -> str:
+    return f"""WITH RECURSIVE bars AS ({_target_bars_sql()}),
+o AS (SELECT *, row_number() OVER w AS i, CASE WHEN count(*) OVER f = 5 THEN avg(c) OVER f END AS sma FROM bars
+  WINDOW w AS (PARTITION BY ticker, multiplier, timespan ORDER BY t),
+  f AS (PARTITION BY ticker, multiplier, timespan ORDER BY t ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)),
+e AS (SELECT ticker, multiplier, timespan, i, c AS ema FROM o WHERE i = 1
+  UNION ALL SELECT o.ticker, o.multiplier, o.timespan, o.i, e.ema * (1 - 2.0::DOUBLE / 6) + o.c * (2.0::DOUBLE / 6)
+  FROM e JOIN o ON o.ticker = e.ticker AND o.multiplier = e.multiplier AND o.timespan = e.timespan AND o.i = e.i + 1)
+SELECT o.ticker, o.multiplier, o.timespan, o.t, round(sma, 6) AS sma, round(ema, 6) AS ema
+FROM o JOIN e ON o.ticker = e.ticker AND o.multiplier = e.multiplier AND o.timespan = e.timespan AND o.i = e.i"""
 
 
 def _target_bars_sql() -> str:
@@ -304,6 +335,8 @@ def queries() -> dict:
         "bars_1d": bars_1d,
         "bars_week": bars_week,
         "target_bars": target_bars,
+        "rejected_bar_targets": rejected_bar_targets,
+        "target_indicators": target_indicators,
         "sma": sma,
         "ema": ema,
         "macd": macd,
@@ -341,6 +374,9 @@ silent AS (
         "bars_1d": f"WITH {_TRADES}, {_bars_sql(_DAY_MS)} SELECT * FROM bar",
         "bars_week": f"WITH {_TRADES}, {_bars_sql('epoch_ms(date_trunc(' + chr(39) + 'week' + chr(39) + ', ts))')} SELECT * FROM bar",
         "target_bars": _target_bars_sql(),
+        "rejected_bar_targets": """SELECT DISTINCT event_type AS ticker, CAST(3 AS BIGINT) AS multiplier, 'foo' AS timespan, 'unknown span' AS reject_reason FROM events
+UNION ALL SELECT DISTINCT event_type, 2, 'week', 'multiple of a calendar span' FROM events""",
+        "target_indicators": _target_indicators_sql(),
         "sma": f"WITH {_TRADES}, {_ORDERED} SELECT ticker, t, CASE WHEN i >= 50 THEN round(avg(c) OVER "
         "(PARTITION BY ticker ORDER BY t ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 6) END AS sma FROM b",
         "ema": _EMA_SQL,

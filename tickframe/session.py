@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
-_local_scratch: str | None = None
 
 
 def build_session(
@@ -36,17 +34,11 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only where the setting is absent (local tests) is a machine-local folder made.
-    """
-    global _local_scratch
+    """The shared folder the cluster names in ``spark.checkpoint.dir``; there is no machine-local stand-in."""
     configured = spark.conf.get(_CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(_CHECKPOINT_DIR)
-    if configured:
-        return configured.rstrip("/")
-    if _local_scratch is None:
-        _local_scratch = tempfile.mkdtemp(prefix="tickframe-")
-    return _local_scratch
+    if not configured:
+        raise ValueError(f"set {_CHECKPOINT_DIR} to a folder that the driver and all executors share")
+    return configured.rstrip("/")
 
 
 def new_scratch(spark: SparkSession, name: str) -> str:
@@ -54,11 +46,9 @@ def new_scratch(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/tickframe/{name}-{uuid.uuid4().hex}"
 
 
-def spread_thin(df: DataFrame) -> DataFrame:
-    """Deal rows round-robin when a scan has fewer splits than there are cores, else leave them alone.
-
-    For per-row work that costs far more than moving the row, such as text cleaning, over a few files that cannot
-    be split. A scan of many files already has enough splits and is not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path once nothing reads it any more; a path outside the scratch root is refused."""
+    if not path.startswith(f"{scratch_root(spark)}/tickframe/"):
+        raise ValueError(f"{path} is no scratch path")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -95,6 +95,19 @@ def replace_partitions(df: DataFrame, path: str, columns: Sequence[str], fmt: st
     )
 
 
+def replace_job(df: DataFrame, expected: DataFrame, path: str, columns: Sequence[str], fmt: str = "parquet") -> None:
+    """Replace all partitions of a job: those in ``df`` by it, and ``expected`` ones that the reload left empty by nothing.
+
+    ``expected`` holds the partition values of one job, as many as it has months.
+    """
+    spark = df.sparkSession
+    replace_partitions(df, path, columns, fmt)
+    empty = expected.select(*columns).distinct().join(df.select(*columns).distinct(), list(columns), "left_anti")
+    for row in empty.toLocalIterator():
+        folder = hadoop_path(spark, "/".join([path, *[f"{name}={row[name]}" for name in columns]]))
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def append_filing_sections(records: DataFrame, path: str) -> int:
     """Append section records as JSON under (ticker, year); records without a filing year must be split off first."""
     return _save(spread_by(records, ["ticker", "year"]), path, "json", "append", ["ticker", "year"])

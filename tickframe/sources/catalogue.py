@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickframe.functions.instants import day_start_ns
-from tickframe.sources.landed import read_pages
+from tickframe.sources.landed import read_answers
 
 
 @dataclass(frozen=True)
@@ -23,6 +23,7 @@ class Dataset:
     unit: str = "date"
     fixed: tuple[tuple[str, str], ...] = ()
     nested: tuple[str, ...] = ("results",)
+    shape: str = "array"
     order: str | None = None
 
 
@@ -31,10 +32,10 @@ DATASETS = {
     "currency_tickers": Dataset("reference/tickers", None, fixed=(("market", "fx"),)),
     "index_tickers": Dataset("reference/tickers", None, fixed=(("market", "indices"),)),
     "option_contracts": Dataset("reference/options", None),
-    "stock_overviews": Dataset("stocks/overviews"),
-    "currency_overviews": Dataset("currency/overviews"),
-    "index_overviews": Dataset("indices/overviews"),
-    "option_overviews": Dataset("options/overviews"),
+    "stock_overviews": Dataset("stocks/overviews", shape="object"),
+    "currency_overviews": Dataset("currency/overviews", shape="object"),
+    "index_overviews": Dataset("indices/overviews", shape="object"),
+    "option_overviews": Dataset("options/overviews", shape="object"),
     "related_companies": Dataset("stocks/relatives"),
     "bars": Dataset("stocks/bars", date="t", unit="ms", order="t"),
     "trades": Dataset("stocks/trades", date="sip_timestamp", unit="ns", order="sip_timestamp"),
@@ -52,7 +53,9 @@ DATASETS = {
     "treasury_yields": Dataset("macro/treasury_yields", None, date="date", order="date"),
     "inflation": Dataset("macro/inflation", None, date="date", order="date"),
     "inflation_expectations": Dataset("macro/inflation_expectations", None, date="date", order="date"),
-    "cik_primary": Dataset("reference/cik_primary"),
+    "cik_primary": Dataset("reference/cik_primary", shape="root_array"),
+    "cik_fallback": Dataset("reference/cik_fallback", shape="root_array"),
+    "filing_sections": Dataset("filings/sections", "ticker", date="filing_timestamp_utc", unit="iso"),
     "filings": Dataset("filings/metadata", "cik", date="filedAt", unit="iso", nested=("filings",)),
 }
 
@@ -69,9 +72,12 @@ def scan(
     All predicates are literals on raw columns.
     """
     for column, value in dataset.fixed:
-        df = df.filter(F.col(column).cast("string") == value)
+        kind = df.schema[column].dataType
+        df = df.filter(F.col(column) == (value == "true" if isinstance(kind, T.BooleanType) else F.lit(value).cast(kind)))
     if ticker is not None and dataset.ticker:
         df = df.filter(F.col(dataset.ticker) == ticker)
+    if dataset.date and dataset.unit == "iso":
+        return _utc_days(df, dataset.date, start, end)
     if dataset.date:
         column = F.col(dataset.date)
         after_end = end + dt.timedelta(days=1) if end else None
@@ -82,6 +88,19 @@ def scan(
     return df
 
 
+def _utc_days(df: DataFrame, column: str, start: dt.date | None, end: dt.date | None) -> DataFrame:
+    """Rows whose instant, text with its own offset, lies in UTC days [start, end].
+
+    No offset moves a day by more than one, so a text range a day wider is pushed to the scan.
+    """
+    day = F.to_date(F.col(column).try_cast("timestamp"))
+    if start is not None:
+        df = df.filter((F.col(column) >= (start - dt.timedelta(days=1)).isoformat()) & (day >= F.lit(start)))
+    if end is not None:
+        df = df.filter((F.col(column) < (end + dt.timedelta(days=2)).isoformat()) & (day <= F.lit(end)))
+    return df
+
+
 def _bound(day: dt.date, unit: str):
     if unit == "ns":
         return F.lit(day_start_ns(day))
@@ -105,6 +124,7 @@ def range_scan(
     return found.orderBy(dataset.order) if ordered and dataset.order else found
 
 
-def landed_pages(spark: SparkSession, path: str, name: str, row: T.StructType) -> DataFrame:
-    """Landed API pages of dataset ``name`` as rows, taken from where its answers hold them."""
-    return read_pages(spark, path, row, *DATASETS[name].nested)
+def landed_pages(spark: SparkSession, path: str, name: str, row: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows, unreadable answers) of landed answers of dataset ``name``, taken from where its answers hold them."""
+    dataset = DATASETS[name]
+    return read_answers(spark, path, row, dataset.shape, dataset.nested)

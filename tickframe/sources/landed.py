@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tickframe import schemas
 from tickframe.operators.history import parse_inventory
-from tickframe.operators.refdata import latest_snapshot, unique_tickers
+from tickframe.operators.refdata import unique_tickers
 
 CORRUPT = "_corrupt_record"
 
@@ -28,15 +28,49 @@ def read_pages(spark: SparkSession, path: str, row: T.StructType, *at: str) -> D
     return flatten_pages(pages, F.col(".".join(at or ("results",))))
 
 
+def read_answers(
+    spark: SparkSession, path: str, row: T.StructType, shape: str = "array", at: tuple[str, ...] = ("results",)
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, unreadable answers with their file) of landed answers, one answer a line.
+
+    ``shape`` tells where an answer holds its rows: an ``array`` or one ``object`` at ``at``, or a ``root_array``, the
+    answer itself. Columns that folder names hold, such as the ticker that was asked for, come with every row of the
+    answers below them.
+    """
+    text = spark.read.text(path)
+    folders = [name for name in text.columns if name != "value"]
+    lines = text.filter(F.trim("value") != "").select("value", *folders, F.col("_metadata.file_name").alias("file_name"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    if shape == "root_array":
+        answers = lines.withColumn("_rows", F.from_json("value", T.ArrayType(row)))
+        readable = F.col("_rows").isNotNull()
+    else:
+        node: T.DataType = T.ArrayType(row) if shape == "array" else row
+        for name in reversed(at):
+            node = T.StructType([T.StructField(name, node)])
+        answers = lines.withColumn("_answer", F.from_json("value", node.add(CORRUPT, "string"), options))
+        found = F.col(".".join(("_answer", *at)))
+        answers = answers.withColumn("_rows", found if shape == "array" else F.array(found)).withColumn("_found", found)
+        readable = F.col("_answer").isNotNull() & F.col(f"_answer.{CORRUPT}").isNull() & F.col("_found").isNotNull()
+    own = [name for name in folders if name not in row.names]
+    rows = answers.filter(readable).select(*own, F.explode("_rows").alias("_row")).filter(F.col("_row").isNotNull())
+    rejects = answers.filter(~F.coalesce(readable, F.lit(False))).select("file_name", F.col("value").alias("raw"))
+    return rows.select(*own, "_row.*"), rejects
+
+
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """(readable records, unreadable lines with their file) of JSON lines.
 
-    Lines are read as text and parsed once per branch, so the unreadable ones can be counted without a cache.
+    Lines are read as text and parsed once per branch, so the unreadable ones can be counted without a cache. Columns
+    that folder names hold are columns of the records; where the record has one of the same name and a value, that counts.
     ``ordinal`` orders records by file, place of the split in the file and line.
     """
     marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    lines = spark.read.text(path).select(
+    text = spark.read.text(path)
+    folders = [name for name in text.columns if name != "value"]
+    lines = text.select(
         "value",
+        *folders,
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("line"),
@@ -44,15 +78,32 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> tup
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = lines.filter(F.trim("value") != "").withColumn("_record", F.from_json("value", marked, options))
     unreadable = F.col("_record").isNull() | F.col(f"_record.{CORRUPT}").isNotNull()
-    names = [F.col(f"_record.{name}").alias(name) for name in schema.names]
-    good = parsed.filter(~unreadable).select(*names, F.struct("file_name", "block_start", "line").alias("ordinal"))
+    own = [
+        F.coalesce(F.col(f"_record.{f.name}"), F.col(f.name).cast(f.dataType)).alias(f.name)
+        if f.name in folders
+        else F.col(f"_record.{f.name}").alias(f.name)
+        for f in schema.fields
+    ]
+    more = [name for name in folders if name not in schema.names]
+    good = parsed.filter(~unreadable).select(*own, *more, F.struct("file_name", "block_start", "line").alias("ordinal"))
     bad = parsed.filter(unreadable).select("file_name", F.col("value").alias("raw"))
     return good, bad
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Headed CSV with a fixed schema; list columns are text, so leading zeros survive."""
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+    """Headed CSV by column name: columns in any order, further ones passed over, absent ones null.
+
+    All columns are read as text, so leading zeros survive, and then cast. One header holds for the files under ``path``.
+    """
+    found = spark.read.option("header", True).csv(path)
+    return found.select(
+        *[
+            F.col(f"`{field.name}`").try_cast(field.dataType).alias(field.name)
+            if field.name in found.columns
+            else F.lit(None).cast(field.dataType).alias(field.name)
+            for field in schema.fields
+        ]
+    )
 
 
 def read_csv_if_present(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -80,23 +131,34 @@ def read_ticks(spark: SparkSession, root: str, *columns: str) -> DataFrame:
     return ticks.select(*columns) if columns else ticks
 
 
+def _listed(spark: SparkSession, pattern: str) -> list:
+    """File states that match ``pattern``; a listing, no file is opened."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return list(target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target) or [])
+
+
 def latest_ticker_list(spark: SparkSession, root: str, asset_class: str) -> DataFrame:
-    """Unique tickers of the newest list of an asset class stored under ``snapshot_date`` and ``run`` folders."""
-    lists = spark.read.option("header", True).csv(root).filter(F.col("asset_class") == asset_class)
-    lists = lists.withColumn("_snapshot", F.struct(F.col("snapshot_date").cast("string"), F.col("run").cast("int")))
-    newest = lists.agg(F.max("_snapshot").alias("m")).first()["m"]
-    if newest is None:
-        return unique_tickers(lists.limit(0))
-    same_day = F.col("snapshot_date").cast("string") == newest[0]
-    return unique_tickers(lists.filter(same_day & (F.col("run").cast("int") == newest[1])))
+    """Unique tickers of the newest list of an asset class stored under ``snapshot_date`` and ``run`` folders.
+
+    The run is chosen from folder names and read alone, so lists with other columns beside it don't matter.
+    """
+    runs = [s.getPath() for s in _listed(spark, f"{root}/asset_class={asset_class}/snapshot_date=*/run=*") if s.isDirectory()]
+    if not runs:
+        return spark.createDataFrame([], "ticker string")
+    newest = max(runs, key=lambda p: (p.getParent().getName(), int(p.getName().partition("=")[2])))
+    return unique_tickers(spark.read.option("header", True).csv(newest.toString()))
 
 
 def latest_file(spark: SparkSession, pattern: str) -> DataFrame:
-    """Rows of the most recently changed file among those that match ``pattern``."""
-    files = spark.read.option("header", True).csv(pattern).select(
-        "*", F.col("_metadata.file_modification_time").alias("_changed")
-    )
-    return latest_snapshot(files, "_changed").drop("_changed")
+    """Rows of the most recently changed file among those that match ``pattern``, of the last by name among equals.
+
+    The file is chosen by listing and read alone, under its own header.
+    """
+    files = _listed(spark, pattern)
+    if not files:
+        raise FileNotFoundError(pattern)
+    newest = max(files, key=lambda s: (s.getModificationTime(), s.getPath().toString()))
+    return spark.read.option("header", True).csv(newest.getPath().toString())
 
 
 def history_inventory(spark: SparkSession, root: str) -> DataFrame:
