@@ -52,6 +52,20 @@ def document_keys(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     ]
 
 
+_REST = "_rest"
+
+
+def packed_rest(docs: DataFrame, *own: str) -> DataFrame:
+    """``own`` columns and all others as one struct, so that no name of theirs can clash with an operator's."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in own]
+    return docs.select(*own, F.struct(*(others or [F.lit(None).cast("int").alias("none")])).alias(_REST))
+
+
+def unpacked_rest(rows: DataFrame, columns: list[str], *own: str) -> DataFrame:
+    """The columns of the table that ``packed_rest`` was given, in their order."""
+    return rows.select(*(F.col(c) if c in own else F.col(f"{_REST}.`{c}`").alias(c) for c in columns))
+
+
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string array and the offsets of its rows; nulls are empty."""
     if texts.null_count:

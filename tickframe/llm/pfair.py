@@ -29,6 +29,7 @@ FRAME, BLOCK, BUCKET = 1000, 16, 4096
 #: Sources that a mix may name; the driver holds one row for each.
 MOST_SOURCES = 100_000
 
+_OWN = ["_s", "_h", "_b", "_n", "_a", "_c", "_i", "_slots", "_before"]
 _NEW = ["mix_block", "mix_slot", "mix_position", "on_target"]
 
 
@@ -75,7 +76,7 @@ def mix(
     of its documents.
     """
     spark = docs.sparkSession
-    kept = [c for c in docs.columns if c not in {*_NEW, "_s", "_h", "_b"}]
+    kept = [c for c in docs.columns if c not in {*_NEW, *_OWN}]
     name = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("null"))
     named = docs.select(*kept, name.alias("_s"), F.xxhash64(F.col(doc_id)).alias("_h"))
     counts = {r._s: r.n for r in named.groupBy("_s").agg(F.count("*").alias("n")).limit(MOST_SOURCES + 1).collect()}

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import Words, document_keys, settled, signed, slices
+from tickframe.llm.common import Words, document_keys, packed_rest, settled, signed, slices, unpacked_rest
 from tickframe.llm.components import components
 
 BITS, SEGMENTS, DISTANCE = 64, 8, 3
@@ -218,7 +218,7 @@ def first_of_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
     A group without any id keeps one row too. Rows that repeat id and text count as one document; of them one stays.
     """
-    keyed = docs.select("*", *document_keys(doc_id, text))
+    keyed = packed_rest(docs, doc_id, text).select("*", *document_keys(doc_id, text))
     prints = settled(
         fingerprints(keyed.select("k1", "k2", F.col(text).alias("text")), width=width).withColumnRenamed("k1", "doc_id"), "prints"
     )
@@ -233,4 +233,5 @@ def first_of_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     copies = prints.groupBy(F.col("doc_id").alias("k1"), "k2").agg(F.count("*").alias("n_copies"))
     kept = keyed.join(firsts.join(copies, ["k1", "k2"]), ["k1", "k2"])
     once = kept.where("n_copies = 1")
-    return once.unionByName(kept.where("n_copies > 1").dropDuplicates(["k1", "k2"])).select(*docs.columns)
+    rows = once.unionByName(kept.where("n_copies > 1").dropDuplicates(["k1", "k2"]))
+    return unpacked_rest(rows, docs.columns, doc_id, text)
