@@ -29,11 +29,12 @@ def daily_liquidity(
     price: str = "price",
     size: str = "size",
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    combine_copies: bool = True,
 ) -> DataFrame:
     """Trades, dollar volume and median gap in seconds per (ticker, UTC day).
 
     Money is added in integers, so a recomputed task cannot change the last digit. The median is exact: it runs
-    over counted gap values, of which a day has a bounded number.
+    over counted gap values, of which a day has a bounded number. ``combine_copies`` is that of :func:`gap_counts`.
     """
     rows = trades.select(F.col(ticker).alias("ticker"), ts, utc_date(F.col(ts)).alias("date"), price, size)
     counts = gap_counts(
@@ -42,6 +43,7 @@ def daily_liquidity(
         ts,
         {"micros": micro_dollars(F.col(price), F.col(size))},
         bucket_seconds,
+        combine_copies,
     )
     return counts.groupBy("ticker", "date").agg(
         F.sum("n").alias("daily_trades"),

@@ -187,12 +187,27 @@ def deep_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", tx.deep_clean(noisy).alias("text"))
 
 
+#: Markup that no reader sees, and a table.
+_UNSEEN = (
+    '<div style="display: none">hidden<p>deep</div><p style="color:red;visibility:hidden">x</p>'
+    "<xbrli:context><b>c</b></xbrli:context><noscript>n</noscript><!-- note -->"
+)
+_TABLE = "<table><tr><th>cell</th><td><b>t</b>wo</td></tr><tr><td></td></tr></table>"
+
+
+def _marked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with a table and unseen parts at the start of their body."""
+    return bd.texts(spark, sf_dir, "pages", "page_id", "html").select(
+        "page_id", F.replace("html", F.lit("<body>"), F.lit(f"<body>{_UNSEEN}{_TABLE}")).alias("html")
+    )
+
+
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bd.texts(spark, sf_dir, "pages", "page_id", "html").select("page_id", html_to_text("html").alias("text"))
+    return _marked_pages(spark, sf_dir).select("page_id", html_to_text("html").alias("text"))
 
 
 def html_readable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bd.texts(spark, sf_dir, "pages", "page_id", "html").select("page_id", html_to_blocks("html").alias("text"))
+    return _marked_pages(spark, sf_dir).select("page_id", html_to_blocks("html").alias("text"))
 
 
 def doc_start(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,8 +258,13 @@ def merged_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return con.merged_blocks(bd.section_texts(spark, sf_dir))
 
 
+def marked_sections(records: DataFrame) -> DataFrame:
+    """Section texts as HTML: a paragraph in part bold, unseen parts and a table."""
+    return records.withColumn("text", F.concat(F.lit("<p><b></b>"), "text", F.lit(f"</p>{_UNSEEN}{_TABLE}")))
+
+
 def formatted_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return con.formatted_blocks(bd.section_texts(spark, sf_dir))
+    return con.formatted_blocks(marked_sections(bd.section_texts(spark, sf_dir)))
 
 
 def html_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -373,7 +393,7 @@ _FORMATTED_SQL = f"""WITH {_ASSEMBLED}
 SELECT ticker, 1 AS part, period_place, first_ordinal, accession AS accession_number, 1 AS kind, CAST(-1 AS BIGINT) AS ordinal,
   concat({_RULE}, {_NL}, 'COMPANY: ', company, ' (', ticker, ')', {_NL}, 'FORM TYPE: ', form, {_NL}, 'PERIOD END DATE: ', coalesce(period, 'None'),
     {_NL}, {_RULE}, {_NL}, {_NL}) AS block FROM o
-UNION ALL SELECT {_PLACED}, concat('Section: ', section_id, {_NL}, {_NL}, {_KEPT_TEXT.format('text')}, {_NL}, {_NL})
+UNION ALL SELECT {_PLACED}, concat('Section: ', section_id, {_NL}, {_NL}, {_KEPT_TEXT.format('text')}, {_NL}, {_NL}, 'cell | two', {_NL}, {_NL})
 FROM r JOIN o ON r.ticker = o.ticker AND r.accession = o.accession"""
 
 
@@ -445,7 +465,7 @@ FROM documents WHERE {_URL} IS NOT NULL GROUP BY 1""",
 FROM documents WHERE length({_KEPT_TEXT.format("replace(replace(text, ' ', concat('  ', chr(9))), chr(10), concat(chr(10), ' ', chr(10), chr(9), chr(10)))")}) > 50""",
         "deep_clean": f"""SELECT doc_id, {_KEPT_TEXT.format("concat(replace(replace(text, ' the ', ' & '), chr(10), ' '), ' End', chr(10), chr(10), replace(text, chr(10), ' '))")} AS text FROM documents""",
         "html_text": _page_sql("", "chr(10)"),
-        "html_readable": _page_sql("a|b", "concat(chr(10), chr(10))"),
+        "html_readable": f"SELECT page_id, concat('cell | two', chr(10), chr(10), text) AS text FROM ({_page_sql('a|b', 'concat(chr(10), chr(10))')})",
         "doc_start": f"""SELECT doc_id, CAST(CASE WHEN {_FAMILY} IN ('10-K', '10-Q') AND 8 + length(text) < 5000 THEN 8 + length(text) ELSE 0 END AS INTEGER) AS body_offset,
   CAST(15 + 2 * length(text) - CASE WHEN {_FAMILY} IN ('10-K', '10-Q') AND 8 + length(text) < 5000 THEN 8 + length(text) ELSE 0 END AS INTEGER) AS body_chars FROM documents""",
         "segment_filing": _segment_sql()

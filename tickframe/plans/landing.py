@@ -198,7 +198,7 @@ def _stored_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_formatted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of the readable documents as written per ticker, from stored records."""
     path = new_scratch(spark, "formatted")
-    documents.write_documents(con.formatted_blocks(_stored_sections(spark, sf_dir)), con.ASSEMBLED_ORDER, path)
+    documents.write_documents(con.formatted_blocks(fp.marked_sections(_stored_sections(spark, sf_dir))), con.ASSEMBLED_ORDER, path)
     return spark.read.text(path).select("ticker", F.col("value").alias("line"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,10 +36,17 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``; there is no machine-local stand-in."""
-    configured = spark.conf.get(_CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(_CHECKPOINT_DIR)
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where it is unset, a session whose driver and executors are one process sets its own; any other is refused.
+    """
+    context = spark.sparkContext
+    configured = spark.conf.get(_CHECKPOINT_DIR, None) or context.getConf().get(_CHECKPOINT_DIR) or context.getCheckpointDir()
     if not configured:
-        raise ValueError(f"set {_CHECKPOINT_DIR} to a folder that the driver and all executors share")
+        if not re.fullmatch(r"local(\[[^]]*])?", context.master):
+            raise ValueError(f"set {_CHECKPOINT_DIR} to a folder that the driver and all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tickframe-"))
+        configured = context.getCheckpointDir()
     return configured.rstrip("/")
 
 
