@@ -12,8 +12,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bytes of text that a Python worker handles at once.
-SLICE_BYTES = 2 << 20
+from tickframe.session import scratch_root
+
+#: Bytes of text that a Python worker handles at once, and rows of an Arrow batch of texts.
+SLICE_BYTES = 1 << 20
+BATCH_ROWS = 1000
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -23,10 +26,16 @@ LOWER[ord("A") : ord("Z") + 1] += 32
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names, which driver and executors share."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return folder.rstrip("/")
+    return scratch_root(spark)
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Texts go to Python workers in batches of ``BATCH_ROWS`` rows at most: a worker and its executor hold little at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(name, "10000"))
+    if not 0 < rows <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+    return spark
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -90,6 +99,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             last = max(first + 1, int(np.searchsorted(size, before + limit, "right")))
             yield batch.slice(first, last - first)
             first = last
+    pa.default_memory_pool().release_unused()
 
 
 class Words:

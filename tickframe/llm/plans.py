@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickframe.llm import chat_hmm, decontam, importance, kneser_ney, line_suffix, pfair, phrase_dedup, pii, rule_ledger, simhash_ring
-
-WORD = r"[^\x20\x09-\x0D]+"
+from tickframe.llm.common import small_batches
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return small_batches(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def transcripts(conversations: DataFrame) -> DataFrame:
