@@ -179,9 +179,28 @@ FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
 
+_OP7_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 400)) AS k
+      FROM (SELECT doc_id, h, unnest(range(0, greatest(length(h) // 2 - 199, 0))) AS i FROM d)),
+n AS (SELECT k FROM w GROUP BY k HAVING count(*) > 1),
+r AS (SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 200, true) AS opens FROM w JOIN n USING (k)),
+g AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS b
+      FROM (SELECT doc_id, i, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM r) GROUP BY doc_id, run),
+p AS (SELECT doc_id, a, b, coalesce(lag(b) OVER o, 0) AS since, row_number() OVER o AS j, count(*) OVER (PARTITION BY doc_id) AS c
+      FROM g WINDOW o AS (PARTITION BY doc_id ORDER BY a)),
+s AS (SELECT d.doc_id, any_value(h) AS h, coalesce(sum(b - a), 0) AS gone, count(a) AS spans, coalesce(max(b), 0) AS last,
+        coalesce(string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a), '') AS head
+      FROM d LEFT JOIN p USING (doc_id) GROUP BY d.doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, gone::BIGINT AS n_removed, spans AS n_spans,
+  sha256(unhex(concat(head, substr(h, 2 * last + 1)))) AS kept_sha256
+FROM s
+"""
+
+
 def queries() -> dict:
     return {"op1_chat": op1_chat, "op2_simhash": op2_simhash, "op3_mixing": op3_mixing, "op4_pii": op4_pii, "op5_lines": op5_lines, "op6_decontamination": op6_decontamination, "op7_suffixes": op7_suffixes, "op8_importance": op8_importance, "op9_rules": op9_rules, "op10_kneser_ney": op10_kneser_ney}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_lines": _OP5_SQL, "op9_rules": _OP9_SQL}
+    return {"op5_lines": _OP5_SQL, "op7_suffixes": _OP7_SQL, "op9_rules": _OP9_SQL}
