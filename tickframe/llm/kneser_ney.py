@@ -31,11 +31,13 @@ from pyspark.sql import functions as F
 
 from tickframe.llm.common import Words, digests, mixed, new_folder, settled, signed, slices
 
-#: Tokens whose pairs share a shard, and words that share one.
+#: Tokens whose pairs share a shard, words that share a file of hashes, words that share a file of a column.
 SHARD = 2_000_000
+WORDS = 1_000_000
+STRETCH = 1 << 17
 #: Different keys a task gathers before it sends them on.
-_GATHER = 4_000_000
-_TEXT = 4 << 20
+_GATHER = 1_500_000
+_TEXT = 2 << 20
 #: Hash of the end token: of a string that no word equals.
 _END = int(digests(pa.array([b" "], pa.large_binary())).view(np.int64)[0])
 
@@ -198,11 +200,11 @@ class Model:
         """Values at word numbers (the begin mark is number ``n_words``)."""
         out = np.zeros(len(ids), np.int64)
         order = np.argsort(ids, kind="stable")
-        shards = ids[order] // SHARD
+        shards = ids[order] // STRETCH
         first = np.flatnonzero(np.concatenate(([True], np.diff(shards) != 0))) if len(ids) else []
         for a, b in zip(first, np.append(first[1:], len(ids))):
             own = order[a:b]
-            out[own] = _mapped(f"{self.folder}/{name}-{int(shards[a])}", "<i8")[ids[own] % SHARD]
+            out[own] = _mapped(f"{self.folder}/{name}-{int(shards[a])}", "<i8")[ids[own] % STRETCH]
         return out
 
     def pair_shards(self, one: np.ndarray, two: np.ndarray, before: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -260,7 +262,7 @@ def _count_words(docs: DataFrame, text: str, model: Model) -> None:
     model.n_words, model.n_tokens, model.n_texts = total.v, total.n, total.t
     if total.v >= 1 << 31:
         raise ValueError("more than 2**31 words: pair keys have 64 bits")
-    model.word_bits = max(0, (max(1, total.v // SHARD)).bit_length())
+    model.word_bits = max(0, (max(1, total.v // WORDS)).bit_length())
     shards = 1 << model.word_bits
     folder = model.folder
     shard = F.shiftright("h", 64 - model.word_bits) + shards // 2 if model.word_bits else F.lit(0).cast("long")
@@ -296,11 +298,11 @@ def _count_words(docs: DataFrame, text: str, model: Model) -> None:
     model.word_starts = np.cumsum(sizes)
     counts_before = np.cumsum(before)
 
-    # Running counts by word number, in stretches of SHARD numbers; the begin mark comes last.
+    # Running counts by word number, in stretches of STRETCH numbers; the begin mark comes last.
     def running(batches):
         for batch in batches:
             for k in batch.column("id").to_pylist():
-                low, high = k * SHARD, min((k + 1) * SHARD, model.n_words)
+                low, high = k * STRETCH, min((k + 1) * STRETCH, model.n_words)
                 n, start = [], None
                 for s in range(np.searchsorted(model.word_starts, low, "right") - 1, shards):
                     a, b = max(low, int(model.word_starts[s])), min(high, int(model.word_starts[s + 1]))
@@ -312,12 +314,12 @@ def _count_words(docs: DataFrame, text: str, model: Model) -> None:
                             start = counts_before[s] + int(own[: a - model.word_starts[s]].sum())
                         n.append(own[a - model.word_starts[s] : b - model.word_starts[s]])
                 start = counts_before[-1] if start is None else start
-                n = np.concatenate([*n, [model.n_texts]] if high == model.n_words and low <= model.n_words < low + SHARD else n)
+                n = np.concatenate([*n, [model.n_texts]] if high == model.n_words and low <= model.n_words < low + STRETCH else n)
                 _write(folder, f"counts-{k}", n.astype(np.int64))
                 _write(folder, f"before-{k}", start + np.cumsum(n, dtype=np.int64) - n.astype(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array([k])], names=["id"])
 
-    stretches = model.n_words // SHARD + 1
+    stretches = model.n_words // STRETCH + 1
     docs.sparkSession.range(stretches).repartition(min(stretches, 4096)).mapInArrow(running, "id long").collect()
     # What a pair's place can reach: every token but the ends opens a pair, and so does every begin mark.
     model.width = SHARD
@@ -352,7 +354,7 @@ def _count_pairs(docs: DataFrame, text: str, model: Model) -> None:
             _write(folder, f"pairs-{shard}.n", counts.astype(np.uint32))
             one, two = keys >> np.int64(32), keys & np.int64(0xFFFFFFFF)
             sent, many = np.unique(np.concatenate((two * 4, one * 4 + np.minimum(counts, 3))), return_counts=True)
-            yield packed(sent, many, sent // 4 // SHARD)
+            yield packed(sent, many, sent // 4 // STRETCH)
             of = np.bincount(np.minimum(counts, 5), minlength=6)[1:5]
             yield packed(np.arange(1, 5), of, np.full(4, -1))
 
@@ -362,9 +364,9 @@ def _count_pairs(docs: DataFrame, text: str, model: Model) -> None:
             if shard < 0:
                 yield pa.RecordBatch.from_arrays([pa.array([-1] * len(keys)), pa.array(keys), pa.array(counts)], names=["shard", "k", "n"])
                 continue
-            size = min(SHARD, model.n_words + 1 - shard * SHARD)
+            size = min(STRETCH, model.n_words + 1 - shard * STRETCH)
             table = np.zeros((4, size), np.int64)
-            table[keys % 4, keys // 4 - shard * SHARD] = counts
+            table[keys % 4, keys // 4 - shard * STRETCH] = counts
             for i, name in enumerate(("follows", "once", "twice", "often")):
                 _write(folder, f"{name}-{shard}", table[i])
             of = np.bincount(np.minimum(table[0], 5), minlength=6)[1:]
@@ -374,7 +376,7 @@ def _count_pairs(docs: DataFrame, text: str, model: Model) -> None:
 
     pairs = docs.mapInArrow(count, _PACKED)
     sent = settled(_by_shard(pairs, shards).mapInArrow(store, _PACKED), "pair-sums")
-    found = _by_shard(sent, model.n_words // SHARD + 2).mapInArrow(spread, "shard long, k long, n long")
+    found = _by_shard(sent, model.n_words // STRETCH + 2).mapInArrow(spread, "shard long, k long, n long")
     sums = {(r.shard, r.k): r.n for r in found.groupBy("shard", "k").agg(F.sum("n").alias("n")).collect()}
     of_pairs, of_words = ([sums.get((s, k), 0) for k in range(1, 7)] for s in (-1, 0))
     model.n_pairs = of_words[5]
