@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tickframe.llm.common import buffers, document_keys, mixed, row_sums, settled, signed, slices
 
-LENGTH, SPREAD = 200, 128
+LENGTH, SPREAD = 200, 160
 #: Bytes of the rolling hash.
 _ROLL = 16
 #: Bytes from the trigger on that every window of a phrase holds.
@@ -108,7 +108,7 @@ def parse(keyed: DataFrame) -> DataFrame:
                 [
                     k1.take(pa.array(row)),
                     k2.take(pa.array(row)),
-                    pa.array(first.astype(np.int64)),
+                    pa.array(first.astype(np.int32)),
                     pa.array(n.astype(np.int32)),
                     pa.array((at - first).astype(np.int32)),
                     pa.array(signed(block)),
@@ -117,7 +117,7 @@ def parse(keyed: DataFrame) -> DataFrame:
                 names=["k1", "k2", "first", "n", "at", "block", "phrase"],
             )
 
-    return keyed.mapInArrow(run, "k1 long, k2 long, first long, n int, at int, block long, phrase long")
+    return keyed.mapInArrow(run, "k1 long, k2 long, first int, n int, at int, block long, phrase long")
 
 
 def _window_digests(text: bytes, n: int, at: int) -> list[int]:
@@ -263,6 +263,8 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     names = [c for c in docs.columns if c not in {*_NEW, text, "k1", "k2", "spans"}]
     body = F.coalesce(F.col(text), F.lit(""))
     keyed = docs.select(*names, *document_keys(doc_id, text), body.alias("_text"))
+    # Texts under one id are told apart by half the hash.
+    keyed = keyed.withColumn("k2", F.col("k2").bitwiseAND(F.lit(0xFFFFFFFF)))
     spans = repeated_windows(keyed.select("k1", "k2", F.col("_text").alias("text")), hot)
     spans = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("first", "n")).alias("spans"))
     joined = keyed.join(spans, ["k1", "k2"], "left").select(*names, "_text", "spans")
