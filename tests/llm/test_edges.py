@@ -167,6 +167,37 @@ def test_leaks_of_edited_copies(spark):
     assert {r.doc_id for r in decontam.leaks(df, items).collect()} == {0, 1, 2, 5}
 
 
+def test_leaks_of_common_words(spark):
+    """Items whose words many texts hold: every pair that reaches the threshold is found, as by full alignment."""
+    import pyarrow as pa
+
+    from tickframe.llm.common import Words
+
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(60)]
+    items = [rng.choices(vocabulary, k=n) for n in (12, 12, 7, 20, 33)]
+    texts = [" ".join(items[0][4:]) for _ in range(30)] + [" ".join(items[0][:7])]
+    for item in items * 8:
+        edited = []
+        for w in item:
+            kind = rng.choices(("same", "other", "gap", "more"), (5, 1, 1, 2))[0]
+            edited += {"same": [w], "other": ["x"], "gap": [], "more": [w, "y"]}[kind]
+        texts.append(" ".join(rng.choices(vocabulary, k=rng.randint(0, 40)) + edited + rng.choices(vocabulary, k=rng.randint(0, 40))))
+    texts += [" ".join(f"{w} z" for w in items[3]), " ".join("x" if i % 3 == 2 else w for i, w in enumerate(items[4]))]
+    numbers = {}
+
+    def tokens(text):
+        words = Words(pa.array([text], pa.large_string())).words.to_pylist()
+        return np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int64)
+
+    full = {(d, i): decontam.align(tokens(" ".join(item)), tokens(t))[0] / (2 * len(item)) for d, t in enumerate(texts) for i, item in enumerate(items)}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame([(i, " ".join(item)) for i, item in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontam.leaks(df, benchmark).collect()}
+    assert got == pytest.approx({p: s for p, s in full.items() if s >= decontam.THRESHOLD})
+    assert (30, 0) in got
+
+
 def test_mixing(docs, none, spark):
     assert pfair.mix(none).count() == 0
     rows = pfair.mix(docs).collect()

@@ -1,16 +1,17 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: pairs of words count what an alignment could reach, then Smith-Waterman.
 
-Words are compared without case and ASCII punctuation. Every shingle of three words of a test item is a seed; one pass
-over the corpus counts the texts that hold each seed, and an item keeps its rarer half, and any seed that is rare
-outright. An item that leaked into a large part of the corpus so keeps seeds as well. A text that holds two
-different kept seeds of an item in one neighbourhood is aligned with it there; the score is the local alignment's share
-of a full match.
+Words are compared without case and ASCII punctuation. An alignment of an item of m words that reaches the threshold T has
+k matching words and at most 2k - 2mT edits, so of its k - 1 pairs of successive matches at least mT - 1 have at most one
+edit between them: two words of the item, next to each other or one apart, lie next to each other or one apart in the text.
+The alignment covers at most (3 - 2T)m words of the text. A text is therefore aligned with an item wherever so many of the
+item's pairs start within so many words, and no copy that reaches the threshold is lost, however common its words are; the
+score is the local alignment's share of a full match.
 
 The items are the query set: they are read in blocks of at most ``BLOCK_ITEMS`` rows and ``BLOCK_BYTES`` of text, and
 only a block is sent to the workers. All texts are read whole against each block, as a map without a shuffle, so copies of
-one passage in any number of texts stay where they are. What reaches the driver is one count per seed of a block.
+one passage in any number of texts stay where they are.
 
-Null or wordless texts and items match nothing; an item of one or two words is one seed. Repeated rows are judged each for
+Null or wordless texts and items match nothing; an item of one or two words must be there whole. Repeated rows are judged each for
 itself. An empty benchmark leaves every text clean.
 """
 
@@ -26,9 +27,8 @@ from pyspark.sql import functions as F
 
 from tickframe.llm.common import SPACE, Words, slices
 
-SEED_WORDS = 3
-#: Texts up to which a seed counts as rare whatever the item's other seeds are.
-RARE = 20
+#: Pairs of a text and an item's places that are looked at together, unless one text has more.
+HITS = 1 << 21
 #: Share of a full match from which a text counts as leaked.
 THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -41,72 +41,46 @@ LEAKS = "array<struct<item_id:long,score:double,n_matches:int,first_word:int,end
 
 
 class Seeds:
-    """The seeds of a block of items: keys over the block's own vocabulary, and where in which item each lies."""
+    """The word pairs of a block of items: keys over the block's own vocabulary, and which items hold each."""
 
     def __init__(self, ids: list[int], texts: list[str]):
         words = Words(pa.array(texts, pa.large_string()), lower=True, space=_BREAK)
         codes, self.vocabulary = words.encoded()
         self.ids = ids
         self.items = [codes[a:b] for a, b in zip(words.bounds, words.bounds[1:])]
-        #: One spare code fills up items that are shorter than a seed.
+        self.sizes = np.array([len(own) for own in self.items], np.int64)
+        #: One spare code stands for the second word of an item of one word.
         self.base = len(self.vocabulary) + 1
-        keys, item, offset = [], [], []
+        keys, item = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i, own in enumerate(self.items):
             if len(own):
-                found = self.keys(own) if len(own) >= SEED_WORDS else self.short(own)
-                keys.append(found), item.append(np.full(len(found), i)), offset.append(np.arange(len(found)))
-        join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        keys, item, offset = join(keys), join(item), join(offset)
-        order = np.lexsort((offset, item, keys))
-        self.key, self.item, self.offset = keys[order], item[order], offset[order]
+                near = own[:-1] * self.base + own[1:] if len(own) > 1 else own * self.base + self.base - 1
+                found = np.unique(np.concatenate((near, own[:-2] * self.base + own[2:])))
+                keys.append(found), item.append(np.full(len(found), i))
+        keys, item = np.concatenate(keys), np.concatenate(item)
+        order = np.lexsort((item, keys))
+        self.key, self.item = keys[order], item[order]
         self.distinct, self.first = np.unique(self.key, return_index=True)
 
-    def keys(self, codes: np.ndarray) -> np.ndarray:
-        n = max(0, len(codes) - SEED_WORDS + 1)
-        out = np.zeros(n, np.int64)
-        for j in range(SEED_WORDS):
-            out = out * self.base + codes[j : j + n]
-        return out
-
-    def short(self, codes: np.ndarray) -> np.ndarray:
-        out = 0
-        for j in range(SEED_WORDS):
-            out = out * self.base + (int(codes[j]) if j < len(codes) else self.base - 1)
-        return np.array([out], np.int64)
-
-    def keep(self, texts_with: np.ndarray) -> None:
-        """Keep of each item the rarer half of its seeds, and all that are rare outright; ``texts_with`` by distinct key."""
-        counts = texts_with[np.searchsorted(self.distinct, self.key)]
-        kept = counts <= RARE
-        for i in np.unique(self.item[~kept]).tolist():
-            own = np.flatnonzero(self.item == i)
-            kept[own] |= counts[own] <= np.median(counts[own])
-        self.key, self.item, self.offset = self.key[kept], self.item[kept], self.offset[kept]
-        self.distinct, self.first = np.unique(self.key, return_index=True)
-
-    def hits(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Row, word and distinct seed of every seed in the texts; and the words' codes in the block's vocabulary."""
+    def hits(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Row, word, distinct pair and step between its words of every known pair in the texts; ``codes`` are the texts' words."""
         own, values = words.encoded()
         known = pc.fill_null(pc.index_in(values, value_set=self.vocabulary), -1).to_numpy(zero_copy_only=False).astype(np.int64)
         codes = known[own] if len(own) else np.zeros(0, np.int64)
         of = np.repeat(np.arange(len(words.bounds) - 1), np.diff(words.bounds))
-        at, keys = [], []
-        for width in range(1, SEED_WORDS + 1):
-            n = max(0, len(codes) - width + 1)
-            whole = (of[:n] == of[width - 1 : width - 1 + n]) & (codes[:n] >= 0)
-            for j in range(1, width):
-                whole &= codes[j : j + n] >= 0
+        at, keys, steps = [], [], []
+        for step in range(3):
+            n = max(0, len(codes) - step)
+            whole = (of[:n] == of[step : step + n]) & (codes[:n] >= 0) & (codes[step : step + n] >= 0)
             place = np.flatnonzero(whole)
-            out = np.zeros(len(place), np.int64)
-            for j in range(SEED_WORDS):
-                out = out * self.base + (codes[place + j] if j < width else self.base - 1)
-            at.append(place), keys.append(out)
-        at, keys = np.concatenate(at), np.concatenate(keys)
+            at.append(place), steps.append(np.full(len(place), step))
+            keys.append(codes[place] * self.base + (codes[place + step] if step else self.base - 1))
+        at, keys, steps = np.concatenate(at), np.concatenate(keys), np.concatenate(steps)
         seed = np.searchsorted(self.distinct, keys)
         real = seed < len(self.distinct)
         real[real] = self.distinct[seed[real]] == keys[real]
         self.codes = codes
-        return of[at[real]], at[real], seed[real]
+        return of[at[real]], at[real], seed[real], steps[real]
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
@@ -138,18 +112,6 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
     return best
 
 
-def _neighbourhoods(word: np.ndarray, offset: np.ndarray, seed: np.ndarray, m: int, need: int) -> Iterator[tuple[int, int]]:
-    """Merged ranges of the text around hits of an item of ``m`` words, where ``need`` different seeds lie."""
-    slack = m // 4 + 3
-    start = word - offset - slack
-    order = np.argsort(start, kind="stable")
-    start, seed = start[order], seed[order]
-    cut = np.flatnonzero(np.diff(start) > m + 2 * slack) + 1
-    for a, b in zip(np.concatenate(([0], cut)).tolist(), np.concatenate((cut, [len(start)])).tolist()):
-        if len(np.unique(seed[a:b])) >= need:
-            yield int(start[a]), int(start[b - 1]) + m + 2 * slack
-
-
 def _blocks(benchmark: DataFrame, item_id: str, text: str) -> list[DataFrame]:
     items = benchmark.where(F.col(text).isNotNull()).select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text"))
     size = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()
@@ -160,58 +122,67 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str) -> list[DataFrame]:
     return [dealt.where(F.col("block") == i).select("item_id", "text") for i in range(n)]
 
 
-def _counted(docs: DataFrame, seeds: Seeds, text: str) -> np.ndarray:
-    def run(batches):
-        total = np.zeros(len(seeds.distinct), np.int64)
-        for batch in slices(batches, text):
-            row, _, seed = seeds.hits(Words(batch.column(text), lower=True, space=_BREAK))
-            pairs = np.unique(row * (len(total) + 1) + seed)
-            total += np.bincount(pairs % (len(total) + 1), minlength=len(total))[: len(total)]
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["seed", "n"])
-
-    counts = np.zeros(len(seeds.distinct), np.int64)
-    for row in docs.select(text).mapInArrow(run, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).collect():
-        counts[row.seed] = row.n
-    return counts
+def _regions(first: np.ndarray, last: np.ndarray, reach: int) -> Iterator[tuple[int, int]]:
+    """Merged ranges of the text that hold every alignment over words ``first`` to ``last``."""
+    cut = np.flatnonzero(first[1:] - reach > last[:-1] + reach) + 1
+    for a, b in zip(np.concatenate(([0], cut)).tolist(), np.concatenate((cut, [len(first)])).tolist()):
+        yield int(first[a]) - reach, int(last[b - 1]) + reach
 
 
 def _aligned(seeds: Seeds, words: Words, threshold: float) -> list[list[dict]]:
     out: list[list[dict]] = [[] for _ in range(len(words.bounds) - 1)]
-    row, word, seed = seeds.hits(words)
-    last = np.append(seeds.first[1:], len(seeds.key))
-    sizes = (last - seeds.first)[seed] if len(seed) else np.zeros(0, np.int64)
-    hit = np.repeat(np.arange(len(seed)), sizes)
-    if not len(hit):
-        return out
-    within = np.arange(len(hit)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    entry = seeds.first[seed[hit]] + within
-    item, offset, row, word, seed = seeds.item[entry], seeds.offset[entry], row[hit], word[hit], seed[hit]
-    order = np.lexsort((word, item, row))
-    item, offset, row, word, seed = item[order], offset[order], row[order], word[order], seed[order]
-    cut = np.flatnonzero((np.diff(row) != 0) | (np.diff(item) != 0)) + 1
-    per_item = np.bincount(seeds.item, minlength=len(seeds.items))
-    for a, b in zip(np.concatenate(([0], cut)).tolist(), np.concatenate((cut, [len(row)])).tolist()):
-        i, r = int(item[a]), int(row[a])
-        need = min(2, int(per_item[i]))
-        if b - a < need:
-            continue
-        own, (low, high) = seeds.items[i], words.bounds[r : r + 2]
-        best = None
-        for x, y in _neighbourhoods(word[a:b], offset[a:b], seed[a:b], len(own), need):
-            x, y = max(int(low), x), min(int(high), y)
-            for z in range(x, y, 1 << 16):  # a long merged range goes in overlapping pieces
-                found = align(own, seeds.codes[z : min(y, z + (1 << 16) + 2 * len(own))])
-                if best is None or found[0] > best[0]:
-                    best = (*found[:2], found[2] + z - int(low), found[3] + z - int(low))
-        share = best[0] / (MATCH * len(own)) if best else 0
-        if share >= threshold:
-            out[r].append(
-                {"item_id": seeds.ids[i], "score": share, "n_matches": best[1], "first_word": best[2], "end_word": best[3]}
-            )
+    rows, places, pairs, steps = seeds.hits(words)
+    order = np.argsort(rows, kind="stable")
+    rows, places, pairs, steps = rows[order], places[order], pairs[order], steps[order]
+    sizes = (np.append(seeds.first[1:], len(seeds.key)) - seeds.first)[pairs] if len(pairs) else np.zeros(0, np.int64)
+    need = np.maximum(1, np.ceil(seeds.sizes * threshold - 1 - 1e-9)).astype(np.int64)
+    reach = (seeds.sizes * max(1.0, 3 - 2 * threshold)).astype(np.int64) + 2
+    ahead, since = np.cumsum(sizes), 0
+    while since < len(rows):
+        # Whole rows, as many as have no more than HITS entries.
+        until = int(np.searchsorted(ahead, (ahead[since - 1] if since else 0) + HITS, "right"))
+        until = int(np.searchsorted(rows, rows[until], "left")) if until < len(rows) else until
+        until = until if until > since else int(np.searchsorted(rows, rows[since], "right"))
+        own = slice(since, until)
+        since = until
+        hit = np.repeat(np.arange(own.start, own.stop), sizes[own])
+        within = np.arange(len(hit)) - np.repeat(np.cumsum(sizes[own]) - sizes[own], sizes[own])
+        item, row, word, step = seeds.item[seeds.first[pairs[hit]] + within], rows[hit], places[hit], steps[hit]
+        # An item of one or two words counts where it lies whole.
+        whole = (seeds.sizes[item] > 2) | (step == seeds.sizes[item] - 1)
+        item, row, word = item[whole], row[whole], word[whole]
+        order = np.lexsort((word, item, row))
+        item, row, word = item[order], row[order], word[order]
+        fresh = np.ones(len(row), bool)
+        fresh[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (word[1:] != word[:-1])
+        item, row, word = item[fresh], row[fresh], word[fresh]
+        end = np.arange(len(row)) + need[item] - 1
+        begin = np.flatnonzero(end < len(row))
+        end = end[begin]
+        close = (row[begin] == row[end]) & (item[begin] == item[end]) & (word[end] - word[begin] < reach[item[begin]])
+        begin, end = begin[close], end[close]
+        cut = np.flatnonzero((np.diff(row[begin]) != 0) | (np.diff(item[begin]) != 0)) + 1
+        for some, last in zip(np.split(begin, cut), np.split(end, cut)):
+            if len(some):
+                _best(seeds, words, int(row[some[0]]), int(item[some[0]]), _regions(word[some], word[last], int(reach[item[some[0]]])), threshold, out)
     return out
 
 
+def _best(seeds: Seeds, words: Words, r: int, i: int, regions: Iterator[tuple[int, int]], threshold: float, out: list[list[dict]]) -> None:
+    """Add the best alignment of item ``i`` in the regions of text ``r``, if it reaches the threshold."""
+    own, (low, high) = seeds.items[i], words.bounds[r : r + 2]
+    best = None
+    for x, y in regions:
+        x, y = max(int(low), x), min(int(high), y)
+        for z in range(x, y, 1 << 16):  # a long merged range goes in overlapping pieces
+            found = align(own, seeds.codes[z : min(y, z + (1 << 16) + 3 * len(own))])
+            if best is None or found[0] > best[0]:
+                best = (*found[:2], found[2] + z - int(low), found[3] + z - int(low))
+    share = best[0] / (MATCH * len(own)) if best else 0
+    if share >= threshold:
+        out[r].append({"item_id": seeds.ids[i], "score": share, "n_matches": best[1], "first_word": best[2], "end_word": best[3]})
+
+
 def with_leaks(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", threshold: float = THRESHOLD
 ) -> DataFrame:
@@ -221,7 +192,6 @@ def with_leaks(
     for block in _blocks(benchmark, item_id, "text"):
         rows = block.collect()
         seeds = Seeds([r.item_id for r in rows], [r.text for r in rows])
-        seeds.keep(_counted(docs, seeds, text))
 
         def run(batches, seeds=seeds):
             for batch in slices(batches, text):
