@@ -126,6 +126,17 @@ def test_suffixes(spark, docs, none, hot):
     assert phrase_dedup.without_repeats(none).count() == 0 and ids(phrase_dedup.without_repeats(docs)) == ALL
 
 
+def test_suffixes_of_texts_with_like_hashes(spark):
+    """Two texts of one id whose hashes share 32 bits: what repeats in one isn't cut from the other."""
+    texts = spark.range(200_000).select(F.concat(*(F.sha2(F.concat("id", F.lit(f"/{i}")), 256) for i in range(4))).alias("text"))
+    half = F.xxhash64("text", F.lit(True)).bitwiseAND(F.lit(0xFFFFFFFF))
+    pair = texts.groupBy(half.alias("half")).agg(F.sort_array(F.collect_list("text")).alias("texts")).where(F.size("texts") > 1)
+    one, other = pair.orderBy("half").first().texts[:2]
+    df = spark.createDataFrame([(None, one), (None, other), (1, one)], "doc_id long, text string")
+    got = sorted(bytes(r.kept) for r in phrase_dedup.without_repeats(df).collect())
+    assert got == [b"", b"", other.encode()]
+
+
 def test_lines(spark, docs, none):
     assert line_suffix.without_repeated_runs(none).count() == 0
     assert ids(line_suffix.without_repeated_runs(docs, min_words=1)) == ALL

@@ -263,8 +263,6 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     names = [c for c in docs.columns if c not in {*_NEW, text, "k1", "k2", "spans"}]
     body = F.coalesce(F.col(text), F.lit(""))
     keyed = docs.select(*names, *document_keys(doc_id, text), body.alias("_text"))
-    # Texts under one id are told apart by half the hash.
-    keyed = keyed.withColumn("k2", F.col("k2").bitwiseAND(F.lit(0xFFFFFFFF)))
     spans = repeated_windows(keyed.select("k1", "k2", F.col("_text").alias("text")), hot)
     spans = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("first", "n")).alias("spans"))
     joined = keyed.join(spans, ["k1", "k2"], "left").select(*names, "_text", "spans")
