@@ -111,6 +111,15 @@ def test_pii_confirmed_by_checksum_and_context(spark):
     assert got == {0: ["iban"], 1: [], 2: ["ssn"], 3: [], 4: ["local_phone"], 5: []}
 
 
+def test_ibans_before_capital_words_and_numbers(spark):
+    ibans = ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO9386011117947", "FR14 2004 1010 0505 0001 3M02 606", "MT84MALT011000012345MTLCAST001S"]
+    texts = [f"IBAN {iban}{after}" for iban in ibans for after in ("", " BIC COBADEFFXXX", " I paid", " 42 EUR", " A", ", B", "\nTHE END")]
+    texts += [f"IBAN {iban}X" for iban in ibans] + ["IBAN DE8937040044053201300 BIC"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.pii if s.kind == "iban"] for r in pii.find(df).collect()}
+    assert got == {i: [ibans[i // 7]] if i < 35 else [] for i in range(len(texts))}
+
+
 @pytest.mark.parametrize("hot", [20_000, 2])
 def test_suffixes(spark, docs, none, hot):
     rng = random.Random(2)
