@@ -11,13 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import decontam, line_suffix, pfair, rule_ledger, shingle_jaccard
+from tickframe.llm import decontam, line_suffix, pfair, rule_ledger, simhash_ring
 from tickframe.llm.common import new_folder, packed_rest, small_batches, unpacked_rest
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: Near duplicates of the pipeline share this part of their shingles of five words.
-NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
+#: Shingle length of the near-dedup stage; its links differ in ``simhash_ring.DISTANCE`` bits at most.
+NEAR_WORDS = 3
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,9 +39,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates its first document."""
+    """Of each group of documents linked by their fingerprints its first one."""
     small_batches(spark)
-    return shingle_jaccard.first_of_groups(docs, similarity=NEAR_SIMILARITY, width=NEAR_WORDS)
+    return simhash_ring.first_of_groups(docs, width=NEAR_WORDS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,7 +64,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("mixing", mixing),
 ]
 
-#: Jaccard groups and alignments can't be said in SQL; tests/llm hold the pipeline against a brute-force version.
+#: Fingerprint groups and alignments can't be said in SQL; tests/llm hold the pipeline against a brute-force version.
 ORACLE_SQL: str | None = None
 
 
