@@ -201,3 +201,22 @@ def window_hashes(codes: np.ndarray, width: int) -> np.ndarray:
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+#: A key is heavy if it holds more than this part of the counted rows; so there are at most this many heavy keys.
+HEAVY = 10_000
+
+
+def salted_join(rows: DataFrame, keys: DataFrame, on: list[str], count: str, spread: Column, heavy: int = HEAVY) -> DataFrame:
+    """``rows`` joined with the one row that ``keys`` (a settled table) has for each of theirs.
+
+    ``count`` says how many rows a key has. Rows of heavy keys are salted by ``spread`` and the key's row is repeated, so that
+    no task gets more than a ``heavy``-th part of the rows for one key. Only the heavy keys, ``heavy`` at most, are broadcast.
+    """
+    total = keys.agg(F.sum(count)).first()[0] or 0
+    salts = F.ceil(F.col(count) / F.lit(max(1, -(-total // heavy)))).cast("int")
+    salted = keys.withColumn("_salts", salts)
+    crowded = F.broadcast(salted.where("_salts > 1").select(*on, "_salts"))
+    left = rows.join(crowded, on, "left").withColumn("_salt", F.pmod(spread, F.coalesce("_salts", F.lit(1))).cast("int")).drop("_salts")
+    right = salted.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
+    return left.join(right, [*on, "_salt"]).drop("_salt")

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import chat_hmm, decontam, importance, kneser_ney, line_suffix, pfair, phrase_dedup, pii, rule_ledger, simhash_ring
+from tickframe.llm import (
+    chat_hmm,
+    decontam,
+    fm_dedup,
+    importance,
+    kneser_ney,
+    line_suffix,
+    pfair,
+    phrase_dedup,
+    pii,
+    presence_search,
+    rule_ledger,
+    simhash_ring,
+    whitening,
+)
 from tickframe.llm.common import small_batches
 
 
@@ -109,6 +123,19 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fm_dedup.without_earlier_text(documents(spark, sf_dir).select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return presence_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 _OP9_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
@@ -198,9 +225,41 @@ FROM s
 """
 
 
+_OP12_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT doc_id, i, md5_number(array_to_string(ws[i:i + 19], ' ')) AS window_key
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 18, 1))) AS i FROM d)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY window_key ORDER BY doc_id, i) AS nth FROM g) WHERE nth > 1),
+c AS (SELECT DISTINCT doc_id, i + j AS pos FROM r, range(20) AS o(j)),
+w AS (SELECT doc_id, pos, ws[pos] AS word FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS pos FROM d)),
+k AS (SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY pos) AS kept FROM w ANTI JOIN c USING (doc_id, pos) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n_kept, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+_OP13_SQL = r"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{upper}', '{lower}'), '{term}')) AS term FROM documents),
+f AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+l AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM f GROUP BY doc_id),
+a AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM l),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight FROM f, a GROUP BY term, docs),
+q AS (SELECT item_id, term, count(*) AS times
+      FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, '{upper}', '{lower}'), '{term}')) AS term FROM benchmark) GROUP BY ALL),
+s AS (SELECT item_id, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total))))::BIGINT AS score
+      FROM q JOIN f USING (term) JOIN w USING (term) JOIN l USING (doc_id), a GROUP BY ALL)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 20
+"""
+_OP13_SQL = (
+    _OP13_SQL.replace("{upper}", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    .replace("{lower}", "abcdefghijklmnopqrstuvwxyz")
+    .replace("{term}", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+)
+
+
 def queries() -> dict:
-    return {"op1_chat": op1_chat, "op2_simhash": op2_simhash, "op3_mixing": op3_mixing, "op4_pii": op4_pii, "op5_lines": op5_lines, "op6_decontamination": op6_decontamination, "op7_suffixes": op7_suffixes, "op8_importance": op8_importance, "op9_rules": op9_rules, "op10_kneser_ney": op10_kneser_ney}
+    return {"op1_chat": op1_chat, "op2_simhash": op2_simhash, "op3_mixing": op3_mixing, "op4_pii": op4_pii, "op5_lines": op5_lines, "op6_decontamination": op6_decontamination, "op7_suffixes": op7_suffixes, "op8_importance": op8_importance, "op9_rules": op9_rules, "op10_kneser_ney": op10_kneser_ney, "op11_whitening": op11_whitening, "op12_substrings": op12_substrings, "op13_search": op13_search}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_lines": _OP5_SQL, "op7_suffixes": _OP7_SQL, "op9_rules": _OP9_SQL}
+    return {"op5_lines": _OP5_SQL, "op7_suffixes": _OP7_SQL, "op9_rules": _OP9_SQL, "op12_substrings": _OP12_SQL, "op13_search": _OP13_SQL}
