@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 
 import pandas as pd
 import pytest
@@ -261,6 +262,79 @@ def test_target_bars_keep_targets_apart(spark):
     ]
 
 
+def bars_of(rows, width_ms):
+    """OHLC, volume and count of (instant, sequence, price, size) rows by a loop."""
+    out = {}
+    for ns, seq, price, size in sorted(rows):
+        t = width_ms(ns)
+        o, h, l, _, v, n = out.get(t, (price, price, price, price, 0, 0))  # noqa: E741
+        out[t] = (o, max(h, price), min(l, price), price, v + size, n + 1)
+    return out
+
+
+def test_overlapping_targets_against_a_loop(spark):
+    """Random targets over hot instants; ranges nest, touch, repeat and leave holes."""
+    rng = random.Random(8)
+    start = at("2024-01-01T00:00:00")
+    ticks = {name: [(start + rng.choice([rng.randrange(40 * DAY), 5 * DAY + rng.randrange(3) * NS]), i, float(rng.randrange(1, 50)), rng.randrange(9)) for i in range(300)] for name in ("A", "B")}
+    df = spark.createDataFrame([(name, *r) for name, rows in ticks.items() for r in rows], "ticker string, sip_timestamp bigint, seq bigint, price double, size bigint")
+    spans = {"minute": 60, "hour": 3600, "day": 86_400}
+    jobs = []
+    for _ in range(25):
+        a = rng.randrange(36)
+        jobs.append((rng.choice("AAAB"), *rng.choice([(15, "minute"), (7, "minute"), (36, "hour"), (1, "day"), (5, "day"), (1, "week"), (1, "month")]), a, a + rng.randrange(-1, 9)))
+    jobs += jobs[:3]
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(n)
+    targets = spark.createDataFrame([(*j[:3], day(j[3]), day(j[4])) for j in jobs], "ticker string, multiplier bigint, timespan string, start_date date, end_date date")
+    got = {}
+    for r in br.target_bars(df, targets, sequence="seq").collect():
+        got.setdefault((r.ticker, r.multiplier, r.timespan, r.start_date, r.end_date), {})[r.t] = (r.o, r.h, r.l, r.c, r.v, r.n)
+    want = {}
+    for name, multiplier, span, a, b in jobs:
+        def bar(ns):
+            if span in spans:
+                width = multiplier * spans[span] * NS
+                return ns // width * width // 10**6
+            moment = dt.datetime(1970, 1, 1) + dt.timedelta(days=ns // DAY)
+            moment = moment - dt.timedelta(days=moment.weekday()) if span == "week" else moment.replace(day=1)
+            return int((moment - dt.datetime(1970, 1, 1)).total_seconds()) * 1000
+
+        rows = [r for r in ticks[name] if start + a * DAY <= r[0] < start + (b + 1) * DAY]
+        if rows:
+            want[name, multiplier, span, day(a), day(b)] = bars_of(rows, bar)
+    assert got == want
+    segments = br.target_segments(targets).orderBy("ticker", "_from").collect()
+    for one, other in zip(segments, segments[1:]):
+        assert one.ticker != other.ticker or one._until <= other._from
+
+
+def above(plan: str, mark: str) -> list[str]:
+    """Names of the operators over the one line of a physical plan that holds ``mark``, from the bottom."""
+    lines = [line for line in plan.splitlines() if re.search("[A-Z]", line)]
+    found = [i for i, line in enumerate(lines) if mark in line and "Scan" in line]
+    assert len(found) == 1
+    depth = lambda line: re.search("[A-Za-z*(]", line).start()
+    out, least = [], depth(lines[found[0]])
+    for line in reversed(lines[: found[0]]):
+        if depth(line) < least:
+            least = depth(line)
+            out.append(re.search(r"[A-Z]\w+", line).group())
+    return out
+
+
+def test_a_trade_meets_one_segment(spark):
+    """Trades are scanned once and added up, in hash aggregates, below the join with the targets."""
+    df = spark.createDataFrame([("A", at("2024-01-10T10:00:00"), 1, 1.0, 1)], "ticker string, sip_timestamp bigint, seq bigint, price double, size bigint")
+    jobs = spark.createDataFrame([("A", 1, "minute", dt.date(2024, 1, 1 + i), dt.date(2024, 1, 20 + i % 9)) for i in range(20)], "ticker string, multiplier bigint, timespan string, start_date date, end_date date")
+    cells = br._cells(df, jobs, "sip_timestamp", "price", "size", "seq")
+    assert cells.count() == 1 and cells.first().n == 1
+    made = br.target_bars(df, jobs, sequence="seq")
+    assert made.count() == 10
+    nodes = above(made._jdf.queryExecution().sparkPlan().toString(), "sip_timestamp")
+    steps = [n for n in nodes if "Join" in n or "Aggregate" in n]
+    assert "Join" in steps[0] and steps[1:3] == ["HashAggregate"] * 2 and "Join" in steps[3] and steps[4:] == ["HashAggregate"] * 2
+
+
 def test_large_money_sums_are_exact(spark):
     from tickframe.functions.money import micro_dollars, total_dollars
 

@@ -17,12 +17,17 @@ def micro_dollars(price: Column, size: Column) -> Column:
     return F.round(price * size * MICROS).cast("bigint")
 
 
-def total_dollars(micros: Column) -> Column:
-    """Aggregate: sum of ``micros`` in dollars, null for no values.
+def money_parts(micros: Column) -> tuple[Column, Column]:
+    """Aggregates: sums of the upper and lower halves of ``micros``, which neither overflow nor need decimals per row."""
+    return F.sum(F.shiftright(micros, _LOW_BITS)), F.sum(micros.bitwiseAND(F.lit(2**_LOW_BITS - 1)))
 
-    Upper and lower halves are added as two integers, so neither overflows and no row needs decimal arithmetic.
-    """
-    high = F.sum(F.shiftright(micros, _LOW_BITS)).cast("decimal(20,0)")
-    low = F.sum(micros.bitwiseAND(F.lit(2**_LOW_BITS - 1))).cast("decimal(20,0)")
-    whole = high * F.lit(2**_LOW_BITS).cast("decimal(10,0)") + low
+
+def whole_dollars(high: Column, low: Column) -> Column:
+    """Dollars of two such sums (or of sums of them), null for no values."""
+    whole = high.cast("decimal(20,0)") * F.lit(2**_LOW_BITS).cast("decimal(10,0)") + low.cast("decimal(20,0)")
     return (whole.cast("decimal(32,0)") / F.lit(MICROS).cast("decimal(7,0)")).cast("decimal(34,6)").cast("double")
+
+
+def total_dollars(micros: Column) -> Column:
+    """Aggregate: sum of ``micros`` in dollars, null for no values."""
+    return whole_dollars(*money_parts(micros))

@@ -187,6 +187,39 @@ def target_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return br.target_bars(trades, _bar_targets(trades)).withColumn("vw", F.round("vw", 6)).drop("start_date", "end_date")
 
 
+#: Twenty targets a ticker: their fidelities in turn, ranges that overlap, nest and touch, whole days from 2024-01-01 on.
+_MANY_FIDELITIES = [(15, "minute"), (2, "hour"), (1, "day"), (1, "week"), (7, "minute"), (1, "month"), (90, "minute")]
+_MANY_TARGETS = [(*_MANY_FIDELITIES[i % 7], 3 * i % 17, 2 + 5 * i % 13) for i in range(20)]
+
+
+def target_bars_overlapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of twenty overlapping targets per ticker, trades of one instant told apart by their sequence."""
+    trades = bd.trades(spark, sf_dir)
+    first = dt.date(2024, 1, 1)
+    ranges = [(m, s, first + dt.timedelta(a), first + dt.timedelta(a + n)) for m, s, a, n in _MANY_TARGETS]
+    names = ("multiplier", "timespan", "start_date", "end_date")
+    each = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(names, row))) for row in ranges))
+    targets = trades.select("ticker").distinct().withColumn("_w", F.explode(each)).select("ticker", "_w.*")
+    targets = targets.withColumn("multiplier", F.col("multiplier").cast("bigint"))
+    bars = br.target_bars(trades, targets, sequence="sequence_number").withColumn("vw", F.round("vw", 6))
+    return bars.withColumns({name: _day(name) for name in ("start_date", "end_date")})
+
+
+def _overlapping_sql() -> str:
+    parts = []
+    for multiplier, timespan, start, days in _MANY_TARGETS:
+        width = br.FIXED_SECONDS.get(timespan, 0) * multiplier * 1000
+        t = f"ns // {width * 1_000_000} * {width}" if width else f"epoch_ms(date_trunc('{timespan}', ts))"
+        a, b = (dt.date(2024, 1, 1) + dt.timedelta(n) for n in (start, start + days))
+        bar = _bars_sql(t).replace("bar AS (", "(", 1).replace("arg_min(price, ns)", "first(price ORDER BY ns, event_id)")
+        bar = bar.replace("arg_max(price, ns)", "last(price ORDER BY ns, event_id)")
+        bar = bar.replace("FROM trades", f"FROM trades WHERE ts >= TIMESTAMP '{a}' AND ts < TIMESTAMP '{b + dt.timedelta(1)}'")
+        parts.append(
+            f"SELECT CAST({multiplier} AS BIGINT) AS multiplier, '{timespan}' AS timespan, '{a}' AS start_date, '{b}' AS end_date, b.* FROM {bar} b"
+        )
+    return f"WITH {_TRADES} " + " UNION ALL ".join(parts)
+
+
 def rejected_bar_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Targets of :func:`target_bars` that give no bars, each ticker also with a double week."""
     targets = _bar_targets(bd.trades(spark, sf_dir))
@@ -335,6 +368,7 @@ def queries() -> dict:
         "bars_1d": bars_1d,
         "bars_week": bars_week,
         "target_bars": target_bars,
+        "target_bars_overlapping": target_bars_overlapping,
         "rejected_bar_targets": rejected_bar_targets,
         "target_indicators": target_indicators,
         "sma": sma,
@@ -374,6 +408,7 @@ silent AS (
         "bars_1d": f"WITH {_TRADES}, {_bars_sql(_DAY_MS)} SELECT * FROM bar",
         "bars_week": f"WITH {_TRADES}, {_bars_sql('epoch_ms(date_trunc(' + chr(39) + 'week' + chr(39) + ', ts))')} SELECT * FROM bar",
         "target_bars": _target_bars_sql(),
+        "target_bars_overlapping": _overlapping_sql(),
         "rejected_bar_targets": """SELECT DISTINCT event_type AS ticker, CAST(3 AS BIGINT) AS multiplier, 'foo' AS timespan, 'unknown span' AS reject_reason FROM events
 UNION ALL SELECT DISTINCT event_type, 2, 'week', 'multiple of a calendar span' FROM events""",
         "target_indicators": _target_indicators_sql(),
