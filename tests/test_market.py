@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickframe.operators import bars as br
-from tickframe.operators import gaps, indicators, integrity, liquidity
+from tickframe.operators import gaps, indicators, integrity, liquidity, recurrence
 
 NS = 10**9
 DAY = 86_400 * NS
@@ -227,6 +227,45 @@ def test_rsi_without_losses_and_sma_warm_up(spark):
     assert collected(indicators.sma(df, 3), "sma")["A"][:4] == [None, None, 1.0, 2.0]
 
 
+def test_recurrences_over_blocks_of_time(spark, monkeypatch):
+    """Blocks of any span, hot and null series, rows of one instant, batches that cut a block: as one loop over each series."""
+    rng = random.Random(12)
+    rows = [(rng.choice(["H", "H", "H", "T", None]), rng.randrange(9_000_000), round(rng.uniform(-5, 5), 3)) for _ in range(900)]
+    rows += [("H", 5_000_000, float(i)) for i in range(40)] + [("ONE", 1, 2.0)]
+    df = spark.createDataFrame(rows, "ticker string, t bigint, c double").repartition(6)
+    want = {}
+    for name in {r[0] for r in rows}:
+        fast = slow = signal = None
+        for _, t, c in sorted(r for r in rows if r[0] == name):
+            if fast is None:
+                fast, slow, signal = c, c, 0.0
+            else:
+                fast, slow = fast + 2 / 13 * (c - fast), slow + 2 / 27 * (c - slow)
+                signal += 0.2 * (fast - slow - signal)
+            want.setdefault((name, t, c), []).append((fast - slow, signal))
+    for block_ms in (10_000, 1_000_000, 10**12):
+        monkeypatch.setattr(recurrence, "BLOCK_MS", block_ms)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+        try:
+            got = indicators.macd(df, block_rows=11).collect()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert len(got) == len(rows)
+        for r in got:
+            assert any((r.macd, r.signal) == pytest.approx(w, abs=1e-9) for w in want[r.ticker, r.t, r.c])
+
+
+def test_averages_share_one_exchange_of_bars(spark):
+    """MACD's three averages: rows are dealt once, three Arrow steps, no window, no aggregate."""
+    rows = [("A", i, float(i)) for i in range(9)]
+    made = indicators.macd(spark.createDataFrame(rows, "ticker string, t bigint, c double"))
+    made.collect()
+    plan = made._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    dealt = [line for line in plan.splitlines() if "REPARTITION_BY_COL" in line]
+    assert plan.count("MapInArrow") == 3 and "Window" not in plan and "Aggregate" not in plan
+    assert sum("ReusedExchange" in line for line in plan.splitlines()) == 1 and len(dealt) <= 3
+
+
 def test_split_adjustment(spark):
     day = lambda d: at(f"2024-01-{d:02d}T00:00:00") // 10**6
     rows = [("A", day(d), 8.0, 8.0, 8.0, 8.0, 10.0, 8.0, 1) for d in (9, 10, 20)] + [("B", day(9), 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1)]

@@ -5,108 +5,33 @@ MACD is EMA(12) - EMA(26) with an EMA(9) signal. RSI(n) uses Wilder's smoothing:
 losses, then weight 1/n.
 
 ``keys`` name what a series is: the ticker, and the fidelity where a table holds several. No series is sorted whole.
-Bars are numbered within days and shifted by the counts of the days before. Blocks of numbered bars then do the rest:
-windows over a block take its last predecessors along as a halo, and a recurrence reduces each block to the linear map
-it applies to the value before it, chains the maps (one row per block) and finishes the blocks independently.
+Windows look back over blocks of numbered bars, which take their last predecessors along as a halo; bars are numbered
+within days and shifted by the counts of the days before. Averages with a memory of everything before are recurrences
+(:mod:`tickframe.operators.recurrence`). Bars of a series at one instant are in the order of their values.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 4096
+from tickframe.operators.recurrence import BLOCK_ROWS, Term, recurrence
+
 _BLOCK, _DAY = "_block", "_day"
 _DAY_MS = 86_400_000
 
 
-def _composed(keep: np.ndarray, add: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each row the map y -> scale * y + shift made of all rows so far, by doubling the reach."""
-    scale, shift, reach = keep.copy(), add.copy(), 1
-    while reach < len(scale):
-        shift[reach:] = scale[reach:] * shift[:-reach] + shift[reach:]
-        scale[reach:] = scale[reach:] * scale[:-reach]
-        reach *= 2
-    return scale, shift
-
-
-def _block_maps(index: str, pairs: Sequence[tuple[str, str]], keys: Sequence[str]):
-    """One row per block: the map it applies."""
-
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by(index)
-        ends = [_composed(table[k].to_numpy(), table[a].to_numpy()) for k, a in pairs]
-        columns = {name: table[name].slice(0, 1) for name in (*keys, _BLOCK)}
-        for (keep, add), (scale, shift) in zip(pairs, ends):
-            columns[keep], columns[add] = pa.array([scale[-1]]), pa.array([shift[-1]])
-        return pa.table(columns)
-
-    return run
-
-
-def _chain(pairs: Sequence[tuple[str, str]]):
-    """Value before each block of a series, from the maps of the earlier blocks."""
-
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by(_BLOCK)
-        for keep, add in pairs:
-            _, after = _composed(table[keep].to_numpy(), table[add].to_numpy())
-            before = np.concatenate(([0.0], after[:-1]))
-            table = table.set_column(table.schema.get_field_index(keep), keep, pa.array(before))
-        return table
-
-    return run
-
-
-def _finish(index: str, pairs: Sequence[tuple[str, str]]):
-    """Values of a block's rows from the value before it."""
-
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by(index)
-        for keep, add in pairs:
-            scale, shift = _composed(table[keep].to_numpy(), table[add].to_numpy())
-            value = scale * table[f"_before{keep}"].to_numpy() + shift
-            table = table.set_column(table.schema.get_field_index(keep), keep, pa.array(value))
-        return table
-
-    return run
-
-
-def linear_recurrence(
-    df: DataFrame, keys: Sequence[str], index: str, terms: dict[str, tuple[Column, Column]], block_rows: int = BLOCK_ROWS
+def numbered(
+    bars: DataFrame, keys: Sequence[str] = ("ticker",), t: str = "t", out: str = "bar_no", tie: Sequence[str] = ()
 ) -> DataFrame:
-    """Add for each name of ``terms`` the recurrence y[i] = keep[i] * y[i-1] + add[i] with y before the start 0.
-
-    ``index`` counts the rows of a series from 1. No task holds more than ``block_rows`` rows of a series, or one row
-    per block of it. Other columns travel along as Arrow columns, so nothing has to be joined back.
-    """
-    pairs = [(f"_keep_{name}", f"_add_{name}") for name in terms]
-    labels = [label for pair in pairs for label in pair]
-    rows = df.withColumn(_BLOCK, F.floor((F.col(index) - 1) / block_rows).cast("bigint")).withColumns(
-        {label: column.cast("double") for name, pair in zip(terms, pairs) for column, label in zip(terms[name], pair)}
-    )
-    narrow = rows.select(*keys, _BLOCK, index, *labels)
-    ends_schema = narrow.select(*keys, _BLOCK, *labels).schema
-    ends = narrow.groupBy(*keys, _BLOCK).applyInArrow(_block_maps(index, pairs, keys), ends_schema)
-    carried = ends.groupBy(*keys).applyInArrow(_chain(pairs), ends_schema).select(
-        *keys, _BLOCK, *[F.col(keep).alias(f"_before{keep}") for keep, _ in pairs]
-    )
-    joined = rows.join(carried, [*keys, _BLOCK])
-    done = joined.groupBy(*keys, _BLOCK).applyInArrow(_finish(index, pairs), joined.schema)
-    return done.select(*df.columns, *[F.col(keep).alias(name) for name, (keep, _) in zip(terms, pairs)])
-
-
-def numbered(bars: DataFrame, keys: Sequence[str] = ("ticker",), t: str = "t", out: str = "bar_no") -> DataFrame:
-    """Number the bars of a series in time order from 1: within days, shifted by the days before."""
+    """Number the bars of a series in time order from 1: within days, shifted by the days before; ``tie`` orders one instant."""
     dated = bars.withColumn(_DAY, F.expr(f"`{t}` div {_DAY_MS}"))
     ahead = Window.partitionBy(*keys).orderBy(_DAY).rowsBetween(Window.unboundedPreceding, -1)
     days = dated.groupBy(*keys, _DAY).agg(F.count(F.lit(1)).alias("_n"))
     days = days.select(*keys, _DAY, F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
-    own = F.row_number().over(Window.partitionBy(*keys, _DAY).orderBy(t))
+    own = F.row_number().over(Window.partitionBy(*keys, _DAY).orderBy(t, *tie))
     return (
         dated.withColumn(out, own).join(days, [*keys, _DAY]).withColumn(out, F.col("_before") + F.col(out)).select(*bars.columns, out)
     )
@@ -146,16 +71,16 @@ def sma(
         last = by.rowsBetween(-(window - 1), 0)
         return F.when(F.count(value).over(last) == window, F.avg(value).over(last))
 
-    return over_blocks(numbered(bars, keys, t), keys, window - 1, {"sma": mean}, block_rows).drop("bar_no")
+    return over_blocks(numbered(bars, keys, t, tie=[value]), keys, window - 1, {"sma": mean}, block_rows).drop("bar_no")
 
 
-def _ema_terms(value: Column, window: int) -> tuple[Column, Column]:
+def _average(window: int, value: Column | None = None, of: dict[str, float] | None = None) -> Term:
+    """Exponential average with weight 2/(window+1) of a column, or of a sum of earlier terms."""
     alpha = 2.0 / (window + 1)
-    first = F.col("bar_no") == 1
-    return (
-        F.when(first, 0.0).otherwise(1.0 - alpha),
-        F.when(first, value).otherwise(value * alpha),
-    )
+    if value is None:
+        return Term(1.0 - alpha, 0.0, 0.0, {name: alpha * factor for name, factor in of.items()})
+    # Started from its own first value, the average is that value there.
+    return Term(1.0 - alpha, value * alpha, value)
 
 
 def ema(
@@ -168,9 +93,7 @@ def ema(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Exponential average with weight 2/(window+1), seeded with the first close."""
-    keys = _keys(ticker)
-    rows = numbered(bars, keys, t)
-    return linear_recurrence(rows, keys, "bar_no", {out: _ema_terms(F.col(value), window)}, block_rows).drop("bar_no")
+    return recurrence(bars, _keys(ticker), t, {out: _average(window, F.col(value))}, [value], block_rows)
 
 
 def macd(
@@ -183,17 +106,15 @@ def macd(
     value: str = "c",
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """MACD line, its signal and their difference."""
-    keys = _keys(ticker)
-    rows = numbered(bars, keys, t)
+    """MACD line, its signal and their difference; the line starts at 0, and so does its average."""
     averages = {
-        "_short": _ema_terms(F.col(value), short_window),
-        "_long": _ema_terms(F.col(value), long_window),
+        "_short": _average(short_window, F.col(value)),
+        "_long": _average(long_window, F.col(value)),
+        "signal": _average(signal_window, of={"_short": 1.0, "_long": -1.0}),
     }
-    lines = linear_recurrence(rows, keys, "bar_no", averages, block_rows)
-    lines = lines.withColumn("macd", F.col("_short") - F.col("_long")).drop("_short", "_long")
-    signal = linear_recurrence(lines, keys, "bar_no", {"signal": _ema_terms(F.col("macd"), signal_window)}, block_rows)
-    return signal.withColumn("histogram", F.col("macd") - F.col("signal")).drop("bar_no")
+    made = recurrence(bars, _keys(ticker), t, averages, [value], block_rows)
+    line = F.col("_short") - F.col("_long")
+    return made.select(*bars.columns, line.alias("macd"), "signal", (line - F.col("signal")).alias("histogram"))
 
 
 def rsi(
@@ -207,14 +128,14 @@ def rsi(
     """Wilder's relative strength, null until ``window`` changes are known; 100 when there was no loss."""
     keys = _keys(ticker)
     change = {"_change": lambda by: F.col(value) - F.lag(value).over(by)}
-    rows = over_blocks(numbered(bars, keys, t), keys, 1, change, block_rows)
+    rows = over_blocks(numbered(bars, keys, t, tie=[value]), keys, 1, change, block_rows)
     # The k-th change has weight 1/k up to the window, which makes the running value their plain mean.
     weight = F.lit(1.0) / F.least(F.greatest(F.col("bar_no") - 1, F.lit(1)), F.lit(window))
     keep = F.when(F.col("bar_no") <= 2, 0.0).otherwise(1.0 - weight)
     gain = F.coalesce(F.greatest("_change", F.lit(0.0)), F.lit(0.0))
     loss = F.coalesce(F.greatest(-F.col("_change"), F.lit(0.0)), F.lit(0.0))
-    averages = linear_recurrence(
-        rows, keys, "bar_no", {"_gain": (keep, gain * weight), "_loss": (keep, loss * weight)}, block_rows
+    averages = recurrence(
+        rows, keys, t, {"_gain": Term(keep, gain * weight, 0.0), "_loss": Term(keep, loss * weight, 0.0)}, ["bar_no"], block_rows
     )
     strength = F.when(F.col("_loss") == 0, 100.0).otherwise(
         100.0 - 100.0 / (1.0 + F.col("_gain") / F.nullif(F.col("_loss"), F.lit(0.0)))
