@@ -32,11 +32,11 @@ def skewed(spark):
     return spark.createDataFrame(frame, SCHEMA).cache()
 
 
-@pytest.mark.parametrize("bucket_seconds", [1, 60, 7200])
-def test_gaps_equal_a_plain_window(skewed, bucket_seconds):
-    day = F.col("sip_timestamp") - F.pmod("sip_timestamp", F.lit(DAY))
+@pytest.mark.parametrize("span", [60 * NS, DAY, 400 * DAY])
+def test_gaps_equal_a_plain_window(skewed, span):
+    day = F.col("sip_timestamp") - F.pmod("sip_timestamp", F.lit(span))
     rows = skewed.withColumn("day", day)
-    counted = gaps.gap_counts(rows, ["ticker", "day"], "sip_timestamp", {"size": F.col("size")}, bucket_seconds)
+    counted = gaps.gap_counts(rows, ["ticker", "day"], "sip_timestamp", {"size": F.col("size")})
     got = counted.groupBy("ticker", "day", "gap_sec").agg(F.sum("n").alias("n"))
     w = Window.partitionBy("ticker", "day").orderBy("sip_timestamp")
     step = F.call_function("div", F.col("sip_timestamp") - F.lag("sip_timestamp").over(w), F.lit(NS).cast("bigint"))
@@ -111,6 +111,14 @@ def test_lookback_boundary(spark):
     assert liquidity.within_lookback(trades, dt.date(2024, 1, 31)).count() == 1
 
 
+def test_trades_are_exchanged_once(skewed):
+    """Combined by second, then only the summaries of seconds move; the days need no exchange of their own."""
+    plan = liquidity.daily_liquidity(skewed)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange " in line]
+    assert len(exchanges) == 2 and gaps.SECOND not in exchanges[0] and gaps.SECOND in exchanges[1]
+    assert plan.count("Window ") == 1 and "SortAggregate" not in plan
+
+
 def test_lookback_reaches_the_parquet_scan(spark, tmp_path):
     rows = [(t, at("2024-01-30T10:00:00") + i, 1.0, 1, "x") for t in ("A", "B") for i in range(3)]
     path = str(tmp_path / "trades")
@@ -155,6 +163,31 @@ def test_integrity_with_calendar(spark):
     assert (row.status, row.days_zero_rth_volume, row.total_trading_days_rth) == ("Anomalies Detected", 1, 2)
 
 
+def test_sessions_against_a_loop(spark):
+    """Sessions before, between and beyond the trades of a ticker, over words of days, before 1970 too."""
+    rng = random.Random(4)
+    first = dt.date(1969, 6, 1)
+    sessions = sorted(rng.sample([first + dt.timedelta(d) for d in range(900)], 300))
+    calendar = spark.createDataFrame([(d,) for d in sessions * 2] + [(None,)], "date date")
+    rows, days = [], {}
+    for name in ("A", "B", "C", "D"):
+        days[name] = sorted(rng.sample(range(-100, 1100), rng.choice([1, 5, 40])))
+        rows += [(name, at(f"{first + dt.timedelta(d)}T16:00:00"), 1.0, 1) for d in days[name]]
+    got = {r.ticker: r.days_zero_rth_volume for r in integrity.integrity_summary(spark.createDataFrame(rows, SCHEMA), calendar=calendar).collect()}
+    for name, own in days.items():
+        traded = {first + dt.timedelta(d) for d in own}
+        assert got[name] == sum(min(traded) <= s <= max(traded) and s not in traded for s in sessions)
+    none = integrity.integrity_summary(spark.createDataFrame(rows, SCHEMA), calendar=calendar.limit(0)).collect()
+    assert {r.days_zero_rth_volume for r in none} == {0}
+
+
+def test_sessions_need_one_scan(spark):
+    df = integrity_rows(spark, "2024-01-08T15:00:00", "2024-01-10T15:00:00")
+    calendar = spark.sql("SELECT explode(sequence(date'2024-01-05', date'2024-01-12')) AS date")
+    plan = integrity.integrity_summary(df, calendar=calendar)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 1 and plan.count("Window ") == 1 and "Join" not in plan
+
+
 def test_bars_and_ties(spark):
     t = at("2024-01-10T15:00:00")
     df = spark.createDataFrame(

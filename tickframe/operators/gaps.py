@@ -1,8 +1,9 @@
 """Consecutive-row operators that stay spread out when one group is very large.
 
-A plain ``lag`` over (ticker, day) sorts the whole group in one task. Here each group is cut into time buckets:
-the lag runs inside a bucket, and the one row per bucket that has no predecessor there takes the end of the
-previous bucket, found among bucket summaries.
+A plain ``lag`` over (ticker, day) sorts the whole group in one task. Gaps in whole seconds don't need that: between rows of
+one second they are 0, so a second is told by its count and its ends, which combine before the shuffle, and only the
+summaries of seconds are put in order. Other values are lagged inside buckets, and the one row per bucket that has no
+predecessor there takes the end of the previous bucket, found among bucket summaries.
 """
 
 from __future__ import annotations
@@ -14,67 +15,38 @@ from pyspark.sql import functions as F
 
 from tickframe.functions.instants import NS_PER_SECOND, floor_div
 
-BUCKET = "_bucket"
-DEFAULT_BUCKET_SECONDS = 10
+SECOND = "_second"
 
 
-def gap_counts(
-    df: DataFrame,
-    keys: Sequence[str],
-    ts: str,
-    sums: Mapping[str, Column] | None = None,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    combine_copies: bool = True,
-) -> DataFrame:
+def gap_counts(df: DataFrame, keys: Sequence[str], ts: str, sums: Mapping[str, Column] | None = None) -> DataFrame:
     """Gaps to the previous row of the same ``keys``, in whole seconds, as counted values.
 
-    ``ts`` is a bigint of nanoseconds. One row per (keys, bucket, gap) with ``gap_sec`` (null for the first row
-    of a group), ``n`` rows, ``first_ts``, ``last_ts`` and every column of ``sums`` added up. A day has at most
-    some 170,000 such rows however many trades it holds, so later per-day steps are bounded.
-
-    Rows of one instant cannot be told apart by time, so copies are counted before the first shuffle.
-    ``combine_copies=False`` saves that shuffle where instants are known to repeat rarely; the result is the same.
+    ``ts`` is a bigint of nanoseconds; rows without it are left out. One or two rows per (keys, second) with ``gap_sec`` (null
+    for the first row of a group), ``n`` rows, ``first_ts``, ``last_ts`` and every column of ``sums`` added up. Rows are
+    exchanged once, combined by second; copies of an instant and crowded seconds cost one row per task. A day of a
+    key has at most 86,400 summaries, which meet in one task, so ``keys`` should name the day.
     """
     sums = dict(sums or {})
     second = F.lit(NS_PER_SECOND).cast("bigint")
-    rows = df.filter(F.col(ts).isNotNull()).select(
-        *keys,
-        F.col(ts),
-        floor_div(F.col(ts), bucket_seconds * NS_PER_SECOND).alias(BUCKET),
-        *[value.alias(name) for name, value in sums.items()],
-    )
-    if combine_copies:
-        rows = rows.groupBy(*keys, BUCKET, ts).agg(
-            F.count(F.lit(1)).alias("_copies"), *[F.sum(name).alias(name) for name in sums]
-        )
-    else:
-        rows = rows.withColumn("_copies", F.lit(1).cast("bigint"))
-    inner = Window.partitionBy(*keys, BUCKET).orderBy(ts)
-    counted = (
-        rows.withColumn("_gap", F.call_function("div", F.col(ts) - F.lag(ts).over(inner), second))
-        .groupBy(*keys, BUCKET, "_gap")
+    seconds = (
+        df.filter(F.col(ts).isNotNull())
+        .select(*keys, F.col(ts), floor_div(F.col(ts), NS_PER_SECOND).alias(SECOND), *[value.alias(name) for name, value in sums.items()])
+        .groupBy(*keys, SECOND)
         .agg(
-            F.count(F.lit(1)).alias("_instants"),
-            F.sum("_copies").alias("_rows"),
+            F.count(F.lit(1)).alias("_rows"),
             F.min(ts).alias("first_ts"),
             F.max(ts).alias("last_ts"),
             *[F.sum(name).alias(name) for name in sums],
         )
     )
-    outer = Window.partitionBy(*keys).orderBy(BUCKET).rangeBetween(Window.unboundedPreceding, -1)
-    bridge = F.call_function("div", F.col("first_ts") - F.max("last_ts").over(outer), second)
+    before = F.lag("last_ts").over(Window.partitionBy(*keys).orderBy(SECOND))
     carried = ["first_ts", "last_ts", *sums]
-    counted = counted.withColumn("_bridge", bridge).select(
-        *keys,
-        BUCKET,
-        F.struct(F.coalesce("_gap", "_bridge").alias("gap_sec"), F.col("_instants").alias("n"), *carried).alias("_step"),
-        (F.col("_rows") - F.col("_instants")).alias("_repeats"),
-    )
-    # Every further row of an instant follows the one before it after 0 seconds.
+    step = F.struct(F.call_function("div", F.col("first_ts") - before, second).alias("gap_sec"), F.lit(1).cast("bigint").alias("n"), *carried)
     nothing = [F.lit(None).alias(name) for name in carried]
-    repeat = F.struct(F.lit(0).cast("bigint").alias("gap_sec"), F.col("_repeats").alias("n"), *nothing)
-    both = F.when(F.col("_repeats") > 0, F.array("_step", repeat)).otherwise(F.array("_step"))
-    return counted.select(*keys, BUCKET, F.explode(both).alias("_step")).select(*keys, BUCKET, "_step.*")
+    # Every further row of a second follows the one before it after 0 seconds.
+    inside = F.struct(F.lit(0).cast("bigint").alias("gap_sec"), (F.col("_rows") - 1).alias("n"), *nothing)
+    both = F.when(F.col("_rows") > 1, F.array(step, inside)).otherwise(F.array(step))
+    return seconds.select(*keys, SECOND, both.alias("_both")).select(*keys, SECOND, F.explode("_both").alias("_step")).select(*keys, SECOND, "_step.*")
 
 
 def lag_over_buckets(

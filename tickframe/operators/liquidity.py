@@ -12,7 +12,7 @@ from tickframe import fixed
 from tickframe.functions.conform import numeric_or
 from tickframe.functions.instants import lookback_cutoff_ns, utc_date
 from tickframe.functions.money import micro_dollars, total_dollars
-from tickframe.operators.gaps import DEFAULT_BUCKET_SECONDS, gap_counts
+from tickframe.operators.gaps import gap_counts
 
 
 def within_lookback(
@@ -28,23 +28,14 @@ def daily_liquidity(
     ts: str = "sip_timestamp",
     price: str = "price",
     size: str = "size",
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    combine_copies: bool = True,
 ) -> DataFrame:
     """Trades, dollar volume and median gap in seconds per (ticker, UTC day).
 
     Money is added in integers, so a recomputed task cannot change the last digit. The median is exact: it runs
-    over counted gap values, of which a day has a bounded number. ``combine_copies`` is that of :func:`gap_counts`.
+    over counted gap values, of which a day has a bounded number. Trades are exchanged once, combined by second.
     """
     rows = trades.select(F.col(ticker).alias("ticker"), ts, utc_date(F.col(ts)).alias("date"), price, size)
-    counts = gap_counts(
-        rows,
-        ["ticker", "date"],
-        ts,
-        {"micros": micro_dollars(F.col(price), F.col(size))},
-        bucket_seconds,
-        combine_copies,
-    )
+    counts = gap_counts(rows, ["ticker", "date"], ts, {"micros": micro_dollars(F.col(price), F.col(size))})
     return counts.groupBy("ticker", "date").agg(
         F.sum("n").alias("daily_trades"),
         F.coalesce(total_dollars(F.col("micros")), F.lit(0.0)).alias("daily_dollar_volume"),
