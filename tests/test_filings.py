@@ -126,6 +126,31 @@ def test_segments_of_a_current_report(spark):
     assert sorted(r.section_code for r in filings.texts_from_segments(found).collect()) == ["1-01", "1A"]
 
 
+def test_quarterly_parts_keep_all_text(spark):
+    """No heading at all, none in one part, none of Part II, another form: every text comes back."""
+    rows = [
+        (1, "10-Q", f"PART I\nno items {LONG}\nPART II\nnone here {LONG}\n\nSIGNATURES\n\nsigned"),
+        (2, "10-Q", f"PART I\nITEM 1. own {LONG}\nPART II\nonly prose {LONG}"),
+        (3, "10-Q", f"PART I\nprose first {LONG}\nPART II\nITEM 1A. risks {LONG}"),
+        (4, "10-Q", f"ITEM 1. all {LONG}\nITEM 2. of it {LONG}\nITEM 3. here {LONG}"),
+        (5, "S-1", f"PART I\nother {LONG}\nPART II\nform"),
+        (6, "10-Q", None),
+    ]
+    df = spark.createDataFrame(rows, "id int, form_type string, text string")
+    got = sorted((r.id, r.part or 0, r.section, r.text) for r in segment.segment_by_parts(df).collect())
+    assert got == [
+        (1, 0, "Full_Document_Text", f"PART I no items {LONG} PART II none here {LONG}"),
+        (2, 1, "Item_1", f"own {LONG}"),
+        (2, 2, "Full_Document_Text", f"PART II only prose {LONG}"),
+        (3, 1, "Full_Document_Text", f"PART I prose first {LONG}"),
+        (3, 2, "Item_1A", f"risks {LONG}"),
+        (4, 1, "Item_1", f"all {LONG}"),
+        (4, 1, "Item_2", f"of it {LONG}"),
+        (4, 1, "Item_3", f"here {LONG}"),
+        (5, 0, "Full_Document_Text", f"PART I other {LONG} PART II form"),
+    ]
+
+
 META = "accessionNo string, ticker string, filedAt string, name string"
 
 

@@ -146,6 +146,14 @@ def section_records(wanted: DataFrame, texts: DataFrame) -> DataFrame:
     return conform(wanted.join(kept, ["accession_number", "ticker", "section_code"]), FILING_SECTIONS)
 
 
+def whole_records(base: DataFrame, segments: DataFrame) -> DataFrame:
+    """Records of filings, or of parts of quarterly ones (``P1_``, ``P2_``), that the segmenter left in one piece."""
+    part = F.concat(F.lit("P"), F.col("part"), F.lit("_")) if "part" in segments.columns else F.lit(None).cast("string")
+    name = F.concat(F.coalesce(part, F.lit("")), F.col("section")).alias("section_id")
+    whole = segments.filter(F.col("section") == fixed.FULL_DOCUMENT).select("accession_number", "ticker", name, "text")
+    return conform(base.join(whole, ["accession_number", "ticker"]), FILING_SECTIONS)
+
+
 def storable(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(records with a filing year, the rest)."""
     year = F.when(F.length("filing_timestamp_utc") >= 4, F.substring("filing_timestamp_utc", 1, 4))

@@ -87,7 +87,8 @@ def with_parts(filings: DataFrame, text: str = "text", form: str = "form_type")
     """Quarterly reports in their two parts, one row each with ``part`` (1, 2); other filings one row, ``part`` null.
 
     Part II starts at its first heading after the start of the body; item numbers begin anew there. A report
-    without that heading is all Part I. A part without an item heading gives no row of its own.
+    without that heading is all Part I. A report without any item heading stays one row with ``part`` null, since there
+    is nothing to tell its parts' items apart by; if only one part has none, that part stays a row too.
     """
     quarterly = F.coalesce(form_family(F.col(form)) == "10-Q", F.lit(False))
     body = with_body(filings, text, form, "_body")
@@ -96,9 +97,20 @@ def with_parts(filings: DataFrame, text: str = "text", form: str = "form_type")
     second = F.struct(F.lit(2).alias("part"), F.replace(F.get(halves, F.lit(1)), F.lit(_MARK), F.lit("")).alias("text"))
     whole = F.struct(F.lit(None).cast("int").alias("part"), F.col(text).alias("text"))
     split = F.when(quarterly, F.filter(F.array(first, second), lambda p: p["text"].isNotNull())).otherwise(F.array(whole))
-    rows = body.withColumn("_part", F.explode(split)).withColumn(text, F.col("_part.text")).withColumn("part", F.col("_part.part"))
-    headed = F.col("part").isNull() | F.col(text).rlike(ANNUAL_HEADING)
-    return rows.filter(headed).drop("_part", "_body")
+    # Told here, while the text is at hand, so that no row is read again.
+    kept = F.when(F.exists("_split", lambda p: p["part"].isNull() | p["text"].rlike(ANNUAL_HEADING)), F.col("_split")).otherwise(F.array(whole))
+    rows = body.withColumn("_split", split).withColumn("_part", F.explode(kept))
+    return rows.withColumn(text, F.col("_part.text")).withColumn("part", F.col("_part.part")).drop("_part", "_split", "_body")
+
+
+def segment_by_parts(filings: DataFrame, text: str = "text", form: str = "form_type") -> DataFrame:
+    """:func:`segment_filings` with quarterly reports cut in their parts first, and ``part``; no text is lost.
+
+    Reports and parts without item headings give their whole text as one section.
+    """
+    parts = with_parts(filings, text, form)
+    inside = segment_filings(parts.filter("part IS NOT NULL"), text, form, minimum=1)
+    return inside.unionByName(segment_filings(parts.filter("part IS NULL"), text, form))
 
 
 def segment_filings(

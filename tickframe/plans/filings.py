@@ -149,14 +149,35 @@ def segmented_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _parted(spark, sf_dir).join(
         bd.filings(spark, sf_dir, "doc_id").select("doc_id", F.col("accessionNo").alias("accession_number"), "ticker"), "doc_id"
     )
-    parts = seg.with_parts(documents)
-    quarterly = seg.segment_filings(parts.filter("part IS NOT NULL"), minimum=1)
-    texts = fil.texts_from_segments(quarterly.unionByName(seg.segment_filings(parts.filter("part IS NULL"))))
+    texts = fil.texts_from_segments(seg.segment_by_parts(documents))
     once = fil.dedupe_filings(bd.filings(spark, sf_dir), ["linkToTxt"])
     found = fil.section_records(fil.filing_sections(fil.base_records(once, _now())), texts)
     return found.select("accession_number", "section_id", "text")
 
 
+def _partly_headed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of :func:`_parted`; of its quarterly ones every fourth has no headings, and every fourth none in Part II."""
+    lines = F.split("text", "\n")
+    items = F.array_join(F.transform(lines, lambda line, i: F.concat(F.lit("Item "), i % 4 + 1, F.lit(". "), line)), "\n")
+    notes = F.array_join(F.transform(lines, lambda line: F.concat(F.lit("Note. "), line)), "\n")
+    first = F.when(F.col("doc_id") % 12 == 1, notes).otherwise(items)
+    text = F.concat(F.lit("PART I\n"), first, F.lit("\nPART II\n"), notes, F.lit("\n\nSIGNATURES\n\nSigned."))
+    odd = F.col("doc_id") % 6 == 1
+    docs = bd.texts(spark, sf_dir, "documents", "doc_id", "text").filter(odd)
+    return _parted(spark, sf_dir).filter(~odd).unionByName(docs.select("doc_id", F.expr(bd.FORM).alias("form_type"), text.alias("text")))
+
+
+def segmented_wholes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Section records with, as records of their own, the texts of filings and parts that have no or too few headings."""
+    documents = _partly_headed(spark, sf_dir).join(
+        bd.filings(spark, sf_dir, "doc_id").select("doc_id", F.col("accessionNo").alias("accession_number"), "ticker"), "doc_id"
+    )
+    segments = seg.segment_by_parts(documents)
+    base = fil.base_records(fil.dedupe_filings(bd.filings(spark, sf_dir), ["linkToTxt"]), _now())
+    found = fil.section_records(fil.filing_sections(base), fil.texts_from_segments(segments))
+    return found.unionByName(fil.whole_records(base, segments)).select("accession_number", "section_id", "text")
+
+
 def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records that can be stored per year, and the number that cannot; every seventh filing has no readable time."""
     found = bd.filings(spark, sf_dir, "doc_id")
@@ -274,7 +295,7 @@ def html_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     names = (
         filing_flags, filings_in_scope, filed_at_utc, sic_lookup, base_records, filing_sections, dedupe_filings,
-        attached_targets, missing_filings, section_records, segmented_records, ingest_counts, normalize_ws, deep_clean, html_text,
+        attached_targets, missing_filings, section_records, segmented_records, segmented_wholes, ingest_counts, normalize_ws, deep_clean, html_text,
         html_readable, doc_start, segment_filing, segment_fallback, consolidated_doc, merged_doc, formatted_doc,
         html_doc,
     )
@@ -459,6 +480,18 @@ FROM c WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.ticker = c.ticker AND s.
 FROM (SELECT doc_id, i, {_KEPT_TEXT.format("line")} AS cleaned, unnest([concat('part1item', i % 4 + 1), CASE i % 2 WHEN 0 THEN 'part2item1' ELSE 'part2item1a' END]) AS code
   FROM h WHERE family = '10-Q') q JOIN wanted w ON w.doc_id = q.doc_id AND w.section_code = q.code
 WHERE length(cleaned) > 50 GROUP BY accession_number, section_id""",
+        "segmented_wholes": f"""{_segment_sql()}, {_WANTED},
+u AS (SELECT doc_id, {_KEPT_TEXT.format("concat('PART I ', string_agg(concat('Note. ', line), ' ' ORDER BY i), ' PART II ', string_agg(concat('Note. ', line), ' ' ORDER BY i))")} AS whole_text,
+  {_KEPT_TEXT.format("concat('PART II ', string_agg(concat('Note. ', line), ' ' ORDER BY i))")} AS second FROM h GROUP BY doc_id)
+SELECT accession_number, section_id, s.text FROM wanted w JOIN s ON s.doc_id = w.doc_id
+  AND s.section = concat('Item_', replace(w.section_code, '-', '.')) WHERE w.family <> '10-Q'
+UNION ALL SELECT accession_number, section_id, string_agg(cleaned, concat(chr(10), chr(10), '[SECTION CONTINUED]', chr(10), chr(10)) ORDER BY i) AS text
+FROM (SELECT doc_id, i, {_KEPT_TEXT.format("line")} AS cleaned, unnest([concat('part1item', i % 4 + 1), CASE i % 2 WHEN 0 THEN 'part2item1' ELSE 'part2item1a' END]) AS code
+  FROM h WHERE family = '10-Q') q JOIN wanted w ON w.doc_id = q.doc_id AND w.section_code = q.code
+WHERE length(cleaned) > 50 AND q.doc_id % 12 <> 1 AND (q.doc_id % 12 <> 7 OR code LIKE 'part1%') GROUP BY accession_number, section_id
+UNION ALL SELECT accession_number, section, w.text FROM w JOIN f USING (doc_id) WHERE coalesce(family, '') <> '10-Q'
+UNION ALL SELECT accession_number, 'Full_Document_Text', whole_text FROM u JOIN f USING (doc_id) WHERE doc_id % 12 = 1
+UNION ALL SELECT accession_number, 'P2_Full_Document_Text', second FROM u JOIN f USING (doc_id) WHERE doc_id % 12 = 7""",
         "ingest_counts": f"""SELECT CASE WHEN doc_id % 7 > 0 THEN strftime({FILED_UTC}, '%Y') ELSE 'none' END AS year, CAST(count(*) AS BIGINT) AS n
 FROM documents WHERE {_URL} IS NOT NULL GROUP BY 1""",
         "normalize_ws": f"""SELECT doc_id, {_KEPT_TEXT.format(f"regexp_replace({ws}, '(\\n\\s*)(\\n\\s*)(\\n\\s*)+', concat(chr(10), chr(10)), 'g')")} AS text
