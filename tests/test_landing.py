@@ -204,3 +204,50 @@ def test_a_job_whose_reload_is_empty_leaves_nothing(spark, tmp_path):
     again = spark.createDataFrame([("A", 1, 11)], "ticker string, month int, v int")
     tables.replace_job(again, df.filter("ticker = 'A'"), path, ["ticker", "month"])
     assert sorted(r.v for r in spark.read.parquet(path).collect()) == [11, 30]
+
+
+def test_late_rows_are_kept_apart_across_restarts(spark, tmp_path):
+    """Repeats within a batch, across batches and across a restart; late rows and rows without a time are marked."""
+    second = 1_000_000_000
+    row = lambda i, at: {"id": i, "sip_timestamp": None if at is None else at * second}
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+
+    def run():
+        marked = ingest.marked_late(stream_rows(spark, tmp_path), ["id"], "10 seconds", groups=3)
+        ingest.append_parquet(marked, out, state, ["late"]).awaitTermination()
+
+    land(tmp_path / "pages", "1.json", {"results": [row("a", 100), row("a", 100), row("b", 95)]}, {"results": [row("c", 120), row("n", None)]})
+    run()
+    land(tmp_path / "pages", "2.json", {"results": [row("c", 120), row("d", 110), row("e", 109), row("b", 95), row("f", 300), row("f", 300)]})
+    run()
+    run()
+    land(tmp_path / "pages", "3.json", {"results": [row("f", 300), row("g", 289), row("g", 290)]})
+    run()
+    stored = sorted((r.id, r.sip_timestamp and r.sip_timestamp // second, r.late) for r in spark.read.parquet(out).withColumn("late", F.col("late").cast("boolean")).collect())
+    assert stored == [
+        ("a", 100, False), ("b", 95, False), ("b", 95, True), ("c", 120, False), ("d", 110, False), ("e", 109, True),
+        ("f", 300, False), ("g", 289, True), ("g", 290, False), ("n", None, True),
+    ]
+
+
+def test_keyed_answers_by_stream(spark, tmp_path):
+    """The key is in the folder only; broken answers go to the error table; a batch that is run again replaces itself."""
+    answers = tmp_path / "answers"
+    land(answers / "ticker=A", "1.json", {"results": [TRADE]}, "{broken", {"status": "no rows"}, "")
+    land(answers / "ticker=B", "1.json", {"results": [{"id": "2"}, None]})
+    places = [str(tmp_path / name) for name in ("rows", "errors", "state")]
+    logged = F.lit("2024-01-01 00:00:00").cast("timestamp")
+
+    def run():
+        ingest.ingest_answers(ingest.answer_stream(spark, str(answers), "ticker string"), schemas.TRADES, ["ticker"], *places, logged).awaitTermination()
+
+    run()
+    land(answers / "ticker=C", "9.json", "[1]", {"results": [{"id": "3"}]})
+    run()
+    run()
+    rows = spark.read.parquet(places[0])
+    assert sorted((r.ticker, r.id, r.batch) for r in rows.collect()) == [("A", "1", 0), ("B", "2", 0), ("C", "3", 1)]
+    errors = sorted((r.ticker, r.reason, r.log_timestamp_utc) for r in spark.read.parquet(places[1]).collect())
+    assert [e[:2] for e in errors] == [("A", 'unreadable answer: {"status": "no rows"}'), ("A", "unreadable answer: {broken"), ("C", "unreadable answer: [1]")]
+    tables.write_batch(spark.createDataFrame([("C", "3")], "ticker string, id string"), places[0], 1)
+    assert spark.read.parquet(places[0]).filter("batch = 1").count() == 1

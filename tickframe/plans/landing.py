@@ -81,6 +81,62 @@ def page_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("ticker", "id", "sip_timestamp", seen, "price", "size", "exchange")
 
 
+#: The first run of the resumed stream ends here; rows may be three days late.
+_STOP, _DELAY_DAYS = dt.datetime(2024, 1, 20), 3
+
+
+def _land_trades(trades: DataFrame, path: str) -> None:
+    """Each trade as a page of its own."""
+    trades.select(F.array(F.struct(*_TRADE_FIELDS)).alias("results")).write.mode("append").json(path)
+
+
+def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that stops, while more pages land, and resumes: rows once, and the late ones apart.
+
+    The first run sees nine tenths of the trades before a day. The second gets all since, the tenth that was held back (in
+    part too late by then), repeats from within the delay, and repeats from long before, which count as late.
+    """
+    root = new_scratch(spark, "resume")
+    trades = bd.trades(spark, sf_dir)
+    at, held = F.timestamp_micros(F.call_function("div", F.col("sip_timestamp"), F.lit(1000))), F.col("sequence_number") % 10 == 7
+    stop, day = F.lit(_STOP.isoformat(" ")).cast("timestamp"), F.expr("INTERVAL 1 DAY")
+    early = at < stop
+
+    def run() -> None:
+        rows = ingest.with_event_time(ingest.page_stream(spark, f"{root}/pages", extra="ticker string"))
+        marked = ingest.marked_late(rows, ["id", "sip_timestamp"], f"{_DELAY_DAYS} days", groups=8)
+        ingest.append_parquet(marked, f"{root}/trades", f"{root}/checkpoint", ["late"]).awaitTermination()
+
+    _land_trades(trades.filter(early & ~held), f"{root}/pages")
+    run()
+    recent = ~held & early & (at >= stop - 2 * day) & (F.col("sequence_number") % 5 == 0)
+    ancient = ~held & (at < stop - 6 * day) & (F.col("sequence_number") % 11 == 3)
+    _land_trades(trades.filter(~early | held | recent | ancient), f"{root}/pages")
+    run()
+    stored = spark.read.parquet(f"{root}/trades")
+    return stored.select(F.when(F.col("late").cast("boolean"), "late").otherwise("kept").alias("kind"), "ticker", "id", "sip_timestamp", "price")
+
+
+def page_stream_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers under the folder of their ticker, every tenth cut short, streamed in two runs: rows and, by ticker, the errors."""
+    root = new_scratch(spark, "keyed")
+    trades = bd.trades(spark, sf_dir)
+    answer = F.to_json(F.struct(F.array(F.struct(*_TRADE_FIELDS[1:])).alias("results"), F.lit("OK").alias("status")))
+    line = F.when(F.col("sequence_number") % 10 == 0, F.left(answer, F.lit(40))).otherwise(answer)
+    for odd in (0, 1):
+        landed_now = trades.filter(F.col("sequence_number") % 2 == odd).select("ticker", line.alias("value"))
+        tables.spread_by(landed_now, ["ticker"]).write.mode("append").partitionBy("ticker").text(f"{root}/answers")
+        lines = ingest.answer_stream(spark, f"{root}/answers", "ticker string")
+        ingest.ingest_answers(
+            lines, schemas.TRADES, ["ticker"], f"{root}/rows", f"{root}/errors", f"{root}/checkpoint", F.lit("2024-01-31 00:00:00").cast("timestamp")
+        ).awaitTermination()
+    rows = spark.read.parquet(f"{root}/rows").select(F.lit("row").alias("kind"), "ticker", "id", "sip_timestamp", "price")
+    errors = spark.read.parquet(f"{root}/errors").groupBy("ticker").agg(F.count(F.lit(1)).alias("sip_timestamp"))
+    return rows.unionByName(
+        errors.select(F.lit("errors").alias("kind"), "ticker", F.lit(None).cast("string").alias("id"), "sip_timestamp", F.lit(None).cast("double").alias("price"))
+    )
+
+
 def debug_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first thousand trades of the first batch, as the one-time sample keeps them."""
     root = new_scratch(spark, "debug")
@@ -269,7 +325,7 @@ def catalogue_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     names = (
-        api_pages, indicator_pages, tolerant_jsonl, page_stream_ingest, debug_sample, append_by_year, replace_partitions,
+        api_pages, indicator_pages, tolerant_jsonl, page_stream_ingest, stream_resume, page_stream_keyed, debug_sample, append_by_year, replace_partitions,
         csv_roundtrip, dataset_roundtrip, macro_both, report_runs, error_log, stored_documents, stored_formatted, stored_merged,
         overview_pages, cik_pages, latest_list_mixed, targets_extra_columns, catalogue_scan,
     )
@@ -291,6 +347,13 @@ def oracle_sql() -> dict[str, str]:
         "indicator_pages": f"WITH {_TRADES} SELECT t AS timestamp, c AS value FROM (SELECT ticker, CAST({daily} AS BIGINT) AS t, arg_max(price, ns) AS c FROM trades GROUP BY 1, 2)",
         "tolerant_jsonl": f"SELECT CASE WHEN c_custkey % 10 = 0 THEN 'warning' ELSE 'record' END AS kind, CASE WHEN c_custkey % 10 = 0 THEN left({line}, 20) ELSE concat(c_name, '/', c_mktsegment) END AS content FROM customer",
         "page_stream_ingest": f"WITH {_TRADES} SELECT ticker, CAST(event_id AS VARCHAR) AS id, ns AS sip_timestamp, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS timestamp, price, size, CAST(NULL AS BIGINT) AS exchange FROM trades",
+        "stream_resume": f"""WITH {_TRADES}, s AS (SELECT *, ts < TIMESTAMP '{_STOP}' AS early, event_id % 10 = 7 AS held FROM trades),
+w AS (SELECT epoch_ms(max(ts)) - {_DELAY_DAYS * 86_400_000} AS watermark FROM s WHERE early AND NOT held),
+k AS (SELECT *, early AND epoch_ms(ts) < watermark AS behind, ts < TIMESTAMP '{_STOP}' - INTERVAL 6 DAY AND event_id % 11 = 3 AND NOT held AS again FROM s, w)
+SELECT CASE WHEN held AND behind THEN 'late' ELSE 'kept' END AS kind, ticker, CAST(event_id AS VARCHAR) AS id, ns AS sip_timestamp, price FROM k
+UNION ALL SELECT 'late', ticker, CAST(event_id AS VARCHAR), ns, price FROM k WHERE again""",
+        "page_stream_keyed": f"""WITH {_TRADES} SELECT 'row' AS kind, ticker, CAST(event_id AS VARCHAR) AS id, ns AS sip_timestamp, price FROM trades WHERE event_id % 10 <> 0
+UNION ALL SELECT 'errors', ticker, NULL, count(*), NULL FROM trades WHERE event_id % 10 = 0 GROUP BY ticker""",
         "debug_sample": f"WITH {_TRADES} SELECT ticker, CAST(event_id AS VARCHAR) AS id, price, size FROM trades ORDER BY ns LIMIT 1000",
         "append_by_year": fp.records_sql(
             f"accession_number, section_id, source AS ticker, strftime({fp.FILED_UTC}, '%Y') AS year, upper({bd.FORM}) AS form_type"

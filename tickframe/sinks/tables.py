@@ -83,6 +83,11 @@ def spread_by(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(column) for column in columns])
 
 
+def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """Write one batch of a stream as ``batch=<id>``; a batch that is run again replaces its own folder."""
+    df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
 def replace_partitions(df: DataFrame, path: str, columns: Sequence[str], fmt: str = "parquet") -> None:
     """Replace exactly the partitions present in ``df``; all others stay."""
     (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,7 +41,19 @@ def read_answers(
     """
     text = spark.read.text(path)
     folders = [name for name in text.columns if name != "value"]
-    lines = text.filter(F.trim("value") != "").select("value", *folders, F.col("_metadata.file_name").alias("file_name"))
+    rows, rejects = split_answers(answer_lines(text, folders), row, shape, at, folders)
+    return rows, rejects.select("file_name", "raw")
+
+
+def answer_lines(text: DataFrame, folders: Sequence[str] = ()) -> DataFrame:
+    """Lines of a text table that hold anything, with their folders' columns and their file; of a stream as well."""
+    return text.filter(F.trim("value") != "").select("value", *folders, F.col("_metadata.file_name").alias("file_name"))
+
+
+def split_answers(
+    lines: DataFrame, row: T.StructType, shape: str = "array", at: Sequence[str] = ("results",), folders: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, unreadable answers as ``raw`` with their file and folders) of :func:`answer_lines`."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     if shape == "root_array":
         answers = lines.withColumn("_rows", F.from_json("value", T.ArrayType(row)))
@@ -54,7 +68,7 @@ def read_answers(
         readable = F.col("_answer").isNotNull() & F.col(f"_answer.{CORRUPT}").isNull() & F.col("_found").isNotNull()
     own = [name for name in folders if name not in row.names]
     rows = answers.filter(readable).select(*own, F.explode("_rows").alias("_row")).filter(F.col("_row").isNotNull())
-    rejects = answers.filter(~F.coalesce(readable, F.lit(False))).select("file_name", F.col("value").alias("raw"))
+    rejects = answers.filter(~F.coalesce(readable, F.lit(False))).select(*folders, "file_name", F.col("value").alias("raw"))
     return rows.select(*own, "_row.*"), rejects
 
 
