@@ -251,3 +251,83 @@ def test_keyed_answers_by_stream(spark, tmp_path):
     assert [e[:2] for e in errors] == [("A", 'unreadable answer: {"status": "no rows"}'), ("A", "unreadable answer: {broken"), ("C", "unreadable answer: [1]")]
     tables.write_batch(spark.createDataFrame([("C", "3")], "ticker string, id string"), places[0], 1)
     assert spark.read.parquet(places[0]).filter("batch = 1").count() == 1
+
+
+def test_a_batch_is_appended_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("A", 1, "x"), ("A", 1, "x"), ("B", 2, None)], "ticker string, v int, w string")
+    assert tables.append_once(rows, path, "b1", ["ticker"]) == 3
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("part-*")}
+    assert tables.append_once(rows.repartition(3), path, "b1", ["ticker"]) == 0
+    assert {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("part-*")} == before
+    assert tables.append_once(rows.limit(0), path, "none", ["ticker"]) == 0
+    assert tables.append_once(rows.filter("v = 2"), path, "b2", ["ticker"]) == 1
+    for other in (rows.filter("v = 1"), rows.withColumn("w", F.lit("y")), rows.distinct()):
+        with pytest.raises(ValueError, match="other content"):
+            tables.append_once(other, path, "b1", ["ticker"])
+    with pytest.raises(ValueError, match="batch name"):
+        tables.append_once(rows, path, "../x")
+    stored = spark.read.json(path)
+    assert sorted((r.batch, r.ticker, r.v) for r in stored.collect()) == [("b1", "A", 1), ("b1", "A", 1), ("b1", "B", 2), ("b2", "B", 2)]
+    assert sorted(map(tuple, tables.published(spark, path).collect())) == [("b1", 3), ("b2", 1), ("none", 0)]
+
+
+def test_a_run_that_stopped_before_its_entry_is_repeated(spark, tmp_path):
+    """Left over: a half-written staging folder, and a published folder that the ledger doesn't have."""
+    path = tmp_path / "t"
+    rows = spark.createDataFrame([("A", 1)], "ticker string, v int")
+    tables.append_once(rows, str(path), "b1", ["ticker"])
+    (path / "_runs" / "b1").unlink()
+    (path / "batch=b1" / "ticker=A" / "part-old.json").write_text('{"v": 9}\n')
+    (path / "_staged" / "b1" / "ticker=A").mkdir(parents=True)
+    (path / "_staged" / "b1" / "ticker=A" / "part-half.json").write_text('{"v"')
+    assert tables.append_once(rows, str(path), "b1", ["ticker"]) == 1
+    assert [r.v for r in spark.read.json(str(path)).collect()] == [1]
+
+
+def test_manifest_restores_documents(spark, tmp_path):
+    """A hot ticker in several files, names that need escaping, no name at all; order doesn't hang on the files' names."""
+    path = str(tmp_path / "d")
+    rows = [("A", i, f"line {i}\n") for i in range(900)] + [("B/1+ %=x", i, f"{i}\n") for i in range(7)] + [(None, 0, "none"), ("0012", 0, "zeros")]
+    blocks = spark.createDataFrame(rows, "ticker string, ordinal bigint, block string").repartition(5)
+    documents.write_documents(blocks, consolidate.MERGED_ORDER, path, parts=6)
+    manifest = documents.write_manifest(spark, path).orderBy("ticker", "sequence").collect()
+    hot = [r for r in manifest if r.ticker == "A"]
+    assert [r.sequence for r in hot] == list(range(1, len(hot) + 1)) and len(hot) > 3
+    assert [r.before for r in hot] == [sum(x.bytes for x in hot[:i]) for i in range(len(hot))]
+    assert sum(r.bytes for r in hot) == sum(len(f"line {i}\n") for i in range(900))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        got = documents.read_documents(spark, path).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    lines = {}
+    for r in sorted(got, key=lambda r: r.line_no):
+        lines.setdefault(r.ticker, []).append((r.line_no, r.line))
+    assert lines == {
+        "A": [(i + 1, f"line {i}") for i in range(900)], "B/1+ %=x": [(i + 1, str(i)) for i in range(7)], None: [(1, "none")], "0012": [(1, "zeros")]
+    }
+
+
+def test_targets_prune_partitions(spark, tmp_path):
+    """Files of tickers and months that no target names are not opened: they hold no Parquet."""
+    from tickframe.sources import catalogue
+
+    folder = tmp_path / catalogue.DATASETS["bars"].folder
+    day = 86_400_000
+    rows = [(t, f"2024-{m:02d}", (dt.date(2024, m, d) - dt.date(1970, 1, 1)).days * day + 5, float(d)) for t in "ABC" for m in (1, 2, 3, 5) for d in (1, 15, 28)]
+    spark.createDataFrame(rows, "ticker string, month string, t bigint, c double").write.partitionBy("ticker", "month").parquet(str(folder))
+    for part in folder.rglob("part-*.parquet"):
+        if part.parent.parent.name == "ticker=C" or part.parent.name == "month=2024-05":
+            part.write_bytes(b"no parquet at all")
+    targets = spark.createDataFrame(
+        [("A", dt.date(2024, 1, 15), dt.date(2024, 2, 1)), ("A", dt.date(2024, 1, 20), dt.date(2024, 2, 15)), ("B", dt.date(2024, 3, 28), dt.date(2024, 3, 28)),
+         ("B", dt.date(2024, 3, 2), dt.date(2024, 3, 1)), ("Z", dt.date(2024, 1, 1), dt.date(2024, 4, 30))],
+        "ticker string, start_date date, end_date date",
+    )
+    found = catalogue.target_scan(spark, str(tmp_path), "bars", targets)
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+    assert found.columns == ["t", "c", "ticker", "month"]
+    assert sorted((r.ticker, r.month, r.c) for r in found.collect()) == [("A", "2024-01", 15.0), ("A", "2024-01", 28.0), ("A", "2024-02", 1.0), ("A", "2024-02", 15.0), ("B", "2024-03", 28.0)]
+    with pytest.raises(ValueError):
+        catalogue.target_scan(spark, str(tmp_path), "inflation", targets)

@@ -18,7 +18,7 @@ from tickframe.plans import filings as fp
 from tickframe.session import new_scratch
 from tickframe.sinks import documents, tables
 from tickframe.sources import landed
-from tickframe.sources.catalogue import DATASETS, landed_pages, range_scan
+from tickframe.sources.catalogue import DATASETS, landed_pages, range_scan, target_scan
 from tickframe.streaming import ingest
 
 _TRADE_FIELDS = ("ticker", "sip_timestamp", "id", "sequence_number", "price", "size")
@@ -160,6 +160,28 @@ def append_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return once.select("accession_number", "section_id", "ticker", "year", "form_type")
 
 
+def append_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records sent in two batches, each of them twice, and read as they lie on disk; the ledger beside them is counted."""
+    path = new_scratch(spark, "once")
+    records, _ = fil.storable(fp.records(spark, sf_dir))
+    odd = F.pmod(F.crc32(F.col("accession_number").cast("binary")), F.lit(2)) == 1
+    for _ in range(2):
+        tables.append_once(records.filter(odd), path, "2024-01-30", ["ticker", "year"])
+        tables.append_once(records.filter(~odd), path, "2024-01-31", ["ticker", "year"])
+    stored = spark.read.schema("accession_number string, section_id string, form_type string, ticker string, year string").json(path)
+    batches = tables.published(spark, path).agg(F.sum("rows").cast("string").alias("year"))
+    total = batches.select(*(F.lit(None).cast("string").alias(n) for n in ("accession_number", "section_id", "ticker")), "year", F.lit("ledger").alias("form_type"))
+    return stored.select("accession_number", "section_id", "ticker", "year", "form_type").unionByName(total)
+
+
+def document_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consolidated documents written as part files and restored in order by their manifest: every line with its number."""
+    path = new_scratch(spark, "manifest")
+    documents.write_documents(con.consolidated_blocks(bd.section_texts(spark, sf_dir)), con.CONSOLIDATED_ORDER, path)
+    documents.write_manifest(spark, path)
+    return documents.read_documents(spark, path)
+
+
 def replace_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders by priority and year; 1996 and 1997 are reloaded with doubled prices, and 1998, whose reload is empty."""
     path = new_scratch(spark, "replace")
@@ -323,11 +345,30 @@ def catalogue_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("ticker", "id", "sip_timestamp", "price")
 
 
+def _wanted(trades: DataFrame) -> DataFrame:
+    """Targets of two tickers of five: ranges that overlap, repeat, are empty or name a ticker that isn't stored."""
+    ranges = [("view", 3, 9), ("view", 7, 12), ("view", 7, 12), ("view", 25, 26), ("purchase", 20, 27), ("click", 9, 3), ("none", 1, 30)]
+    listed = F.array(*(F.struct(F.lit(t).alias("ticker"), F.lit(a).alias("a"), F.lit(b).alias("b")) for t, a, b in ranges))
+    day = lambda name: F.make_date(F.lit(2024), F.lit(1), F.col(name))
+    wanted = trades.select("ticker").distinct().withColumn("_w", F.explode(listed)).select("_w.*").distinct()
+    return wanted.select("ticker", day("a").alias("start_date"), day("b").alias("end_date"))
+
+
+def catalogue_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dataset stored by ticker and month, read for a table of targets: partitions that none names are not read."""
+    root = new_scratch(spark, "targets-scan")
+    trades = bd.trades(spark, sf_dir)
+    month = F.date_format(F.timestamp_micros(F.call_function("div", F.col("sip_timestamp"), F.lit(1000))), "yyyy-MM")
+    stored = tables.spread_by(trades.withColumn("month", month), ["ticker", "month"])
+    stored.write.partitionBy("ticker", "month").parquet(f"{root}/{DATASETS['trades'].folder}")
+    return target_scan(spark, root, "trades", _wanted(trades)).select("ticker", "id", "sip_timestamp", "price")
+
+
 def queries() -> dict:
     names = (
-        api_pages, indicator_pages, tolerant_jsonl, page_stream_ingest, stream_resume, page_stream_keyed, debug_sample, append_by_year, replace_partitions,
+        api_pages, indicator_pages, tolerant_jsonl, page_stream_ingest, stream_resume, page_stream_keyed, debug_sample, append_by_year, append_once, document_manifest, replace_partitions,
         csv_roundtrip, dataset_roundtrip, macro_both, report_runs, error_log, stored_documents, stored_formatted, stored_merged,
-        overview_pages, cik_pages, latest_list_mixed, targets_extra_columns, catalogue_scan,
+        overview_pages, cik_pages, latest_list_mixed, targets_extra_columns, catalogue_scan, catalogue_targets,
     )
     return {function.__name__: function for function in names}
 
@@ -358,6 +399,15 @@ UNION ALL SELECT 'errors', ticker, NULL, count(*), NULL FROM trades WHERE event_
         "append_by_year": fp.records_sql(
             f"accession_number, section_id, source AS ticker, strftime({fp.FILED_UTC}, '%Y') AS year, upper({bd.FORM}) AS form_type"
         ),
+        "append_once": fp.records_sql(
+            f"accession_number, section_id, source AS ticker, strftime({fp.FILED_UTC}, '%Y') AS year, upper({bd.FORM}) AS form_type"
+        )
+        + " UNION ALL SELECT NULL, NULL, NULL, CAST(count(*) AS VARCHAR), 'ledger' FROM ("
+        + fp.records_sql("accession_number")
+        + ")",
+        "document_manifest": f"""WITH b AS (SELECT *, string_split(left(block, length(block) - 1), chr(10)) AS lines FROM ({fp.oracle_sql()['consolidated_doc']})),
+l AS (SELECT * EXCLUDE (lines), unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM b)
+SELECT ticker, row_number() OVER (PARTITION BY ticker ORDER BY is_body, filed, accession, kind, section_rank, ordinal, i) AS line_no, line FROM l""",
         "replace_partitions": "SELECT o_orderkey, o_totalprice * CASE WHEN year(o_orderdate) IN (1996, 1997) THEN 2 ELSE 1 END AS o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders WHERE year(o_orderdate) <> 1998",
         "csv_roundtrip": target,
         "dataset_roundtrip": f"""WITH {_TRADES} SELECT ticker, '1-hour' AS fidelity, strftime(make_timestamp(t * 1000), '%Y-%m') AS month, t, o, c, n FROM (
@@ -382,5 +432,8 @@ UNION ALL SELECT 'rejects', NULL, count(*) FROM customer WHERE c_custkey % 10 =
         "targets_extra_columns": target,
         "catalogue_scan": f"WITH {_TRADES} SELECT ticker, CAST(event_id AS VARCHAR) AS id, ns AS sip_timestamp, price FROM trades "
         "WHERE ticker = 'view' AND ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-08'",
+        "catalogue_targets": f"""WITH {_TRADES} SELECT ticker, CAST(event_id AS VARCHAR) AS id, ns AS sip_timestamp, price FROM trades
+WHERE ticker = 'view' AND (ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-13' OR ts >= TIMESTAMP '2024-01-25' AND ts < TIMESTAMP '2024-01-27')
+OR ticker = 'purchase' AND ts >= TIMESTAMP '2024-01-20' AND ts < TIMESTAMP '2024-01-28'""",
         "stored_documents": f"SELECT ticker, unnest(string_split(left(block, length(block) - 1), chr(10))) AS line FROM ({fp.oracle_sql()['consolidated_doc']})",
     }

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickframe import schemas
@@ -118,6 +120,59 @@ def append_filing_sections(records: DataFrame, path: str) -> int:
     return _save(spread_by(records, ["ticker", "year"]), path, "json", "append", ["ticker", "year"])
 
 
+_RUNS, _STAGED = "_runs", "_staged"
+
+
+def _content(df: DataFrame) -> dict[str, Column]:
+    """Aggregates that tell the content of a table apart whatever the order of its rows."""
+    row = F.xxhash64(*df.columns)
+    return {"rows": F.count(F.lit(1)), "mixed": F.bit_xor(row), "added": F.sum(F.pmod(row, F.lit(1 << 24)))}
+
+
+def append_once(df: DataFrame, path: str, batch: str, partitions: Sequence[str] = (), fmt: str = "json") -> int:
+    """Append a batch of rows that can be sent any number of times; gives the rows that this call added.
+
+    The batch is written whole under a hidden folder, its content is told on the way, and then it is published by one
+    rename to ``batch=<batch>``. A file per batch in the ledger beside the data says what was published. A batch that the
+    ledger has is not written again; with other content it is refused. A run that stopped anywhere before its entry
+    in the ledger is simply repeated. One writer per batch at a time.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", batch):
+        raise ValueError(f"batch name {batch!r}")
+    spark = df.sparkSession
+    entry, staged, target = (hadoop_path(spark, f"{path}/{place}") for place in (f"{_RUNS}/{batch}", f"{_STAGED}/{batch}", f"batch={batch}"))
+    fs = entry.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(entry):
+        known = json.loads(spark.read.text(entry.toString()).first()[0])
+        again = df.agg(*(c.alias(name) for name, c in _content(df).items())).first().asDict()
+        if known != again:
+            raise ValueError(f"batch {batch} was published with other content: {known}, now {again}")
+        return 0
+    if df.isEmpty():
+        content = {"rows": 0, "mixed": None, "added": None}
+    else:
+        seen = Observation()
+        watched = df.observe(seen, *(c.alias(name) for name, c in _content(df).items()))
+        spread_by(watched, partitions).write.mode("overwrite").format(fmt).partitionBy(*partitions).save(staged.toString())
+        content = {name: seen.get[name] for name in _content(df)}
+    fs.delete(target, True)
+    if content["rows"] and not fs.rename(staged, target):
+        raise OSError(f"could not publish {target}")
+    fs.delete(staged, True)
+    fs.mkdirs(entry.getParent())
+    with_entry = fs.create(entry, False)
+    with_entry.write(json.dumps(content).encode())
+    with_entry.close()
+    return content["rows"]
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger: ``batch`` and the number of ``rows`` of each published batch."""
+    lines = spark.read.text(f"{path}/{_RUNS}/*")
+    rows = F.get_json_object("value", "$.rows").cast("bigint").alias("rows")
+    return lines.select(F.col("_metadata.file_name").alias("batch"), rows)
+
+
 def next_run(spark: SparkSession, path: str, snapshot_date: dt.date) -> int:
     """First free run number of a snapshot day, 0 for the first."""
     root = hadoop_path(spark, f"{path}/snapshot_date={snapshot_date.isoformat()}")

@@ -5,11 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickframe.functions.instants import day_start_ns
+from tickframe.operators.targets import merged_ranges
 from tickframe.sources.landed import read_answers
 
 
@@ -124,6 +125,48 @@ def range_scan(
     return found.orderBy(dataset.order) if ordered and dataset.order else found
 
 
+def _bound_of(day: Column, unit: str) -> Column:
+    """:func:`_bound` of a column of days."""
+    if unit == "iso":
+        raise ValueError("instants as text are read by day, not by range")
+    scale = {"ns": 86_400 * 10**9, "ms": 86_400_000}.get(unit)
+    return F.unix_date(day).cast("bigint") * scale if scale else F.date_format(day, "yyyy-MM-dd")
+
+
+#: Ranges (by month) that are sent to every executor, some 60 bytes each.
+MOST_RANGES = 500_000
+
+
+def target_scan(spark: SparkSession, root: str, name: str, targets: DataFrame) -> DataFrame:
+    """Rows of a stored dataset inside the ``start_date`` to ``end_date`` of a target with their ticker, each row once.
+
+    The targets, merged per ticker, are one side of an equality on the dataset's ticker and, where it is stored by ``month``, on the
+    months of the ranges. Up to ``MOST_RANGES`` of them, which are counted first, are broadcast; where those columns are
+    partition columns, only folders of their tickers and of their months are then read. More of them are joined as Spark sees fit.
+    """
+    dataset = DATASETS[name]
+    if not dataset.ticker or not dataset.date:
+        raise ValueError(f"{name} has no ticker and date to scan by")
+    found = spark.read.parquet(f"{root}/{dataset.folder}")
+    for column, value in dataset.fixed:
+        found = found.filter(F.col(column) == F.lit(value).cast(found.schema[column].dataType))
+    # The comparison drops empty ranges, and tells Spark that the targets select.
+    ranges = merged_ranges(targets.filter(F.col("start_date") <= F.col("end_date"))).select(
+        F.col("ticker").alias("_ticker"), F.col("start_date").alias("_start"), F.col("end_date").alias("_end")
+    )
+    ranges = ranges.filter(F.col("_start") <= F.col("_end"))
+    same = F.col(dataset.ticker) == F.col("_ticker")
+    if "month" in found.columns:
+        months = F.sequence(F.trunc("_start", "MM"), F.trunc("_end", "MM"), F.expr("INTERVAL 1 MONTH"))
+        ranges = ranges.withColumn("_month", F.explode(F.transform(months, lambda m: F.date_format(m, "yyyy-MM"))))
+        same = same & (F.col("month") == F.col("_month"))
+    if ranges.limit(MOST_RANGES + 1).count() <= MOST_RANGES:
+        ranges = F.broadcast(ranges)
+    date, after = F.col(dataset.date), F.date_add(F.col("_end"), 1)
+    inside = (date >= _bound_of(F.col("_start"), dataset.unit)) & (date < _bound_of(after, dataset.unit))
+    return found.join(ranges, same & inside).select(*(found[c] for c in found.columns))
+
+
 def landed_pages(spark: SparkSession, path: str, name: str, row: T.StructType) -> tuple[DataFrame, DataFrame]:
     """(rows, unreadable answers) of landed answers of dataset ``name``, taken from where its answers hold them."""
     dataset = DATASETS[name]
