@@ -156,6 +156,39 @@ def test_lines(spark, docs, none):
     assert got == {None: (run, 0, 0), 1: ("first", 3, 1), 2: ("own\nrest", 3, 1), 3: ("", 3, 1), 4: (rows[3][1], 0, 0)}
 
 
+def test_runs_reach_their_last_line(spark):
+    """A tail of too few words behind a long line belongs to the repeated run; so does one before it."""
+    long, other, tail = (" ".join(f"{c}{i}" for i in range(n)) for c, n in (("a", 30), ("b", 30), ("c", 15)))
+    rows = [(1, f"{long}\n{other}\n{tail}"), (2, f"own\n{long}\n{other}\n{tail}\nrest"), (3, f"{tail}\n{long}\n{other}"), (4, f"{other}\n{tail}\n{long}")]
+    rows += [(5, f"{tail}\n{tail}\n{long}\n{long}"), (6, f"x\n{tail}\n{tail}\n{long}\n{long}\n{tail}")]
+    df = spark.createDataFrame([(*r, "kept", "kept") for r in rows], "doc_id long, text string, gone string, k1 string")
+    got = {r.doc_id: (r.text, r.n_removed_lines, r.gone, r.k1) for r in line_suffix.without_repeated_runs(df).collect()}
+    assert got == {
+        1: (rows[0][1], 0, "kept", "kept"), 2: ("own\nrest", 3, "kept", "kept"), 3: (tail, 2, "kept", "kept"), 4: (rows[3][1], 0, "kept", "kept"),
+        5: (rows[4][1], 0, "kept", "kept"), 6: (f"x\n{tail}", 4, "kept", "kept"),
+    }
+
+
+def test_runs_against_all_windows(spark):
+    from test_pipeline import lines_cut
+
+    rng = random.Random(14)
+    lines = [" ".join(rng.choices("abcdefgh", k=rng.choice([1, 2, 3, 9, 30]))) for _ in range(25)] + ["", "  "]
+    passages = [rng.choices(lines, k=rng.randint(2, 40)) for _ in range(6)]
+    rows = []
+    for d in range(60):
+        out = rng.choices(lines, k=rng.randint(0, 4))
+        for p in rng.choices(passages, k=rng.randint(0, 3)):
+            a = rng.randint(0, 6)
+            out += p[a : a + rng.randint(1, 40)] + rng.choices(lines, k=rng.randint(0, 2))
+        rows.append((d, "\n".join(out)))
+    for least in (50, 20):
+        want = lines_cut(rows, least)
+        got = {r.doc_id: (r.text, r.n_lines - r.n_removed_lines) for r in line_suffix.without_repeated_runs(spark.createDataFrame(rows, "doc_id long, text string"), least).collect()}
+        assert {d: t for d, (t, n) in got.items() if d in want} == want
+        assert all(n == 0 for d, (_, n) in got.items() if d not in want)
+
+
 def test_ledger(docs, none, labels):
     assert rule_ledger.ledger(none).count() == 0
     entries = rule_ledger.ledger(docs, blocked_stems=rule_ledger.learned_stems(docs, labels))

@@ -15,24 +15,22 @@ FIELDS = "doc_id, text, lang, source, n_chars"
 
 
 def lines_cut(docs, least=50):
-    """Later copies of runs of lines of at least ``least`` words, by (doc_id, line)."""
-    seen, out = {}, {}
+    """Lines inside any run of ``least`` words or more, however long, whose lines also start earlier, go from (doc_id, text)."""
+    seen, numbers, out = set(), {}, {}
     for d, text in docs:
         every = text.split("\n")
         own = [(i, line) for i, line in enumerate(every) if WORD.search(line)]
         sizes = [len(WORD.findall(line)) for _, line in own]
+        ids = [numbers.setdefault(line, len(numbers) + 1) for _, line in own]
         gone = set()
         for a in range(len(own)):
-            b, total = a, 0
-            while b < len(own) and total < least:
-                total += sizes[b]
-                b += 1
-            if total >= least:
-                run = tuple(line for _, line in own[a:b])
-                if run in seen:
-                    gone.update(range(a, b))
-                else:
-                    seen[run] = d
+            run, total = 0, 0
+            for b in range(a, len(own)):
+                run, total = (run * 1_000_003 + ids[b]) % ((1 << 127) - 1), total + sizes[b]
+                if total >= least:
+                    if (b - a, run) in seen:
+                        gone.update(range(a, b + 1))
+                    seen.add((b - a, run))
         if not gone:
             out[d] = text
         elif len(gone) < len(own):

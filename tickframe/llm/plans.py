@@ -186,8 +186,8 @@ WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM d
 a AS (SELECT doc_id, i, ls[i] AS line, len(regexp_extract_all(ls[i], '[^\x20\x09-\x0D]+')) AS n
       FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM d)),
 l AS (SELECT *, row_number() OVER w AS pos, sum(n) OVER w AS upto FROM a WHERE n > 0 WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-s AS (SELECT x.doc_id, x.pos, min(y.pos) AS last FROM l x JOIN l y ON x.doc_id = y.doc_id AND y.pos >= x.pos
-      AND y.upto - x.upto + x.n >= 50 GROUP BY ALL),
+e AS (SELECT x.doc_id, x.pos, y.pos AS last FROM l x JOIN l y ON x.doc_id = y.doc_id AND y.pos >= x.pos AND y.upto - x.upto + x.n >= 50),
+s AS (SELECT doc_id, pos, min(last) AS last FROM e GROUP BY doc_id, pos UNION SELECT doc_id, max(pos) AS pos, last FROM e GROUP BY doc_id, last),
 r AS (SELECT s.doc_id, s.pos, s.last, string_agg(line, chr(10) ORDER BY l.pos) AS run
       FROM s JOIN l ON l.doc_id = s.doc_id AND l.pos BETWEEN s.pos AND s.last GROUP BY ALL),
 k AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS nth FROM r),
