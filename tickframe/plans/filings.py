@@ -445,10 +445,13 @@ UNION ALL SELECT {_PLACED}, concat('<h1>Section: ', section_id, '</h1>', {_NL},
 FROM r JOIN o ON r.ticker = o.ticker AND r.accession = o.accession"""
 
 
-def oracle_sql() -> dict[str, str]:
-    candidates = f"""c AS (SELECT doc_id, source AS ticker, {bd.FORM} AS form_type, {_FAMILY} AS base_form, {_SUFFIX} AS suffix,
+CANDIDATES = f"""c AS (SELECT doc_id, source AS ticker, {bd.FORM} AS form_type, {_FAMILY} AS base_form, {_SUFFIX} AS suffix,
   strftime({_FILED}, '%Y-%m-%d') AS filing_date, {_RAW_FILED} AS filing_timestamp, {bd.TXT_LINK} AS download_url FROM documents
   WHERE {_FAMILY} IS NOT NULL AND {bd.TXT_LINK} <> '')"""
+TARGET_PATH = "concat(ticker, '_', base_form, '/', ticker, '_', base_form, suffix, '_', filing_date, '.txt') AS target_path"
+
+
+def oracle_sql() -> dict[str, str]:
     ws = "regexp_replace(replace(replace(text, ' ', concat('  ', chr(9))), chr(10), concat(chr(10), ' ', chr(10), chr(9), chr(10))), '[ \\t]+', ' ', 'g')"
     return {
         "filing_flags": f"""SELECT {bd.ACCESSION} AS accession, {_FAMILY} AS family, doc_id % 6 = 3 AS is_amendment, {_SUFFIX} AS suffix,
@@ -466,9 +469,9 @@ def oracle_sql() -> dict[str, str]:
 UNION ALL SELECT {bd.ACCESSION}, 'OTHER', 'other', {_RAW_FILED} FROM documents""",
         "attached_targets": f"""SELECT {bd.ACCESSION} AS accessionNo, concat('S', s_suppkey) AS ticker, {bd.CIK} AS cik
 FROM documents JOIN supplier ON doc_id % 97 = s_suppkey""",
-        "missing_filings": f"""WITH {candidates}, stored AS (SELECT DISTINCT ticker, base_form, suffix, filing_date FROM c WHERE doc_id IN (SELECT doc_id FROM labels))
+        "missing_filings": f"""WITH {CANDIDATES}, stored AS (SELECT DISTINCT ticker, base_form, suffix, filing_date FROM c WHERE doc_id IN (SELECT doc_id FROM labels))
 SELECT ticker, form_type, base_form, suffix, filing_date, filing_timestamp, download_url,
-  concat(ticker, '_', base_form, '/', ticker, '_', base_form, suffix, '_', filing_date, '.txt') AS target_path
+  {TARGET_PATH}
 FROM c WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.ticker = c.ticker AND s.base_form = c.base_form AND s.suffix = c.suffix AND s.filing_date = c.filing_date)""",
         "section_records": records_sql(
             f"accession_number, source AS ticker, upper({bd.FORM}) AS form_type, section_id, {_SECTION_TEXT} AS text, "

@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickframe import schemas
+from tickframe.functions.filing import integer_cik
+from tickframe.functions.instants import standardize_timestamp
 from tickframe.operators import bars as br
 from tickframe.operators import consolidate as con
 from tickframe.operators import filings as fil
+from tickframe.operators import refdata as ref
 from tickframe.operators import targets as tgt
+from tickframe.operators.history import parse_inventory
 from tickframe.plans import bindings as bd
 from tickframe.plans import filings as fp
 from tickframe.session import new_scratch
@@ -364,11 +368,86 @@ def catalogue_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target_scan(spark, root, "trades", _wanted(trades)).select("ticker", "id", "sip_timestamp", "price")
 
 
+def cik_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CIK list as a file: targets with a number, padded and as an integer, and the cells of those without one."""
+    path = new_scratch(spark, "cik-list")
+    listed = bd.table(spark, sf_dir, "customer").select(F.col("c_name").alias("ticker"), F.expr(bd.RAW_CIK).alias("CIK"))
+    tables.write_csv(listed, path)
+    usable, rest = ref.usable_targets(landed.read_cik_targets(spark, path))
+    return usable.select("ticker", "cik_padded", integer_cik(F.col("cik_clean")).alias("number")).unionByName(
+        rest.select("ticker", F.col("cik_clean").alias("cik_padded"), integer_cik(F.col("cik_clean")).alias("number"))
+    )
+
+
+def download_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Discovered filings as a download list, stored and read back."""
+    path = new_scratch(spark, "downloads")
+    tables.write_csv(fil.download_candidates(bd.filings(spark, sf_dir)), path)
+    return landed.read_download_list(spark, path)
+
+
+def history_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tickers found in the paths of history files: one monthly file per customer and month of its orders, stored and listed."""
+    root = new_scratch(spark, "history")
+    orders = bd.table(spark, sf_dir, "orders").filter(F.col("o_custkey") % 50 == 7)
+    spans = orders.select(F.concat(F.lit("C"), "o_custkey").alias("ticker"), F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_totalprice")
+    tables.spread_by(spans, ["ticker"]).write.partitionBy("ticker", "month").parquet(root)
+    # Written folders and files under the names that the history layout gives them.
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(root).select("path", "length")
+    ticker, month = (F.regexp_extract("path", f"{name}=([^/]*)/", 1) for name in ("ticker", "month"))
+    day = F.concat(month, F.lit("-01"))
+    name = F.concat(ticker, F.lit("_tick_"), day, F.lit("_to_"), F.last_day(day.cast("date")).cast("string"), F.lit(".parquet"))
+    inventory = parse_inventory(files.select(F.concat_ws("/", F.lit("/lake"), ticker, F.lit("tick"), name).alias("path"), "length"))
+    known = landed.tick_universe(inventory).filter("bytes > 0").select("ticker")
+    return landed.history_universe(inventory).join(known, "ticker", "left_semi")
+
+
+def column_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of a column told to be milliseconds by their greatest one, small ones with them; and a column of small ones."""
+    events = bd.table(spark, sf_dir, "events")
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    mixed = events.select("event_id", F.when(F.col("event_id") % 3 == 0, F.col("event_id")).otherwise(ms).alias("ms"), F.col("event_id").alias("small"))
+    once = standardize_timestamp(mixed, "ms", "column").withColumnRenamed("timestamp", "from_ms")
+    both = standardize_timestamp(once, "small", "column").withColumnRenamed("timestamp", "from_small")
+    return both.select("event_id", *[F.date_format(n, "yyyy-MM-dd HH:mm:ss.SSS").alias(n) for n in ("from_ms", "from_small")])
+
+
+def listed_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed overviews of the tickers on a list, post-processed by a hook: upper-case names of the even customers."""
+    path = new_scratch(spark, "listed")
+    record = F.struct(F.col("c_name").alias("name"), F.col("c_custkey").alias("cik"))
+    _customer_answers(spark, sf_dir, path, F.to_json(F.struct(record.alias("results"))))
+    rows, _ = landed_pages(spark, path, "stock_overviews", _CUSTOMER)
+    wanted = bd.table(spark, sf_dir, "nation").filter("n_regionkey < 2").select(F.concat(F.lit("N"), "n_nationkey").alias("ticker"))
+    wanted = wanted.unionByName(wanted).unionByName(wanted.limit(1).select(F.lit("absent").alias("ticker")))
+    return ref.per_ticker(wanted, rows, lambda found: found.filter("cik % 2 = 0").withColumn("name", F.upper("name")))
+
+
+#: Keys whose folder names have to be escaped, or that look like something else.
+_ODD_KEY = "CASE c_custkey % 6 WHEN 0 THEN 'A=B' WHEN 1 THEN 'C/D' WHEN 2 THEN '0012' WHEN 4 THEN 'x y%z' WHEN 5 THEN '2024-01-05' END"
+
+
+def dataset_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dataset but the history written under its own layout with odd and null keys, and read back."""
+    root = new_scratch(spark, "layouts")
+    rows = bd.table(spark, sf_dir, "customer").select("c_custkey", F.expr(_ODD_KEY).alias("_key"))
+    found = None
+    for name in sorted(tables.LAYOUT.keys() - {"trading_history"}):
+        key, *others = tables.LAYOUT[name]
+        written = rows.withColumnRenamed("_key", key).withColumns({other: F.lit("1") for other in others})
+        tables.write_dataset(written, root, name)
+        stored = landed.read_dataset(spark, root, name)
+        same = stored.select(F.lit(name).alias("dataset"), F.col(key).alias("key"), F.concat_ws("/", F.lit("k"), *others).alias("others"), "c_custkey")
+        found = same if found is None else found.unionByName(same)
+    return found.groupBy("dataset", "key", "others").agg(F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("total"))
+
+
 def queries() -> dict:
     names = (
         api_pages, indicator_pages, tolerant_jsonl, page_stream_ingest, stream_resume, page_stream_keyed, debug_sample, append_by_year, append_once, document_manifest, replace_partitions,
         csv_roundtrip, dataset_roundtrip, macro_both, report_runs, error_log, stored_documents, stored_formatted, stored_merged,
         overview_pages, cik_pages, latest_list_mixed, targets_extra_columns, catalogue_scan, catalogue_targets,
+        cik_targets, download_list, history_tickers, column_timestamps, listed_answers, dataset_layouts,
     )
     return {function.__name__: function for function in names}
 
@@ -432,6 +511,16 @@ UNION ALL SELECT 'rejects', NULL, count(*) FROM customer WHERE c_custkey % 10 =
         "targets_extra_columns": target,
         "catalogue_scan": f"WITH {_TRADES} SELECT ticker, CAST(event_id AS VARCHAR) AS id, ns AS sip_timestamp, price FROM trades "
         "WHERE ticker = 'view' AND ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-08'",
+        "cik_targets": f"""WITH r AS (SELECT c_name AS ticker, regexp_replace(coalesce({bd.RAW_CIK}, 'NOT_FOUND'), '\\.0$', '') AS x FROM customer)
+SELECT ticker, CASE WHEN regexp_matches(x, '^[0-9]+$') AND length(x) < 10 THEN lpad(x, 10, '0') ELSE x END AS cik_padded, CAST(TRY_CAST(x AS BIGINT) AS VARCHAR) AS number FROM r""",
+        "download_list": f"WITH {fp.CANDIDATES} SELECT ticker, form_type, filing_date, filing_timestamp, download_url, {fp.TARGET_PATH} FROM c",
+        "history_tickers": "SELECT DISTINCT concat('C', o_custkey) AS ticker FROM orders WHERE o_custkey % 50 = 7",
+        "column_timestamps": """SELECT event_id, strftime(CASE WHEN event_id % 3 = 0 THEN make_timestamp(event_id * 1000) ELSE date_trunc('millisecond', ts) END, '%Y-%m-%d %H:%M:%S.%g') AS from_ms,
+  CAST(NULL AS VARCHAR) AS from_small FROM events""",
+        "listed_answers": """SELECT concat('N', c_nationkey) AS ticker, upper(c_name) AS name, c_custkey AS cik FROM customer
+WHERE c_custkey % 10 <> 0 AND c_custkey % 2 = 0 AND c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey < 2)""",
+        "dataset_layouts": f"""WITH n(dataset, others) AS (VALUES ('technicals', 'k/1'), ('corporate_actions', 'k'), ('fundamentals', 'k'), ('ticker_lists', 'k/1/1'), ('macro', 'k'), ('filings', 'k/1'))
+SELECT dataset, {_ODD_KEY} AS key, others, count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS total FROM customer, n GROUP BY 1, 2, 3""",
         "catalogue_targets": f"""WITH {_TRADES} SELECT ticker, CAST(event_id AS VARCHAR) AS id, ns AS sip_timestamp, price FROM trades
 WHERE ticker = 'view' AND (ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-13' OR ts >= TIMESTAMP '2024-01-25' AND ts < TIMESTAMP '2024-01-27')
 OR ticker = 'purchase' AND ts >= TIMESTAMP '2024-01-20' AND ts < TIMESTAMP '2024-01-28'""",

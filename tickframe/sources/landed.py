@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tickframe import schemas
 from tickframe.operators.history import parse_inventory
 from tickframe.operators.refdata import unique_tickers
+from tickframe.sinks.tables import LAYOUT
 
 CORRUPT = "_corrupt_record"
 
@@ -145,6 +146,17 @@ def read_ticks(spark: SparkSession, root: str, *columns: str) -> DataFrame:
     return ticks.select(*columns) if columns else ticks
 
 
+def read_dataset(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A dataset stored under its layout, with the values of its folders as text, as they were written.
+
+    Left to itself, Spark would read a folder ``ticker=0012`` as the number 12.
+    """
+    path = f"{root}/{name}"
+    found = spark.read.parquet(path).schema
+    fields = [T.StructField(f.name, T.StringType()) if f.name in LAYOUT[name] else f for f in found.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 def _listed(spark: SparkSession, pattern: str) -> list:
     """File states that match ``pattern``; a listing, no file is opened."""
     target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
