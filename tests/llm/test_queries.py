@@ -101,6 +101,14 @@ def test_pii(spark, docs):
         assert r.n_email + r.n_ip + r.n_card + r.n_phone == len(spans) and set(spans) <= set(r.spans.split(",")) | {""}
 
 
+def test_planted_secrets_are_found(spark):
+    """Every text of a larger table that holds a quoted token is told by its spans."""
+    sf = "/root/testdata/sf0.01"
+    planted = {d for d, t in duckdb.sql(f"SELECT doc_id, text FROM '{sf}/documents.parquet'").fetchall() if re.search(r'token = "[0-9a-f]{40}"', t or "")}
+    got = {r.doc_id for r in plans.op4_pii(spark, sf).collect() if "secret:" in r.spans and r.n_spans}
+    assert len(planted) > 5 and planted == got
+
+
 def cut_repeats(docs, length=phrase_dedup.LENGTH):
     seen = collections.Counter()
     for _, text in docs:

@@ -3,7 +3,9 @@
 Regular expressions propose spans, checksums confirm them (Luhn for cards, mod 97 for IBANs, ranges for addresses and
 numbers), and context words shortly before a span raise its score. The four base kinds (email, ip, card, phone) stay
 whatever their context; the further kinds count from a score of ``KEEP`` on: IBANs by their checksum, social
-security numbers and phone numbers without a country code only beside a context word.
+security numbers, phone numbers without a country code and secrets only beside a context word. A secret is a run of
+``SECRET_CHARS`` or more characters of keys and tokens that looks random: it has letters, digits and ``SECRET_DISTINCT`` or more
+different characters.
 
 Matches are leftmost and do not overlap within a kind. Java's engine backtracks where a linear-time engine would not,
 so the patterns below are deterministic forms of the plain ones: possessive runs, starts only where a run can start, and
@@ -22,11 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BASE_KINDS = ["email", "ip", "card", "phone"]
-ADDED_KINDS = ["iban", "ssn", "local_phone"]
+ADDED_KINDS = ["iban", "ssn", "local_phone", "secret"]
 KINDS = BASE_KINDS + ADDED_KINDS
 GROUP = 256
 CONTEXT_CHARS = 40
 KEEP = 0.5
+SECRET_CHARS, SECRET_DISTINCT = 16, 8
 
 #: Characters of an IBAN by country: the registry, and the countries that use the form without being in it.
 IBAN_LENGTHS = {
@@ -50,10 +53,12 @@ PATTERNS = {
     "iban": rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{_IBANS})(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
     "local_phone": r"(?<![0-9+().-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9.-])",
+    # A start inside a run is none, so a run is tried once.
+    "secret": rf"(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/_.-]{{{SECRET_CHARS},}}+={{0,2}}+",
 }
 
 #: Score of a confirmed span without context, and the words that raise it by ``BOOST``.
-PRIOR = {"email": 0.9, "ip": 0.7, "card": 0.8, "phone": 0.7, "iban": 0.8, "ssn": 0.3, "local_phone": 0.2}
+PRIOR = {"email": 0.9, "ip": 0.7, "card": 0.8, "phone": 0.7, "iban": 0.8, "ssn": 0.3, "local_phone": 0.2, "secret": 0.3}
 BOOST = 0.3
 CONTEXT = {
     "email": "mail|contact|write",
@@ -63,6 +68,7 @@ CONTEXT = {
     "iban": "iban|account|bank|konto|compte|cuenta",
     "ssn": "ssn|social security",
     "local_phone": "phone|call|tel|mobile|fax",
+    "secret": r"\w*(?:token|secret|passw|pwd|credential)|\w*(?:api|access|private|auth|signing)[_\x20-]?key|bearer",
 }
 
 
@@ -102,6 +108,8 @@ def _confirmed(kind: str, match: Column) -> Column:
         return _luhn(match)
     if kind == "iban":
         return _mod97(match)
+    if kind == "secret":
+        return match.rlike("[A-Za-z]") & match.rlike("[0-9]") & (F.size(F.array_distinct(F.split(match, ""))) >= SECRET_DISTINCT)
     return F.lit(True)
 
 
@@ -164,7 +172,7 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
     for kind in KINDS:
         for name, column in _spans(kind):
             out = out.withColumn(name, column)
-    # A local number inside a base span is that span.
+    # What lies in a base span is that span.
     base = F.concat(*(f"_{k}" for k in BASE_KINDS))
     covered = lambda s: F.exists("_base", lambda b: (b.start < s.end) & (s.start < b.end))
     out = out.withColumn("_base", base)

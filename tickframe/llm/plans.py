@@ -65,6 +65,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *map(count, pii.BASE_KINDS),
         F.sha2(pii.joined(F.col("pii"), pii.BASE_KINDS), 256).alias("base_sha256"),
         pii.joined(F.col("pii")).alias("spans"),
+        F.size("pii").cast("long").alias("n_spans"),
     )
 
 
