@@ -245,10 +245,42 @@ def test_importance_keeps_good_texts(spark):
     assert kept[(0, 0), True] < 0.2 * (kept[(0, 0), True] + kept[(0, 0), False])
 
 
-def test_chat(spark):
-    """Blocks of any length give the roles of one Viterbi pass over the whole conversation."""
+def best_states(model, observations):
+    """Viterbi by its recurrence on plain lists; of equal ways the one from the lesser state."""
+    n = len(chat_hmm.STATES)
+    score = [model.first[s] + model.shown[s, observations[0]] for s in range(n)]
+    ways = []
+    for o in observations[1:]:
+        came = [max(range(n), key=lambda r: (score[r] + model.step[r, s], -r)) for s in range(n)]  # noqa: B023
+        score = [score[came[s]] + model.step[came[s], s] + model.shown[s, o] for s in range(n)]
+        ways.append(came)
+    state = max(range(n), key=lambda s: (score[s], -s))
+    out = [state]
+    for came in reversed(ways):
+        state = came[state]
+        out.append(state)
+    return out[::-1]
+
+
+def recovered(model, lines):
+    """Turns of one conversation's lines: first turn and position, role, number of lines, opened by no opening line."""
+    out, last = [], None
+    for line, state in zip(lines, best_states(model, [r.obs for r in lines])):
+        role, opens = chat_hmm.STATES[state]
+        if out and not opens and last == role:
+            out[-1][3] += 1
+        else:
+            out.append([line.turn, line.pos, role, 1, not opens])
+        last = role
+    return [tuple(t) for t in out]
+
+
+@pytest.mark.parametrize("turns", [64, 2, 1])
+def test_chat(spark, monkeypatch, turns):
+    """Blocks of any length give the turns of one Viterbi pass over the whole conversation."""
     from pyspark.sql import functions as F
 
+    monkeypatch.setattr(chat_hmm, "TURNS", turns)
     shown = plans.transcripts(spark.read.parquet(f"{SF}/conversations.parquet"))
     model = chat_hmm.fit(shown)
     lines = chat_hmm.lines(shown.drop("role"))
@@ -256,18 +288,32 @@ def test_chat(spark):
     for r in lines.orderBy("conv", "turn", "pos").collect():
         whole[r.conv].append(r)
     truth = {(r.conv_id, r.turn): r.role for r in shown.collect()}
-    for turns in (64, 2):
-        saved, chat_hmm.TURNS = chat_hmm.TURNS, turns
-        try:
-            rows = chat_hmm.rendered(chat_hmm.roles(lines, model)).orderBy("conv", "turn", "pos").collect()
-        finally:
-            chat_hmm.TURNS = saved
-        got = collections.defaultdict(list)
-        for r in rows:
-            got[r.conv] += [r.role] * r.n_lines
-        for conv, own in whole.items():
-            states = chat_hmm._path(model, np.array([r.obs for r in own]), -1, -1)
-            assert got[conv] == [chat_hmm.STATES[s][0] for s in states]
+    rows = chat_hmm.rendered(chat_hmm.roles(lines, model)).orderBy("conv", "turn", "pos").collect()
+    got = collections.defaultdict(list)
+    for r in rows:
+        got[r.conv].append((r.turn, r.pos, r.role, r.n_lines, r.continued))
+    assert got == {conv: recovered(model, own) for conv, own in whole.items()}
     right = sum(truth[r.conv, r.turn] == r.role for r in rows)
     assert right > 0.8 * len(truth) and all(r.rendered.startswith(f"<|{r.role}|>\n") for r in rows)
     assert lines.agg(F.max("obs")).first()[0] < chat_hmm.N_OBSERVATIONS
+
+
+@pytest.mark.parametrize("turns", [64, 7, 1])
+def test_long_turns_are_whole(spark, monkeypatch, turns):
+    """A speaker whose lines come as many source turns, beside rows without an id, equal ones too, and clashing names."""
+    monkeypatch.setattr(chat_hmm, "TURNS", turns)
+    model = chat_hmm.fit(plans.transcripts(spark.read.parquet(f"{SF}/conversations.parquet")))
+    rows = [(1, 0, "User: please go on?")] + [(1, i, f"and so it went, line {i} of it") for i in range(1, 150)] + [(1, 150, "Assistant: Done.")]
+    rows += [(None, 3, "User: alone?\nmore")] * 2 + [(None, None, None)]
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], "conv_id long, turn long, text string, own string, block string").repartition(3)
+    lines = chat_hmm.lines(df)
+    turns_ = chat_hmm.roles(lines, model).collect()
+    one = sorted((r.turn, r.n_lines, r.role) for r in turns_ if r.conv == 1)
+    ordered = sorted((r for r in lines.collect() if r.conv == 1), key=lambda r: (r.turn, r.pos))
+    assert one == [(t, n, role) for t, _, role, n, _ in recovered(model, ordered)] and sum(n for _, n, _ in one) == 151
+    bodies = {r.turn: r.text.split("\n") for r in turns_ if r.conv == 1}
+    assert [line for t in sorted(bodies) for line in bodies[t]][1:150] == [f"and so it went, line {i} of it" for i in range(1, 150)]
+    alone = [r for r in lines.collect() if r.conv is None and r.turn == 3 and r.own == min(x.own for x in lines.collect() if x.turn == 3 and x.conv is None)]
+    want = [(t, p, role, n) for t, p, role, n, _ in recovered(model, sorted(alone, key=lambda r: r.pos))] * 2
+    assert sorted((r.turn, r.pos, r.role, r.n_lines) for r in turns_ if r.conv is None and r.turn == 3) == sorted(want)
+    assert [r.text for r in turns_ if r.turn is None] == [""]

@@ -7,20 +7,24 @@ each recovered turn is rendered once, without its marker.
 
 A conversation is cut into blocks of ``TURNS`` source turns. A block becomes a matrix of best path scores from the state
 before it to its last state; the matrices are chained per conversation, one small row a block; then each block finds its
-path between the states it was given. No conversation is held whole, however long it is. A turn that runs over
-a block's end is rendered in parts, the later ones marked ``continued``.
+path between the states it was given. No conversation is held whole, however long it is; source turns that bear the same
+number lie in one block. The parts of a turn that runs over the ends of blocks are put together from the first and last
+spans of blocks alone, so the result does not depend on where blocks end. ``continued`` marks a turn that no opening line opens.
 
 Null texts are empty; a text without lines gives one blank line. Lines are ordered by turn (null first), position, text
-and, where all agree, are the same. A null conversation id is a conversation of its own. Empty tables give no rows.
+and, where all agree, are the same. A row without a conversation id is a conversation of its own. Empty tables give no rows.
+Columns are named by the caller; others are not read, so their names can't clash.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickframe.llm.common import settled
+
 ROLES = ["system", "user", "assistant"]
 #: States: a role's opening line, a role's further lines.
 STATES = [(role, opens) for role in ROLES for opens in (True, False)]
@@ -53,11 +57,18 @@ def observation(line: Column) -> Column:
 
 
 def lines(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn", text: str = "text", role: str | None = None) -> DataFrame:
-    """``conv``, ``turn``, ``pos``, ``line``, ``obs`` of every line; ``role`` too where it's known."""
+    """``conv``, ``own``, ``turn``, ``pos``, ``line``, ``obs`` of every line; ``role`` too where it's known.
+
+    ``own`` tells the rows without a conversation id apart, and is 0 for all others.
+    """
     known = [F.col(role).alias("role")] if role else []
     split = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
     out = rows.select(
-        F.col(conv_id).cast("long").alias("conv"), F.col(turn).cast("long").alias("turn"), *known, F.posexplode(split).alias("pos", "line")
+        F.col(conv_id).cast("long").alias("conv"),
+        F.when(F.col(conv_id).isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0)).alias("own"),
+        F.col(turn).cast("long").alias("turn"),
+        *known,
+        F.posexplode(split).alias("pos", "line"),
     )
     return out.withColumn("obs", observation(F.col("line")))
 
@@ -99,12 +110,16 @@ def fit(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn", text: str
     return Parameters(first, step, shown)
 
 
+_CONV = ["conv", "own"]
+_BLOCK = [*_CONV, "block"]
+
+
 def _blocked(of_line: DataFrame) -> DataFrame:
     block = F.expr(f"coalesce(turn, -1) div {TURNS}")
     return (
         of_line.withColumn("block", F.when(F.col("turn") < 0, F.lit(-1)).otherwise(block).cast("long"))
-        .repartition("conv", "block")
-        .sortWithinPartitions("conv", "block", "turn", "pos", "line")
+        .repartition(*_BLOCK)
+        .sortWithinPartitions(*_BLOCK, "turn", "pos", "line")
     )
 
 
@@ -153,7 +168,7 @@ def _boundaries(p: Parameters, blocks: DataFrame) -> DataFrame:
     """``before`` and ``last`` state of every block on its conversation's best path."""
 
     def chain(batches):
-        for table in _groups(batches, ["conv"]):
+        for table in _groups(batches, _CONV):
             matrices = np.frombuffer(b"".join(table["matrix"].to_pylist()), np.float64).reshape(-1, len(STATES), len(STATES))
             openings = np.frombuffer(b"".join(table["opening"].to_pylist()), np.float64).reshape(-1, len(STATES))
             score, back = openings[0], np.zeros((len(table), len(STATES)), np.int8)
@@ -166,39 +181,46 @@ def _boundaries(p: Parameters, blocks: DataFrame) -> DataFrame:
                 state = int(back[b, state])
             lasts = lasts[::-1]
             yield pa.RecordBatch.from_arrays(
-                [table["conv"].combine_chunks(), table["block"].combine_chunks(), pa.array([-1, *lasts[:-1]], pa.int32()), pa.array(lasts, pa.int32())],
-                names=["conv", "block", "before", "last"],
+                [*(table[c].combine_chunks() for c in _BLOCK), pa.array([-1, *lasts[:-1]], pa.int32()), pa.array(lasts, pa.int32())],
+                names=[*_BLOCK, "before", "last"],
             )
 
-    ordered = blocks.repartition("conv").sortWithinPartitions("conv", "block")
-    return ordered.mapInArrow(chain, "conv long, block long, before int, last int")
+    ordered = blocks.repartition(*_CONV).sortWithinPartitions(*_BLOCK)
+    return ordered.mapInArrow(chain, "conv long, own long, block long, before int, last int")
 
 
 def roles(of_line: DataFrame, p: Parameters) -> DataFrame:
     """Turns recovered from lines: ``conv``, ``turn`` and ``pos`` of the first line, ``role``, ``n_lines``, ``continued``, ``text``."""
 
     def matrices(batches):
-        for table in _groups(batches, ["conv", "block"]):
+        for table in _groups(batches, _BLOCK):
             obs = table["obs"].to_numpy()
             opening = _opened(p, obs)
             yield pa.RecordBatch.from_arrays(
-                [table["conv"].slice(0, 1).combine_chunks(), table["block"].slice(0, 1).combine_chunks(), pa.array([_matrix(p, obs).tobytes()], pa.binary()), pa.array([opening.tobytes()], pa.binary())],
-                names=["conv", "block", "matrix", "opening"],
+                [*(table[c].slice(0, 1).combine_chunks() for c in _BLOCK), pa.array([_matrix(p, obs).tobytes()], pa.binary()), pa.array([opening.tobytes()], pa.binary())],
+                names=[*_BLOCK, "matrix", "opening"],
             )
 
-    blocked = _blocked(of_line)
-    blocks = blocked.mapInArrow(matrices, "conv long, block long, matrix binary, opening binary")
-    bounds = _boundaries(p, blocks).withColumnsRenamed({"conv": "c", "block": "b"})
+    # Written once: what tells rows without an id apart must be the same in both passes.
+    blocked = _blocked(settled(of_line, "lines"))
+    blocks = blocked.mapInArrow(matrices, "conv long, own long, block long, matrix binary, opening binary")
+    bounds = _boundaries(p, blocks).withColumnsRenamed({"conv": "c", "own": "o", "block": "b"})
 
     def decode(batches):
-        for table in _groups(batches, ["conv", "block"]):
-            states = _path(p, table["obs"].to_numpy(), table["before"][0].as_py(), table["last"][0].as_py())
+        for table in _groups(batches, _BLOCK):
+            before = table["before"][0].as_py()
+            states = _path(p, table["obs"].to_numpy(), before, table["last"][0].as_py())
             text, turn, pos = (table[c].to_pylist() for c in ("body", "turn", "pos"))
-            opens = [0, *(i for i in range(1, len(states)) if STATES[states[i]][1] or states[i] // 2 != states[i - 1] // 2)]
+            opens = [0, *(i for i in range(1, len(states)) if _parts(states[i - 1], states[i]))]
             spans = list(zip(opens, [*opens[1:], len(states)]))
+            n = len(spans)
+            joins = before >= 0 and not _parts(before, states[0])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([table["conv"][0].as_py()] * len(spans), pa.int64()),
+                    *(pa.array([table[c][0].as_py()] * n, pa.int64()) for c in _BLOCK),
+                    pa.array(range(n), pa.int32()),
+                    pa.array([joins, *[False] * (n - 1)]),
+                    pa.array([*[False] * (n - 1), True]),
                     pa.array([turn[a] for a, _ in spans], pa.int64()),
                     pa.array([pos[a] for a, _ in spans], pa.int32()),
                     pa.array([STATES[states[a]][0] for a, _ in spans]),
@@ -206,15 +228,41 @@ def roles(of_line: DataFrame, p: Parameters) -> DataFrame:
                     pa.array([not STATES[states[a]][1] for a, _ in spans]),
                     pa.array(["\n".join(text[a:b]) for a, b in spans]),
                 ],
-                names=["conv", "turn", "pos", "role", "n_lines", "continued", "text"],
+                names=[*_BLOCK, "span", "joins", "ends", *_TURN],
             )
 
     marked = blocked.withColumn("body", F.regexp_replace("line", _ANY, ""))
-    joined = marked.join(bounds, (F.col("conv").eqNullSafe(F.col("c"))) & (F.col("block") == F.col("b"))).drop("c", "b")
-    ordered = joined.repartition("conv", "block").sortWithinPartitions("conv", "block", "turn", "pos", "line")
-    return ordered.drop("line").mapInArrow(
-        decode, "conv long, turn long, pos int, role string, n_lines long, continued boolean, text string"
+    same = F.col("conv").eqNullSafe(F.col("c")) & (F.col("own") == F.col("o")) & (F.col("block") == F.col("b"))
+    joined = marked.join(bounds, same).drop("c", "o", "b")
+    ordered = joined.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK, "turn", "pos", "line")
+    spans = ordered.drop("line").mapInArrow(
+        decode,
+        "conv long, own long, block long, span int, joins boolean, ends boolean, "
+        "turn long, pos int, role string, n_lines long, continued boolean, text string",
+    )
+    return _joined(settled(spans, "spans")).select("conv", *_TURN)
+
+
+_TURN = ["turn", "pos", "role", "n_lines", "continued", "text"]
+
+
+def _parts(one: int, other: int) -> bool:
+    """Whether a line in state ``other`` begins a new turn after one in state ``one``."""
+    return STATES[other][1] or other // 2 != one // 2
+
+
+def _joined(spans: DataFrame) -> DataFrame:
+    """Spans with those put together that ends of blocks cut; only first and last spans of blocks move."""
+    cut = F.col("joins") | F.col("ends")
+    order = Window.partitionBy(*_CONV).orderBy("block", "span").rowsBetween(Window.unboundedPreceding, 0)
+    numbered = spans.where(cut).withColumn("piece", F.sum((~F.col("joins")).cast("long")).over(order))
+    first = F.struct("block", "span", "turn", "pos", "role", "continued")
+    whole = (
+        numbered.groupBy(*_CONV, "piece")
+        .agg(F.min(first).alias("f"), F.sum("n_lines").alias("n_lines"), F.sort_array(F.collect_list(F.struct("block", "span", "text"))).alias("texts"))
+        .select(*_CONV, "f.turn", "f.pos", "f.role", "n_lines", "f.continued", F.array_join("texts.text", "\n").alias("text"))
     )
+    return spans.where(~cut).select(*_CONV, *_TURN).unionByName(whole)
 
 
 def _opened(p: Parameters, obs: np.ndarray) -> np.ndarray:
