@@ -313,7 +313,8 @@ def test_long_turns_are_whole(spark, monkeypatch, turns):
     assert one == [(t, n, role) for t, _, role, n, _ in recovered(model, ordered)] and sum(n for _, n, _ in one) == 151
     bodies = {r.turn: r.text.split("\n") for r in turns_ if r.conv == 1}
     assert [line for t in sorted(bodies) for line in bodies[t]][1:150] == [f"and so it went, line {i} of it" for i in range(1, 150)]
-    alone = [r for r in lines.collect() if r.conv is None and r.turn == 3 and r.own == min(x.own for x in lines.collect() if x.turn == 3 and x.conv is None)]
+    alone = [r for r in lines.collect() if r.conv is None and r.turn == 3]
+    alone = [r for r in alone if r.own == alone[0].own]
     want = [(t, p, role, n) for t, p, role, n, _ in recovered(model, sorted(alone, key=lambda r: r.pos))] * 2
     assert sorted((r.turn, r.pos, r.role, r.n_lines) for r in turns_ if r.conv is None and r.turn == 3) == sorted(want)
     assert [r.text for r in turns_ if r.turn is None] == [""]

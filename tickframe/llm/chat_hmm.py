@@ -62,14 +62,15 @@ def lines(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn", text: s
     ``own`` tells the rows without a conversation id apart, and is 0 for all others.
     """
     known = [F.col(role).alias("role")] if role else []
-    split = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
-    out = rows.select(
+    # Told before the lines are taken apart, or each line would be a row of its own.
+    told = rows.select(
         F.col(conv_id).cast("long").alias("conv"),
         F.when(F.col(conv_id).isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0)).alias("own"),
         F.col(turn).cast("long").alias("turn"),
         *known,
-        F.posexplode(split).alias("pos", "line"),
+        F.split(F.coalesce(F.col(text), F.lit("")), "\n").alias("lines"),
     )
+    out = told.select(*(c for c in told.columns if c != "lines"), F.posexplode("lines").alias("pos", "line"))
     return out.withColumn("obs", observation(F.col("line")))
 
 
