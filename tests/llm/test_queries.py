@@ -230,6 +230,41 @@ def test_no_source_strays_by_a_block(blocks):
             assert abs(sum(x < t for x in own) - t * blocks[s] / frame) < 1
 
 
+@pytest.mark.parametrize("weights", [{"a": 1.0, "b": 1e-5}, {"a": 0.6663, "b": 0.3337}, {f"s{i}": math.sqrt(3 + 7 * i) for i in range(60)}, {"a": 1.0, "b": 1e-9, "c": 2.0}])
+def test_targets_are_met_over_a_long_frame(weights):
+    """Less than a block away from the exact weights at every slot of a million, and of the weights given."""
+    counts = {s: 10**9 for s in weights}
+    slots = pfair._frame(weights, counts, pfair.FRAME, 16)
+    length = sum(len(own) for own in slots.values())
+    assert length >= pfair.FRAME and sorted(t for own in slots.values() for t in own) == list(range(length))
+    total = sum(max(w / sum(weights.values()), 1 / pfair.FRAME) for w in weights.values())
+    for s, own in slots.items():
+        share = max(weights[s] / sum(weights.values()), 1 / pfair.FRAME) / total
+        at, before = np.array(own), np.arange(len(own))
+        # Right before and right after each of its blocks a source strays furthest.
+        assert np.abs(before - at * share).max() < 1 and np.abs(before + 1 - (at + 1) * share).max() < 1
+
+
+def test_positions_against_a_loop(spark):
+    """Positions of the mix from the frame by hand: blocks of a source in turn, a frame after the other."""
+    from pyspark.sql import functions as F
+
+    rows = [(i if i % 3 else None, "abc"[min(i % 5, 2)], f"t{i}") for i in range(700)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    weights = {"a": 0.5, "b": 0.375, "c": 0.125}
+    got = pfair.mix(df, weights, frame=16, block=3).orderBy("mix_position").collect()
+    slots = pfair.schedule({"a": 4, "b": 3, "c": 1}, 16)
+    order = sorted((t + 16 * k, s, n + len(own) * k) for s, own in slots.items() for k in range(120) for n, t in enumerate(own))
+    left = {s: sum(r[1] == s for r in rows) for s in weights}
+    want = [(slot, s, j) for slot, s, j in order for _ in range(min(3, max(0, left[s] - 3 * j)))]
+    assert [(r.mix_slot, r.source, r.mix_block) for r in got] == want
+    hashes = df.select("source", "text", F.xxhash64("doc_id", "source", "text").alias("h")).collect()
+    sizes = collections.Counter(r.source for r in hashes)
+    assert all(n <= pfair.BUCKET for n in sizes.values())
+    for s in weights:
+        assert [r.text for r in got if r.source == s] == [r.text for r in sorted((r for r in hashes if r.source == s), key=lambda r: r.h)]
+
+
 def test_shares_sum_up():
     for weights in ({"a": 1.0, "b": 1e-9}, {"a": 5, "b": 3, "c": 2}, {str(i): 1 for i in range(7)}):
         got = pfair.shares(weights, 10)

@@ -1,19 +1,20 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Documents of a source are dealt into blocks. A frame has Q slots of one block each; a source of weight a/Q has a blocks in
-every frame, and its j-th block must go into the slots from floor((j - 1) * Q / a), its release, up to
-ceil(j * Q / a), its deadline. Earliest deadline first over the released blocks meets all deadlines, so at any
-slot a source is less than one block away from its target. The schedule repeats with the frame: the driver
-works out one frame, whose length is a parameter, and each document finds its slot by arithmetic.
+Documents of a source are dealt into blocks, one block a slot. The j-th block of a source of share u must go into the slots
+from floor((j - 1) / u), its release, up to ceil(j / u), its deadline; shares are taken as they are, to 2^-52.
+Earliest deadline first over the released blocks meets all deadlines, so at any slot of a frame a source is less than one
+block away from its target. Frames repeat: the driver works out one of ``FRAME`` slots (a shorter one where all blocks
+fit), and each document finds its slot by arithmetic. A share under 1 / ``FRAME`` counts as that much; beyond the first
+frame the deviation can grow by less than a block a frame.
 
 Documents are numbered within their source without sorting a source in one task: hash buckets of about ``BUCKET``
 documents are numbered each for itself and shifted by the counts of the buckets before. The order within a source is so
-a fixed shuffle. No document is dropped: where a source has run out, its slots stay empty, and ``on_target`` is false
-from the first empty slot on.
+a fixed shuffle, by the whole row: null and repeated ids spread like others. No document is dropped: where a source has run
+out, its slots stay empty, and ``on_target`` is false from the first empty slot on.
 
-A null source is a source of its own; repeated rows and null ids take places of their own (between rows that repeat id
-and text, either order is the same result). Sources without a weight given are refused, sources without
-documents only leave their slots empty.
+A null source is a source of its own; repeated rows take places of their own (between equal rows, either order is the
+same result). Sources without a weight given are refused, sources without documents only leave their slots empty. Columns
+that bear the name of a result are replaced, all others stay.
 """
 
 from __future__ import annotations
@@ -23,9 +24,12 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-FRAME, BLOCK, BUCKET = 1000, 16, 4096
+FRAME, BLOCK, BUCKET = 1 << 20, 16, 4096
+#: Parts that shares are counted in.
+_WHOLE = 1 << 52
 #: Sources that a mix may name; the driver holds one row for each.
 MOST_SOURCES = 100_000
 
@@ -49,24 +53,34 @@ def shares(weights: dict, frame: int) -> dict:
     return out
 
 
-def schedule(blocks: dict) -> dict:
-    """The slots of one frame that each source gets, by earliest deadline first."""
-    frame = sum(blocks.values())
-    waiting = [(0, -(-frame // a), str(s), s, 1) for s, a in blocks.items()]
+def schedule(parts: dict, length: int | None = None) -> dict:
+    """The first ``length`` slots, by source, by earliest deadline first; shares are ``parts`` of their sum (which is the default)."""
+    whole = sum(parts.values())
+    length = whole if length is None else length
+    waiting = [(0, -(-whole // a), str(s), s, 1) for s, a in parts.items()]
     heapq.heapify(waiting)
     ready: list[tuple] = []
-    slots: dict = {s: [] for s in blocks}
-    for t in range(frame):
+    slots: dict = {s: [] for s in parts}
+    for t in range(length):
         while waiting and waiting[0][0] <= t:
             _, deadline, tie, s, j = heapq.heappop(waiting)
             heapq.heappush(ready, (deadline, tie, j, s))
         deadline, tie, j, s = heapq.heappop(ready)
         slots[s].append(t)
-        if j < blocks[s]:
-            heapq.heappush(waiting, (j * frame // blocks[s], -(-(j + 1) * frame // blocks[s]), tie, s, j + 1))
+        heapq.heappush(waiting, (j * whole // parts[s], -(-(j + 1) * whole // parts[s]), tie, s, j + 1))
     return slots
 
 
+def _frame(target: dict, counts: dict, frame: int, block: int) -> dict:
+    """Slots of one frame by source, one at least for each."""
+    total = math.fsum(target.values())
+    parts = shares({s: max(w / total, 1 / frame) for s, w in target.items()}, _WHOLE)
+    # No longer than it takes all sources to run out.
+    needed = max(-(-counts.get(s, 0) // block) * _WHOLE // a for s, a in parts.items()) + 1
+    least = -(-_WHOLE // min(parts.values()))
+    return schedule(parts, max(min(frame, needed), least))
+
+
 def mix(
     docs: DataFrame, weights: dict | None = None, frame: int = FRAME, block: int = BLOCK, source: str = "source", doc_id: str = "doc_id"
 ) -> DataFrame:
@@ -78,7 +92,8 @@ def mix(
     spark = docs.sparkSession
     kept = [c for c in docs.columns if c not in {*_NEW, *_OWN}]
     name = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("null"))
-    named = docs.select(*kept, name.alias("_s"), F.xxhash64(F.col(doc_id)).alias("_h"))
+    told = [F.col(f"`{f.name}`") for f in docs.select(*(f"`{c}`" for c in kept)).schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    named = docs.select(*(F.col(f"`{c}`") for c in kept), name.alias("_s"), F.xxhash64(*told).alias("_h"))
     counts = {r._s: r.n for r in named.groupBy("_s").agg(F.count("*").alias("n")).limit(MOST_SOURCES + 1).collect()}
     if len(counts) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources; group them first")
@@ -90,8 +105,8 @@ def mix(
             raise ValueError(f"no weight for sources {sorted(missing)[:5]}")
     if not target:
         target = {"null": 1.0}
-    per_frame = shares(target, max(frame, len(target)))
-    slots = schedule(per_frame)
+    slots = _frame(target, counts, max(frame, len(target)), block)
+    per_frame = {s: len(own) for s, own in slots.items()}
     length = sum(per_frame.values())
 
     def slot(s: str, j: int) -> int:
