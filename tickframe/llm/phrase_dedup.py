@@ -16,6 +16,8 @@ suffixes in the dictionary of distinct phrases, and the parse itself only counts
    neighbours are repeats. Blocks over ``HOT`` phrases send their windows through a shuffle instead of meeting in a task.
 4. The repeated windows come together per document and their union is cut out.
 
+Blocks and phrases that hold many rows, as those of a common passage do, are salted before they are joined.
+
 Null texts count as empty. Rows that repeat id and text share one key: a text of ``LENGTH`` bytes or more in such rows
 occurs more than once and goes from all of them. Keys are 64-bit digests of bytes (two texts of a key would have to
 collide as well to be mistaken).
@@ -31,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import buffers, document_keys, mixed, row_sums, settled, signed, slices
+from tickframe.llm.common import buffers, document_keys, mixed, row_sums, salted_join, settled, signed, slices
 
 LENGTH, SPREAD = 200, 160
 #: Bytes of the rolling hash.
@@ -226,15 +228,15 @@ def _hot_runs(hot: DataFrame) -> DataFrame:
 
 def repeated_windows(keyed: DataFrame, hot: int = HOT) -> DataFrame:
     """``k1``, ``k2``, ``first``, ``n``: runs of window starts whose ``LENGTH`` bytes also start elsewhere."""
-    parsed = parse(keyed)
-    blocks = parsed.groupBy("block").agg(F.count("*").alias("c")).where("c > 1").select("block")
-    shared = settled(parsed.join(blocks, "block"), "phrases")
+    parsed, place = parse(keyed), F.xxhash64("k1", "k2", "first")
+    blocks = settled(parsed.groupBy("block").agg(F.count("*").alias("rows")).where("rows > 1"), "blocks")
+    shared = settled(salted_join(parsed, blocks, ["block"], "rows", place).drop("rows"), "phrases")
     dictionary = settled(shared.groupBy("block", "phrase").agg(F.count("*").alias("copies")), "dictionary")
-    repeated = shared.join(dictionary.where("copies > 1"), ["block", "phrase"]).select("k1", "k2", "first", "n")
+    repeated = salted_join(shared, dictionary.where("copies > 1"), ["block", "phrase"], "copies", place).select("k1", "k2", "first", "n")
 
-    rims = dictionary.groupBy("block").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    rims = settled(rims.select("block", (F.col("kinds") > hot).alias("hot")), "rims")
-    distinct = shared.join(rims, "block").groupBy("block", "phrase").agg(*(F.first(c).alias(c) for c in ("k1", "k2", "first", "n", "at", "hot")))
+    rims = dictionary.groupBy("block").agg(F.count("*").alias("kinds"), F.sum("copies").alias("rows")).where("kinds > 1")
+    rims = settled(rims.select("block", "rows", (F.col("kinds") > hot).alias("hot")), "rims")
+    distinct = salted_join(shared, rims, ["block"], "rows", place).groupBy("block", "phrase").agg(*(F.first(c).alias(c) for c in ("k1", "k2", "first", "n", "at", "hot")))
     wanted = distinct.groupBy("k1", "k2").agg(
         F.collect_list(F.struct("block", "phrase", "first", "n", "at", "hot")).alias("wanted")
     )
