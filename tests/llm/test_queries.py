@@ -145,7 +145,9 @@ def kneser_ney_scores(docs):
 
     def discounts(values):
         of = collections.Counter(min(x, 5) for x in values)
-        return kneser_ney._discounts(*(of[i] for i in (1, 2, 3, 4)))
+        n = [None, *(of[i] for i in (1, 2, 3, 4))]
+        y = n[1] / (n[1] + 2 * n[2])
+        return [0.0] + [min(max(k - (k + 1) * y * n[k + 1] / n[k], 0.05), k) for k in (1, 2, 3)]
 
     d2, d1 = discounts(pairs.values()), discounts(before.values())
     kinds = collections.Counter(min(x, 3) for x in before.values())
@@ -183,30 +185,40 @@ def test_kneser_ney(spark, docs, monkeypatch, sizes):
     assert sum(r.score for r in held_out) > sum(r.base_score for r in held_out)
 
 
-def test_leaks(spark, docs):
-    """Every text against every item in full, without seeds."""
-    import pyarrow as pa
+PUNCTUATION = re.compile(r"[!\"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~\x20\x09-\x0D]+")
 
-    from tickframe.llm import decontam
-    from tickframe.llm.common import Words
 
-    numbers = {}
+def plain_words(text):
+    return [w for w in PUNCTUATION.split((text or "").translate(LOWER)) if w]
+
 
-    def tokens(text):
-        words = Words(pa.array([text or ""], pa.large_string()), lower=True, space=decontam._BREAK).words.to_pylist()
-        return np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int64)
+def smith_waterman(item, text):
+    """Best local score of two lists of word numbers: 2 for a match, -1 for a mismatch or a gap."""
+    text, best = np.array(text, np.int64), 0
+    above, steps = np.zeros(len(text) + 1, np.int64), np.arange(len(text) + 1)
+    for word in item:
+        row = np.maximum(above - 1, 0)
+        row[1:] = np.maximum(row[1:], above[:-1] + np.where(text == word, 2, -1))
+        # A gap along the text costs one a word: the running maximum of the values raised by their place.
+        above = np.maximum.accumulate(row + steps) - steps
+        best = max(best, int(above.max()))
+    return best
 
-    items = [(i, tokens(t)) for i, t in duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall()]
+
+def test_leaks(spark, docs):
+    """Every text against every item in full, without seeds."""
+    numbers = {}
+    number = lambda text: [numbers.setdefault(w, len(numbers)) for w in plain_words(text)]
+    items = [(i, number(t)) for i, t in duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall()]
     want = {}
-    for d, text in docs[::2]:
-        own = tokens(text)
+    for d, text in docs:
+        own = number(text)
         for i, item in items:
-            share = decontam.align(item, own)[0] / (2 * len(item))
-            if share >= decontam.THRESHOLD:
+            share = smith_waterman(item, own) / (2 * len(item)) if own and item else 0
+            if share >= 0.5:
                 want[d, i] = share
-    chosen = {d for d, _ in docs[::2]}
-    got = {(r.doc_id, r.item_id): r.score for r in plans.op6_decontamination(spark, SF).collect() if r.doc_id in chosen}
-    assert got == pytest.approx(want)
+    got = {(r.doc_id, r.item_id): r.score for r in plans.op6_decontamination(spark, SF).collect()}
+    assert got == pytest.approx(want) and got
 
 
 def test_mixing(spark):
@@ -271,6 +283,63 @@ def test_shares_sum_up():
         assert sum(got.values()) == 10 and min(got.values()) >= 1
 
 
+def splitmix(x):
+    x = (x + 0x9E3779B97F4A7C15) % (1 << 64)
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) % (1 << 64)
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) % (1 << 64)
+    return x ^ (x >> 31)
+
+
+def test_importance_weights(spark, docs):
+    """Weights, keys and the sample from plain dictionaries of hashed words, word pairs and word beginnings."""
+    from pyspark.sql import functions as F
+
+    from tickframe.llm import importance
+    from tickframe.llm.common import document_keys
+
+    digest = lambda w: xxhash.xxh3_64_intdigest(w.encode())
+    bucket = lambda h: h % importance.BUCKETS
+
+    def features(text):
+        words = WORD.findall((text or "").translate(LOWER))
+        stems = [bucket(splitmix(digest(w[: importance.STEM]))) for w in words]
+        pairs = [bucket(splitmix(digest(a) ^ splitmix(digest(b)))) for a, b in zip(words, words[1:])]
+        return stems, stems + [bucket(digest(w)) for w in words] + pairs
+
+    labels = duckdb.sql(f"SELECT doc_id, quality, toxic FROM '{SF}/labels.parquet' WHERE doc_id IS NOT NULL AND quality IS NOT NULL").fetchall()
+    good = {d for d, q, t in labels if q == 1 and t != 1}
+    toxic = {d for d, q, t in labels if q == 1 and t == 1}
+    g, t = (sum(d in kind for d, *_ in labels) / len(labels) for kind in (good, toxic))
+    of = {d: features(x) for d, x in docs}
+    raw, target, stems, bad = (collections.Counter() for _ in range(4))
+    for d, (own, every) in of.items():
+        raw.update(every)
+        target.update(every if d in good else ())
+        stems.update(own if d in good else ())
+        bad.update(own if d in toxic else ())
+    scale, bad_scale = sum(target.values()) / sum(raw.values()), sum(bad.values()) / max(1, sum(stems.values()))
+    against_raw = lambda f: math.log((target[f] + importance.SHRINK) / (raw[f] * scale + importance.SHRINK))
+
+    def against_toxic(f):
+        ratio = math.log((stems[f] * bad_scale + importance.TOXIC_SHRINK) / (bad[f] + importance.TOXIC_SHRINK))
+        return ratio if ratio < importance.DECISIVE else 0.0
+
+    def weight(d):
+        low, high = sum(map(against_raw, of[d][1])), sum(map(against_toxic, of[d][0]))
+        parts = [math.log(max(g, 1e-9)), math.log(max(1 - g - t, 1e-9)) - low, math.log(max(t, 1e-9)) - high]
+        top = max(parts)
+        return -(top + math.log(sum(math.exp(p - top) for p in parts)))
+
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    noise = {r.doc_id: r.h % (1 << 64) for r in table.select("doc_id", F.xxhash64(*document_keys(), F.lit(importance.SEED)).alias("h")).collect()}
+    keys = {d: weight(d) - math.log(-math.log(((noise[d] >> 11) + 0.5) / (1 << 53))) for d in of}
+    got = {r.doc_id: r for r in plans.op8_importance(spark, SF).collect()}
+    assert {d: r.log_weight for d, r in got.items()} == pytest.approx({d: weight(d) for d in of}, abs=1e-6)
+    assert {d: r.key for d, r in got.items()} == pytest.approx(keys, abs=1e-6)
+    k = round(len(docs) * min(1.0, g + importance.TOLERANCE))
+    assert {d for d, r in got.items() if r.kept} == set(sorted(keys, key=keys.get, reverse=True)[:k])
+
+
 def test_importance_keeps_good_texts(spark):
     sf = "/root/testdata/sf0.01"
     labels = {r.doc_id: (r.quality, r.toxic) for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
