@@ -300,6 +300,21 @@ def test_language_model(docs, none):
     assert nothing.n_tokens == 1 and nothing.score < 0
 
 
+def test_counts_of_any_width(tmp_path):
+    """Pairs counted beyond 32 bits keep their counts, beside a shard whose counts fit."""
+    model = kneser_ney.Model(str(tmp_path))
+    for shard, counts in ((0, np.array([5, 7], np.uint32)), (1, np.array([3, 1 << 40], np.int64))):
+        kneser_ney._write(str(tmp_path), f"pairs-{shard}", np.array([10, 20]))
+        kneser_ney._write(str(tmp_path), f"pairs-{shard}.n", counts)
+    keys, shards = np.array([20, 10, 20, 15, 10]), np.array([1, 0, 0, 1, 1])
+    assert model._looked_up(keys, shards, "pairs")[1].tolist() == [1 << 40, 5, 7, 0, 3]
+
+
+def test_published_policies():
+    """Policies by their bits: a new rule changes none of them."""
+    assert rule_ledger.POLICIES == {"base": 0b11, "v1": 0b1111111, "v2": 0b1111111111}
+
+
 def test_chat(spark):
     rows = [(1, 0, "user", "User: hi?"), (1, 1, "assistant", "AI: hello\nthere"), (None, None, None, None), (2, 0, "user", ""), (2, 0, "user", ""), (1, 2, "other", "odd")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")

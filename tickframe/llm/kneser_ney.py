@@ -193,7 +193,8 @@ class Model:
             hit = at < len(have)
             hit[hit] = have[at[hit]] == keys[own][hit]
             place[own[hit]] = at[hit] + (self.word_starts[shard] if name == "words" else 0)
-            counts[own[hit]] = _mapped(f"{path}.n", "<i8" if name == "words" else "<u4")[at[hit]]
+            wide = os.path.getsize(f"{path}.n") == 8 * len(have)
+            counts[own[hit]] = _mapped(f"{path}.n", "<i8" if wide else "<u4")[at[hit]]
         return place, counts
 
     def column(self, name: str, ids: np.ndarray) -> np.ndarray:
@@ -351,7 +352,8 @@ def _count_pairs(docs: DataFrame, text: str, model: Model) -> None:
         """Write each shard; send on, by word: different words before it (0), and its pairs counted 1, 2, more (1 to 3)."""
         for shard, keys, counts in merged(batches):
             _write(folder, f"pairs-{shard}", keys)
-            _write(folder, f"pairs-{shard}.n", counts.astype(np.uint32))
+            # Half the width where no count needs more; the file's size tells.
+            _write(folder, f"pairs-{shard}.n", counts.astype(np.uint32 if counts.max(initial=0) < 1 << 32 else np.int64))
             one, two = keys >> np.int64(32), keys & np.int64(0xFFFFFFFF)
             sent, many = np.unique(np.concatenate((two * 4, one * 4 + np.minimum(counts, 3))), return_counts=True)
             yield packed(sent, many, sent // 4 // STRETCH)
