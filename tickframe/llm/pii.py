@@ -115,10 +115,13 @@ def _confirmed(kind: str, match: Column) -> Column:
 
 def _spans(kind: str) -> list[tuple[str, Column]]:
     """Columns to add in turn; the last is the array of the kind's confirmed spans with their scores."""
-    pattern = F.lit(PATTERNS[kind])
+    match = F.regexp_extract_all("_text", F.lit(PATTERNS[kind]), F.lit(0))
+    if PRIOR[kind] < KEEP:
+        # Nothing of this kind counts without a context word, so texts that hold none are not searched.
+        match = F.when(F.col("_lower").rlike(CONTEXT[kind].replace(r"\w*", "")), match).otherwise(F.array().cast("array<string>"))
     some = F.size("_match") > 0
     steps = [
-        ("_match", F.regexp_extract_all("_text", pattern, F.lit(0))),
+        ("_match", match),
         ("_piece", F.when(some, F.split(F.col("_text"), PATTERNS[kind], -1))),
         # How far each match lies behind the one before: that match's length and the piece between.
         (
@@ -168,7 +171,7 @@ def _spans(kind: str) -> list[tuple[str, Column]]:
 def find(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``pii``: array of (start, end, kind, score) in order of start and kind."""
     keep = [c for c in docs.columns if c != "pii"]
-    out = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    out = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text")).withColumn("_lower", F.lower("_text"))
     for kind in KINDS:
         for name, column in _spans(kind):
             out = out.withColumn(name, column)
