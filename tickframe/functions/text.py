@@ -22,6 +22,9 @@ BLANKS = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+# Runs of spaces and tabs. They become one space; a single space, which is one already, is left alone.
+BLANK_RUN = r"\t[ \t]*| [ \t]+"
+
 # Fixed noise patterns, in the order they are applied: (pattern that must occur, pattern, replacement). The
 # first entry is a cheap test that spares most texts the costly scan; empty means none.
 NOISE = [
@@ -31,7 +34,7 @@ NOISE = [
     ("F", rf"(?U)\bF{_BLANK}*-{_BLANK}*\d+\b", " "),
     ("-", rf"(?U)-{_BLANK}*\d+{_BLANK}*-", " "),
     ("", rf"(?Umd)^{_BLANK}*\d+{_BLANK}*$", ""),
-    ("", r"\t[ \t]*| [ \t]+", " "),
+    ("", BLANK_RUN, " "),
     ("\n", rf"(?U)\n{_BLANK}*\n{_BLANK}*", "\n\n"),
     ("\n", r"(?<!\n)\n(?!\n)", " "),
 ]
@@ -44,7 +47,7 @@ def strip(text: Column) -> Column:
 
 def normalize_whitespace(text: Column) -> Column:
     """Trim, one blank per run of spaces and tabs, at most one empty line between paragraphs."""
-    spaced = F.regexp_replace(strip(text), r"\t[ \t]*| [ \t]+", " ")
+    spaced = F.regexp_replace(strip(text), BLANK_RUN, " ")
     return strip(F.regexp_replace(spaced, rf"(?U)\n{_BLANK}*\n{_BLANK}*\n{_BLANK}*", "\n\n"))
 
 

@@ -120,7 +120,7 @@ def history_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     name = F.when(F.col("o_orderkey") % 10 == 0, F.concat("ticker", F.lit("_"), fid.folder(F.col("fidelity")), F.lit("_DEBUG.csv")))
     files = hist.with_file_name(orders).select(
-        F.concat_ws("/", F.lit("s3://lake/history"), "ticker", fid.folder(F.col("fidelity")), F.coalesce(name, "file_name")).alias("path"),
+        F.concat_ws("/", F.lit("/lake/history"), "ticker", fid.folder(F.col("fidelity")), F.coalesce(name, "file_name")).alias("path"),
         F.col("o_orderkey").alias("length"),
     )
     parsed = hist.parse_inventory(files)
