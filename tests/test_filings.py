@@ -7,6 +7,7 @@ from tickframe import fixed
 from tickframe.functions import text as tx
 from tickframe.functions.html import html_to_blocks, html_to_text
 from tickframe.operators import consolidate, filings, segment
+from tickframe.plans import filings as plans
 
 LONG = "x" * 60
 
@@ -256,3 +257,10 @@ def test_formatted_and_html_documents(spark):
     assert page.count("filing-divider\"") == 2
     assert page.index("<h2>") < page.index('<div class="filing-divider">')
     assert page.index("S2") < page.index("S5") < page.index("S1") < page.index("S3")
+
+
+def test_texts_to_segment_are_dealt_and_cut_once(spark):
+    """No union under the join by document, which Spark may take for dealt by that key, and none of two segmentations."""
+    found = plans.segmented_records(spark, "/root/testdata/sf0.001")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("ArrowEvalPython") == 1

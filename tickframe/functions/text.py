@@ -45,9 +45,14 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(BLANKS))
 
 
+def _single_blanks(text: Column) -> Column:
+    """One blank per run of spaces and tabs; a text with neither a tab nor two spaces together has no run."""
+    return F.when(text.contains("\t") | text.contains("  "), F.regexp_replace(text, BLANK_RUN, " ")).otherwise(text)
+
+
 def normalize_whitespace(text: Column) -> Column:
     """Trim, one blank per run of spaces and tabs, at most one empty line between paragraphs."""
-    spaced = F.regexp_replace(strip(text), BLANK_RUN, " ")
+    spaced = _single_blanks(strip(text))
     return strip(F.regexp_replace(spaced, rf"(?U)\n{_BLANK}*\n{_BLANK}*\n{_BLANK}*", "\n\n"))
 
 
@@ -78,6 +83,9 @@ def unescape_nfkc_all(texts: Column) -> Column:
 
 
 def _step(guard: str, pattern: str, replacement: str):
+    if pattern == BLANK_RUN:
+        return _single_blanks
+
     def apply(text: Column) -> Column:
         replaced = F.regexp_replace(text, pattern, replacement)
         return F.when(text.rlike(guard), replaced).otherwise(text) if guard else replaced

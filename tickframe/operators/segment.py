@@ -32,7 +32,8 @@ SIGNATURES = rf"(?Uid)\n{_B}*SIGNATURES{_B}*\n"
 
 
 def _unmarked(text: Column) -> Column:
-    return F.translate(F.coalesce(text, F.lit("")), _MARK + _CODE_END, "")
+    # Not ``translate``, which looks up every character.
+    return F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit(_MARK), F.lit("")), F.lit(_CODE_END), F.lit(""))
 
 
 def _start_pieces(clean: Column) -> Column:
@@ -46,14 +47,16 @@ def _from_start(pieces: Column, family: Column) -> Column:
     return F.array_join(F.slice(pieces, F.coalesce(skipped, F.lit(0)) + 1, F.size(pieces)), "")
 
 
-def with_body(df: DataFrame, text: str, form: str, out: str = "body") -> DataFrame:
+def with_body(df: DataFrame, text: str, form: str, out: str = "body", whole: Column | None = None) -> DataFrame:
     """Add the text from the start of the body on.
 
     Annual and quarterly reports start at the second ``PART I`` / ``Item 1`` line when that follows the first
-    within 5,000 characters (the first is then a contents list), else at the first; other forms start at 0.
+    within 5,000 characters (the first is then a contents list), else at the first; other forms start at 0, and so do
+    rows where ``whole`` holds, whose start isn't looked for.
     """
     family = F.coalesce(form_family(F.col(form)), F.lit(""))
-    pieces = F.when(family.isin("10-K", "10-Q"), _start_pieces(_unmarked(F.col(text)))).otherwise(
+    sought = family.isin("10-K", "10-Q")
+    pieces = F.when(sought if whole is None else sought & ~whole, _start_pieces(_unmarked(F.col(text)))).otherwise(
         F.array(_unmarked(F.col(text)))
     )
     return df.withColumn("_pieces", pieces).withColumn(out, _from_start(F.col("_pieces"), family)).drop("_pieces")
@@ -91,43 +94,45 @@ def with_parts(filings: DataFrame, text: str = "text", form: str = "form_type")
     is nothing to tell its parts' items apart by; if only one part has none, that part stays a row too.
     """
     quarterly = F.coalesce(form_family(F.col(form)) == "10-Q", F.lit(False))
-    body = with_body(filings, text, form, "_body")
-    halves = F.split(F.regexp_replace("_body", PART_TWO, _MARK + "$0"), _MARK, 2)
-    first = F.struct(F.lit(1).alias("part"), F.get(halves, F.lit(0)).alias("text"))
-    second = F.struct(F.lit(2).alias("part"), F.replace(F.get(halves, F.lit(1)), F.lit(_MARK), F.lit("")).alias("text"))
+    told = filings.withColumn("_whole", F.when(quarterly, F.col(text)))
+    halves = F.when(quarterly, F.split(F.regexp_replace("_body", PART_TWO, _MARK + "$0"), _MARK, 2))
+    body = with_body(told, "_whole", form, "_body", ~quarterly).withColumn("_halves", halves)
+    first = F.struct(F.lit(1).alias("part"), F.get("_halves", F.lit(0)).alias("text"))
+    second = F.struct(F.lit(2).alias("part"), F.replace(F.get("_halves", F.lit(1)), F.lit(_MARK), F.lit("")).alias("text"))
     whole = F.struct(F.lit(None).cast("int").alias("part"), F.col(text).alias("text"))
     split = F.when(quarterly, F.filter(F.array(first, second), lambda p: p["text"].isNotNull())).otherwise(F.array(whole))
     # Told here, while the text is at hand, so that no row is read again.
     kept = F.when(F.exists("_split", lambda p: p["part"].isNull() | p["text"].rlike(ANNUAL_HEADING)), F.col("_split")).otherwise(F.array(whole))
     rows = body.withColumn("_split", split).withColumn("_part", F.explode(kept))
-    return rows.withColumn(text, F.col("_part.text")).withColumn("part", F.col("_part.part")).drop("_part", "_split", "_body")
+    return rows.withColumn(text, F.col("_part.text")).withColumn("part", F.col("_part.part")).drop("_part", "_split", "_body", "_halves", "_whole")
 
 
 def segment_by_parts(filings: DataFrame, text: str = "text", form: str = "form_type") -> DataFrame:
     """:func:`segment_filings` with quarterly reports cut in their parts first, and ``part``; no text is lost.
 
-    Reports and parts without item headings give their whole text as one section.
+    Reports and parts without item headings give their whole text as one section. Parts and other rows go through together, so
+    that each text is read once.
     """
-    parts = with_parts(filings, text, form)
-    inside = segment_filings(parts.filter("part IS NOT NULL"), text, form, minimum=1)
-    return inside.unionByName(segment_filings(parts.filter("part IS NULL"), text, form))
+    return segment_filings(with_parts(filings, text, form), text, form, minimum=F.when(F.col("part").isNotNull(), 1))
 
 
 def segment_filings(
-    filings: DataFrame, text: str = "text", form: str = "form_type", minimum: int | None = None
+    filings: DataFrame, text: str = "text", form: str = "form_type", minimum: int | Column | None = None
 ) -> DataFrame:
     """One row per (filing, section) with ``position``, ``section``, ``text``; other columns are kept.
 
     A filing with fewer headings than its form needs, or of another form, gives its whole cleaned text up to the
     signature line as one section. Empty sections are dropped. Every step is a column of the same row; steps used
     more than once are columns of their own, so that none is computed twice. ``minimum`` stands in for the form's own
-    number of headings, for parts of filings, whose text already starts with the body.
+    number of headings, for parts of filings, whose text already starts with the body; as a column it does so where it
+    isn't null.
     """
     keep = [name for name in filings.columns if name != text]
     family = F.col("_family")
+    least = minimum if isinstance(minimum, Column) else F.lit(minimum).cast("int")
     needed = F.lit(None).cast("int")
     for name, own in fixed.MIN_HEADINGS.items():
-        needed = F.when(family == name, own if minimum is None else minimum).otherwise(needed)
+        needed = F.when(family == name, F.coalesce(least, F.lit(own))).otherwise(needed)
     segmented = F.col("_segmented")
     none = F.array().cast("array<string>")
     # A found piece is the item number, the end mark and the text up to the next heading.
@@ -135,7 +140,7 @@ def segment_filings(
     tails = F.transform("_found", lambda piece: F.substring_index(piece, _CODE_END, -1))
     named = filings.withColumn("_family", form_family(F.col(form)))
     cut = (
-        (with_body(named, text, form, "_body") if minimum is None else named.withColumn("_body", _unmarked(F.col(text))))
+        with_body(named, text, form, "_body", None if minimum is None else least.isNotNull())
         .withColumn("_split", F.split(_marked(F.col("_body"), family), _MARK))
         .withColumn("_found", F.coalesce(F.slice("_split", 2, F.size("_split")), none))
         .withColumn("_segmented", F.coalesce(F.size("_found") >= needed, F.lit(False)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickframe import fixed
@@ -130,49 +130,53 @@ def section_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _parted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents of :func:`_headed`; quarterly ones hold their lines once in each part, under the part's own numbers."""
+def _quarterly_text() -> Column:
+    """The lines of a document once in each part, under the part's own numbers."""
     lines = F.split("text", "\n")
     one = F.transform(lines, lambda line, i: F.concat(F.lit("Item "), i % 4 + 1, F.lit(". "), line))
     two = F.transform(lines, lambda line, i: F.concat(F.lit("Item 1"), F.get(F.array(F.lit(""), F.lit("A")), i % 2), F.lit(". "), line))
-    quarterly = F.concat(
+    return F.concat(
         F.lit("PART I\n"), F.array_join(one, "\n"), F.lit("\nPART II\n"), F.array_join(two, "\n"), F.lit("\n\nSIGNATURES\n\nSigned.")
     )
-    plain = _headed(spark, sf_dir)
-    docs = bd.texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.expr(bd.FORM).alias("form_type"), quarterly.alias("text"))
-    is_quarterly = F.coalesce(fx.form_family(F.col("form_type")) == "10-Q", F.lit(False))
-    return plain.filter(~is_quarterly).unionByName(docs.filter(is_quarterly))
+
+
+def _parted_text() -> Column:
+    """Texts of :func:`_headed`; quarterly ones hold their lines once in each part.
+
+    One expression over one scan: a union of two would deal the texts by key twice, and Spark may take such a union for dealt by
+    that key in the join that follows, while adaptive execution has given its sides different numbers of partitions.
+    """
+    return F.when(fx.form_family(F.expr(bd.FORM)) == "10-Q", _quarterly_text()).otherwise(_headed_text())
+
+
+def _documents_with(spark: SparkSession, sf_dir: str, text: Column) -> DataFrame:
+    """Documents under ``text``, with form, accession number and ticker."""
+    docs = bd.texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.expr(bd.FORM).alias("form_type"), text.alias("text"))
+    return docs.join(bd.filings(spark, sf_dir, "doc_id").select("doc_id", F.col("accessionNo").alias("accession_number"), "ticker"), "doc_id")
 
 
 def segmented_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Section records whose texts come from the segmenter, quarterly reports by their parts."""
-    documents = _parted(spark, sf_dir).join(
-        bd.filings(spark, sf_dir, "doc_id").select("doc_id", F.col("accessionNo").alias("accession_number"), "ticker"), "doc_id"
-    )
+    documents = _documents_with(spark, sf_dir, _parted_text())
     texts = fil.texts_from_segments(seg.segment_by_parts(documents))
     once = fil.dedupe_filings(bd.filings(spark, sf_dir), ["linkToTxt"])
     found = fil.section_records(fil.filing_sections(fil.base_records(once, _now())), texts)
     return found.select("accession_number", "section_id", "text")
 
 
-def _partly_headed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents of :func:`_parted`; of its quarterly ones every fourth has no headings, and every fourth none in Part II."""
+def _partly_headed_text() -> Column:
+    """Texts of :func:`_parted_text`; of the quarterly ones every fourth has no headings, and every fourth none in Part II."""
     lines = F.split("text", "\n")
     items = F.array_join(F.transform(lines, lambda line, i: F.concat(F.lit("Item "), i % 4 + 1, F.lit(". "), line)), "\n")
     notes = F.array_join(F.transform(lines, lambda line: F.concat(F.lit("Note. "), line)), "\n")
     first = F.when(F.col("doc_id") % 12 == 1, notes).otherwise(items)
     text = F.concat(F.lit("PART I\n"), first, F.lit("\nPART II\n"), notes, F.lit("\n\nSIGNATURES\n\nSigned."))
-    odd = F.col("doc_id") % 6 == 1
-    docs = bd.texts(spark, sf_dir, "documents", "doc_id", "text").filter(odd)
-    return _parted(spark, sf_dir).filter(~odd).unionByName(docs.select("doc_id", F.expr(bd.FORM).alias("form_type"), text.alias("text")))
+    return F.when(F.col("doc_id") % 6 == 1, text).otherwise(_parted_text())
 
 
 def segmented_wholes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Section records with, as records of their own, the texts of filings and parts that have no or too few headings."""
-    documents = _partly_headed(spark, sf_dir).join(
-        bd.filings(spark, sf_dir, "doc_id").select("doc_id", F.col("accessionNo").alias("accession_number"), "ticker"), "doc_id"
-    )
-    segments = seg.segment_by_parts(documents)
+    segments = seg.segment_by_parts(_documents_with(spark, sf_dir, _partly_headed_text()))
     base = fil.base_records(fil.dedupe_filings(bd.filings(spark, sf_dir), ["linkToTxt"]), _now())
     found = fil.section_records(fil.filing_sections(base), fil.texts_from_segments(segments))
     return found.unionByName(fil.whole_records(base, segments)).select("accession_number", "section_id", "text")
@@ -245,8 +249,8 @@ def doc_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _headed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with an item heading before every line, numbered in a cycle, and a signature block."""
+def _headed_text() -> Column:
+    """A document's text with an item heading before every line, numbered in a cycle, and a signature block."""
     family = fx.form_family(F.expr(bd.FORM))
     body = F.transform(
         F.split("text", "\n"),
@@ -254,11 +258,12 @@ def _headed(spark: SparkSession, sf_dir: str) -> DataFrame:
             family == "8-K", F.concat(F.lit("Item "), i % 8 + 1, F.lit(".0"), i % 2 + 1, F.lit(" "), line)
         ).otherwise(F.concat(F.lit("ITEM "), i % 30 + 2, F.lit(". "), line)),
     )
-    return bd.texts(spark, sf_dir, "documents", "doc_id", "text").select(
-        "doc_id",
-        F.expr(bd.FORM).alias("form_type"),
-        F.concat(F.array_join(body, "\n"), F.lit("\n\nSIGNATURES\n\nSigned by the company.")).alias("text"),
-    )
+    return F.concat(F.array_join(body, "\n"), F.lit("\n\nSIGNATURES\n\nSigned by the company."))
+
+
+def _headed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = bd.texts(spark, sf_dir, "documents", "doc_id", "text")
+    return docs.select("doc_id", F.expr(bd.FORM).alias("form_type"), _headed_text().alias("text"))
 
 
 def segment_filing(spark: SparkSession, sf_dir: str) -> DataFrame:
