@@ -331,3 +331,14 @@ def test_targets_prune_partitions(spark, tmp_path):
     assert sorted((r.ticker, r.month, r.c) for r in found.collect()) == [("A", "2024-01", 15.0), ("A", "2024-01", 28.0), ("A", "2024-02", 1.0), ("A", "2024-02", 15.0), ("B", "2024-03", 28.0)]
     with pytest.raises(ValueError):
         catalogue.target_scan(spark, str(tmp_path), "inflation", targets)
+
+
+def test_state_rows_stay_small_whatever_the_groups(spark, tmp_path):
+    """A group's keys are no single state row, which would grow with the batch."""
+    land(tmp_path / "pages", "1.json", {"results": [{"id": str(i), "sip_timestamp": i} for i in range(20000)] * 2})
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    marked = ingest.marked_late(stream_rows(spark, tmp_path), ["id"], "10 seconds", groups=1)
+    ingest.append_parquet(marked, out, state, ["late"]).awaitTermination()
+    assert spark.read.parquet(out).count() == 20000
+    sizes = [r.n for r in spark.read.format("statestore").load(state).select(F.size("value.groupState.keys").alias("n")).collect()]
+    assert sum(sizes) == 20000 and max(sizes) < 100

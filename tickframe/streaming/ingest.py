@@ -58,8 +58,8 @@ def drop_repeats(rows: DataFrame, keys: Sequence[str], delay: str) -> DataFrame:
     return rows.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-#: Groups that the seen keys are dealt to; each is the state of one task at a time.
-STATE_GROUPS = 256
+#: Groups that the seen keys are dealt to; each is cut into slices, about so many in all.
+STATE_GROUPS, STATE_SLICES = 256, 4096
 
 
 def marked_late(
@@ -70,8 +70,11 @@ def marked_late(
     The watermark is the latest ``event_time`` of the batches before, less ``delay``; it and the keys seen since are kept by
     the checkpoint, so a restarted run goes on where the last one stopped. Late rows are marked, never dropped, and not
     compared: whether they are repeats is for the reader of the stored rows to tell. A row without ``event_time`` is late. State
-    holds keys of the last ``delay`` only, dealt to ``groups`` by hash, so no ticker's keys come together.
+    holds keys of the last ``delay`` only, dealt to ``groups`` by hash, so no ticker's keys come together; after the first batch,
+    which has no watermark yet, all of that batch's. A group's keys are kept in slices: a state is one row, which Spark and Python
+    hold whole and several times, so a row must not grow to a group's share of a large batch.
     """
+    slices = max(1, STATE_SLICES // groups)
     watched = rows.withWatermark(event_time, delay)
     micros = F.unix_micros(F.col(event_time).cast("timestamp"))
     work = watched.withColumns(
@@ -79,6 +82,7 @@ def marked_late(
             "_key": F.to_json(F.struct(*keys)),
             "_ms": F.floor(micros / 1000).cast("bigint"),
             "_group": F.pmod(F.xxhash64(*keys), F.lit(groups)).cast("int"),
+            "_slice": F.pmod(F.xxhash64(F.lit(slices), *keys), F.lit(slices)).cast("int"),
         }
     )
     names = rows.columns
@@ -97,7 +101,7 @@ def marked_late(
 
     schema = T.StructType([*rows.schema.fields, T.StructField("late", T.BooleanType())])
     seen_schema = T.StructType([T.StructField("keys", T.ArrayType(T.StringType())), T.StructField("times", T.ArrayType(T.LongType()))])
-    marked = work.groupBy("_group").applyInPandasWithState(once, schema, seen_schema, "append", GroupStateTimeout.NoTimeout)
+    marked = work.groupBy("_group", "_slice").applyInPandasWithState(once, schema, seen_schema, "append", GroupStateTimeout.NoTimeout)
     # The projection also turns the state operator's columnar rows into those that partitioned writers take.
     return marked.withColumn("late", F.coalesce("late", F.lit(True)))
 
