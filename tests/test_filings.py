@@ -264,3 +264,8 @@ def test_texts_to_segment_are_dealt_and_cut_once(spark):
     found = plans.segmented_records(spark, "/root/testdata/sf0.001")
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" not in plan and plan.count("ArrowEvalPython") == 1
+
+
+def test_wholes_and_sections_share_one_segmentation(spark):
+    found = plans.segmented_wholes(spark, "/root/testdata/sf0.001")
+    assert "ArrowEvalPython" not in found._jdf.queryExecution().optimizedPlan().toString()

@@ -16,6 +16,7 @@ from tickframe.operators import consolidate as con
 from tickframe.operators import filings as fil
 from tickframe.operators import segment as seg
 from tickframe.plans import bindings as bd
+from tickframe.session import new_scratch
 
 SCOPE_DATE = dt.date(2033, 7, 1)
 _FIXED_NOW = "2024-01-31 00:00:00"
@@ -175,8 +176,13 @@ def _partly_headed_text() -> Column:
 
 
 def segmented_wholes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Section records with, as records of their own, the texts of filings and parts that have no or too few headings."""
-    segments = seg.segment_by_parts(_documents_with(spark, sf_dir, _partly_headed_text()))
+    """Section records with, as records of their own, the texts of filings and parts that have no or too few headings.
+
+    Both read the segments, which are stored so that the texts are segmented once.
+    """
+    path = new_scratch(spark, "segments")
+    seg.segment_by_parts(_documents_with(spark, sf_dir, _partly_headed_text())).write.parquet(path)
+    segments = spark.read.parquet(path)
     base = fil.base_records(fil.dedupe_filings(bd.filings(spark, sf_dir), ["linkToTxt"]), _now())
     found = fil.section_records(fil.filing_sections(base), fil.texts_from_segments(segments))
     return found.unionByName(fil.whole_records(base, segments)).select("accession_number", "section_id", "text")
