@@ -342,3 +342,14 @@ def test_state_rows_stay_small_whatever_the_groups(spark, tmp_path):
     assert spark.read.parquet(out).count() == 20000
     sizes = [r.n for r in spark.read.format("statestore").load(state).select(F.size("value.groupState.keys").alias("n")).collect()]
     assert sum(sizes) == 20000 and max(sizes) < 100
+
+
+def test_many_small_files_are_dealt_to_all_partitions_and_listed_once(spark, tmp_path):
+    """Adaptive execution merges small partitions by size, which leaves many small files to a task or two."""
+    rows = spark.range(400).select((F.col("id") % 200).alias("k"), F.col("id").alias("v"))
+    assert tables.spread_by(rows, ["k"], many_files=True).select(F.spark_partition_id()).distinct().count() > 4
+    tables.spread_by(rows, ["k"], many_files=True).write.partitionBy("k").parquet(str(tmp_path / "files"))
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    files = landed.stored_listing(spark, str(tmp_path / "files"), "part-*", str(tmp_path / "list"))
+    assert files.count() == 200 and files.filter("length > 0").count() == 200
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == cost
