@@ -1,6 +1,8 @@
 import datetime as dt
 import json
 
+import duckdb
+import oracle
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -8,6 +10,7 @@ from pyspark.sql import types as T
 from tickframe import schemas, session
 from tickframe.operators import consolidate
 from tickframe.operators.segment import segment_filings  # noqa: F401
+from tickframe.plans import landing
 from tickframe.sinks import documents, tables
 from tickframe.sources import landed
 from tickframe.streaming import ingest
@@ -353,3 +356,14 @@ def test_many_small_files_are_dealt_to_all_partitions_and_listed_once(spark, tmp
     files = landed.stored_listing(spark, str(tmp_path / "files"), "part-*", str(tmp_path / "list"))
     assert files.count() == 200 and files.filter("length > 0").count() == 200
     assert spark.conf.get("spark.sql.files.openCostInBytes") == cost
+
+
+def test_history_tickers_are_of_all_customers(spark, tmp_path):
+    """No customer is left out by its number or for want of a date; an order without a customer has no ticker."""
+    orders = [(i, i % 60, dt.datetime(1996, 1 + i % 3, 5), 1.5) for i in range(120)] + [(900, 70, None, 1.0), (901, None, dt.datetime(1996, 1, 5), 1.0), (902, -7, dt.datetime(1996, 1, 5), 1.0)]
+    spark.createDataFrame(orders, "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_totalprice double").write.parquet(str(tmp_path / "orders.parquet"))
+    found = landing.history_tickers(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM read_parquet('{tmp_path}/orders.parquet/*.parquet')")
+    assert oracle.compare(found, con, landing.oracle_sql()["history_tickers"]) is None
+    assert sorted(r.ticker for r in found.collect()) == sorted(f"C{k}" for k in [*range(60), 70, -7])
