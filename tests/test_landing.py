@@ -367,3 +367,53 @@ def test_history_tickers_are_of_all_customers(spark, tmp_path):
     con.execute(f"CREATE VIEW orders AS SELECT * FROM read_parquet('{tmp_path}/orders.parquet/*.parquet')")
     assert oracle.compare(found, con, landing.oracle_sql()["history_tickers"]) is None
     assert sorted(r.ticker for r in found.collect()) == sorted(f"C{k}" for k in [*range(60), 70, -7])
+
+
+def test_named_files_hold_their_rows_once_whatever_runs_again(spark, tmp_path):
+    """One file per name, also where its rows come in many batches; a second run writes the same files again."""
+    root = str(tmp_path / "named")
+    rows = spark.range(45000).select(F.when(F.col("id") < 40000, "big/tick/a b%.parquet").otherwise(F.concat(F.lit("s/"), (F.col("id") % 500).cast("string"), F.lit(".parquet"))).alias("file"), F.col("id").alias("v"), F.lit(None).cast("string").alias("none"))
+    for _ in range(2):
+        assert tables.write_named(rows, root, "file") == 501
+    files = [p for p in (tmp_path / "named").rglob("*") if p.is_file()]
+    assert len(files) == 501 and not [p for p in files if p.name.startswith(".")]
+    stored = spark.read.parquet(root + "/*", root + "/big/tick").select("v", "none", F.regexp_extract(F.col("_metadata.file_path"), "/named/(.*)$", 1).alias("file"))
+    assert stored.columns == ["v", "none", "file"] and stored.count() == 45000 and stored.filter("none IS NOT NULL").count() == 0
+    small = rows.filter("v >= 40000").select("file", "v")
+    assert small.exceptAll(stored.select("file", "v")).isEmpty()
+    assert stored.filter("file LIKE 'big/%'").agg(F.count_distinct("v"), F.max("v")).first()[:] == (40000, 39999)
+    with pytest.raises(Exception, match="a row without file"):
+        tables.write_named(rows.withColumn("file", F.when(F.col("v") > 5, F.col("file"))), str(tmp_path / "null"), "file")
+
+
+def test_listing_is_made_below_folders_and_leaves_hidden_names_out(spark, tmp_path, monkeypatch):
+    for name in ("a/tick/1.parquet", "a/tick/.2.parquet-draft", "a/tick/_3.parquet", ".b/4.parquet", "_c/5.parquet", "d/e/f/g 6%.parquet", "7.parquet", "a/8.csv"):
+        (tmp_path / "tree" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "tree" / name).write_bytes(b"x" * len(name))
+    monkeypatch.setattr(landed, "_LISTED_AT_ONCE", 1)
+    want = [(f"{tmp_path}/tree/{n}", len(n)) for n in ("7.parquet", "a/tick/1.parquet", "d/e/f/g 6%.parquet")]
+    for i, prefix in enumerate(("", "file:", "file://")):
+        found = landed.stored_listing(spark, f"{prefix}{tmp_path}/tree/", "*.parquet", str(tmp_path / f"list{i}"))
+        assert sorted((r.path, r.length) for r in found.collect()) == [(prefix + path, n) for path, n in want]
+    (tmp_path / "none").mkdir()
+    assert landed.stored_listing(spark, str(tmp_path / "none"), "*.parquet", str(tmp_path / "list")).count() == 0
+
+
+def test_history_is_stored_under_the_names_of_its_layout(spark, tmp_path, monkeypatch):
+    """The files themselves bear the names that the inventory parses, each with the orders of its month."""
+    monkeypatch.setattr(landing, "new_scratch", lambda _, name: str(tmp_path / name))
+    orders = [(1, 7, dt.datetime(1996, 2, 1), 1.5), (2, 7, dt.datetime(1996, 2, 29, 23, 59), 2.5), (3, 7, dt.datetime(1996, 3, 1), 4.5), (4, 8, None, 8.5)]
+    schema = "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_totalprice double"
+    spark.createDataFrame(orders, schema).write.parquet(str(tmp_path / "orders.parquet"))
+    assert sorted(r.ticker for r in landing.history_tickers(spark, str(tmp_path)).collect()) == ["C7", "C8"]
+    stored = spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "history"))
+    held = stored.groupBy(F.col("_metadata.file_name").alias("f")).agg(F.sum("o_totalprice").alias("s")).collect()
+    assert {r.f: r.s for r in held} == {"C7_tick_1996-02-01_to_1996-02-29.parquet": 4.0, "C7_tick_1996-03-01_to_1996-03-31.parquet": 4.5, "C8_tick_0000-00-00_to_0000-00-00.parquet": 8.5}
+    inventory = landed.history_inventory(spark, str(tmp_path / "history"))
+    assert sorted((r.ticker, r.fidelity, str(r.start_date), str(r.end_date)) for r in inventory.collect()) == [
+        ("C7", "tick", "1996-02-01", "1996-02-29"), ("C7", "tick", "1996-03-01", "1996-03-31"), ("C8", "tick", "None", "None")]
+
+
+def test_history_of_no_orders(spark, tmp_path):
+    spark.createDataFrame([], "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_totalprice double").write.parquet(str(tmp_path / "orders.parquet"))
+    assert landing.history_tickers(spark, str(tmp_path)).count() == 0
